@@ -1,7 +1,7 @@
 """Query plans over the shared tables: each key = Spark query + optional oracle SQL."""
 
 from tessera.plans import registry
-from tessera.plans import text  # noqa: F401  (registers keys)
+from tessera.plans import relational, text  # noqa: F401  (register keys)
 
 QUERIES = registry.QUERIES
 ORACLES = registry.ORACLES
