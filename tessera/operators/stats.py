@@ -104,10 +104,11 @@ def frac(c):
 
 def mc_ratio(df: DataFrame, id_col: str, alpha_x: float = ALPHA_X, alpha_y: float = ALPHA_Y) -> DataFrame:
     """Monte-Carlo ratio over the rows of ``df``: row ``i`` (its integer key) is the
-    point ``(frac(i*ax), frac(i*ay))``; the estimate is 4 x share inside the unit
-    circle. Repeatable, and the same number in any engine with IEEE doubles."""
+    point ``(2 frac(i*ax) - 1, 2 frac(i*ay) - 1)`` in the square [-1, 1)^2; the
+    estimate is 4 x share inside the unit circle. Repeatable, and the same number
+    in any engine with IEEE doubles."""
     i = F.col(id_col).cast("double")
-    x, y = frac(i * alpha_x), frac(i * alpha_y)
+    x, y = 2.0 * frac(i * alpha_x) - 1.0, 2.0 * frac(i * alpha_y) - 1.0
     inside = F.when(x * x + y * y <= 1.0, 1).otherwise(0)
     return df.agg(F.count(F.lit(1)).alias("n"), (4.0 * F.sum(inside) / F.count(F.lit(1))).alias("estimate"))
 

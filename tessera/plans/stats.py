@@ -64,8 +64,10 @@ def kernel_density(spark, sf):
 @register("mc_ratio", sql=f"""
   SELECT CAST(count(*) AS BIGINT) AS n,
          round(CAST(4.0 AS DOUBLE) * sum(CASE WHEN x * x + y * y <= 1.0 THEN 1 ELSE 0 END) / count(*), 6) AS estimate
-  FROM (SELECT CAST(o_orderkey AS DOUBLE) * {S.ALPHA_X} - floor(CAST(o_orderkey AS DOUBLE) * {S.ALPHA_X}) AS x,
-               CAST(o_orderkey AS DOUBLE) * {S.ALPHA_Y} - floor(CAST(o_orderkey AS DOUBLE) * {S.ALPHA_Y}) AS y
+  FROM (SELECT 2.0 * (CAST(o_orderkey AS DOUBLE) * {S.ALPHA_X} - floor(CAST(o_orderkey AS DOUBLE) * {S.ALPHA_X}))
+                 - 1.0 AS x,
+               2.0 * (CAST(o_orderkey AS DOUBLE) * {S.ALPHA_Y} - floor(CAST(o_orderkey AS DOUBLE) * {S.ALPHA_Y}))
+                 - 1.0 AS y
         FROM orders) p""")
 def mc_ratio(spark, sf):
     r = S.mc_ratio(table(spark, sf, "orders", "o_orderkey"), "o_orderkey")
