@@ -1,19 +1,19 @@
-"""K-means (Lloyd) for many groups in one job, silhouette in closed form, and the
-library clusterers.
+"""K-means (Lloyd) for many groups in one job, and silhouette in closed form.
 
 State is a centre table ``(group, cluster, centre)`` with ``k`` rows per group.
 Each round:
 
 1. the centres of a group are folded into ONE row holding an array of ``k``
-   structs (bounded by ``k``);
+   structs ordered by cluster (bounded by ``k``);
 2. points join that row on ``group`` -- an equi-join with one row per key on the
    small side, so a group holding a third of all points is split across tasks by
    AQE's skew handling, or the centre side is broadcast when a row count proves it
    small;
-3. each point takes ``array_min`` over ``k`` ``(distance, cluster)`` structs
-   (first cluster wins ties) -- no cross join, no pairs;
-4. new centres are per-dimension averages per ``(group, cluster)`` (partial
-   aggregates), an empty cluster keeps its old centre;
+3. each point takes the least ``(distance, cluster)`` over the ``k`` centres
+   (first cluster wins ties) -- plain arithmetic on columns, compiled by
+   whole-stage codegen; no cross join, no pairs;
+4. new centres are per-dimension means per ``(group, cluster)`` (partial
+   aggregates); an empty cluster keeps its old centre;
 5. the new centre table is checkpointed (small, cuts the lineage).
 """
 
@@ -30,31 +30,44 @@ MAX_BROADCAST_CENTRES = 200_000
 GROUP = "_g"
 
 
-def _dist2(a: Column, b: Column) -> Column:
-    """Squared Euclidean distance of two equal-length double arrays, summed left to right."""
-    return F.aggregate(F.zip_with(a, b, lambda u, v: (u - v) * (u - v)), F.lit(0.0), lambda acc, t: acc + t)
+def _x(d: int) -> Column:
+    return F.col(f"_x{d}")
 
 
-def _dot(a: Column, b: Column) -> Column:
-    return F.aggregate(F.zip_with(a, b, lambda u, v: u * v), F.lit(0.0), lambda acc, t: acc + t)
+def _sq_dist(centre: Column, dims: int) -> Column:
+    """Squared Euclidean distance of the point to ``centre`` (array), summed in
+    dimension order."""
+    total = None
+    for d in range(dims):
+        t = (_x(d) - centre[d]) * (_x(d) - centre[d])
+        total = t if total is None else total + t
+    return total
+
+
+def _dot(vec: Column, dims: int) -> Column:
+    total = None
+    for d in range(dims):
+        t = _x(d) * vec[d]
+        total = t if total is None else total + t
+    return total
 
 
 def prepare_points(df: DataFrame, features: list[str], group: str | None = None,
                    scales: list[float] | None = None) -> DataFrame:
-    """``(_g, _x array<double>[, _i array<bigint>])`` from feature columns; rows with
-    a null feature are skipped.
+    """``(_g, _x0.._x{d-1}[, _i0..])`` from feature columns; rows with a null
+    feature are skipped.
 
     With ``scales`` the feature columns hold fixed-point integers and the feature
-    value is ``integer / scale``; the integers are kept in ``_i`` so centre means
+    value is ``integer / scale``; the integers are kept (``_i*``) so centre means
     are exact integer sums -- the same bits for any partitioning or engine."""
     g = F.col(group) if group else F.lit(0)
     if scales is None:
-        x = F.array(*[F.col(c).cast("double") for c in features])
-        return df.select(g.alias(GROUP), x.alias("_x")).filter(~F.exists("_x", lambda v: v.isNull()))
-    ints = F.array(*[F.col(c).cast("bigint") for c in features])
-    x = F.array(*[F.col(c).cast("bigint").cast("double") / F.lit(float(s)) for c, s in zip(features, scales)])
-    return (df.select(g.alias(GROUP), x.alias("_x"), ints.alias("_i"))
-            .filter(~F.exists("_i", lambda v: v.isNull())))
+        cols = [F.col(c).cast("double").alias(f"_x{d}") for d, c in enumerate(features)]
+    else:
+        cols = [(F.col(c).cast("bigint").cast("double") / F.lit(float(s))).alias(f"_x{d}")
+                for d, (c, s) in enumerate(zip(features, scales))]
+        cols += [F.col(c).cast("bigint").alias(f"_i{d}") for d, c in enumerate(features)]
+    return df.select(g.alias(GROUP), *cols).dropna()
 
 
 def initial_centres(points: DataFrame, init: list[list[float]]) -> DataFrame:
@@ -66,6 +79,7 @@ def initial_centres(points: DataFrame, init: list[list[float]]) -> DataFrame:
 
 
 def _centre_lists(centres: DataFrame) -> DataFrame:
+    """One row per group: ``_cs`` = its ``k`` centres ordered by cluster."""
     return centres.groupBy(GROUP).agg(
         F.array_sort(F.collect_list(F.struct("cluster", "centre"))).alias("_cs"))
 
@@ -74,55 +88,62 @@ def _join_group(points: DataFrame, per_group: DataFrame, small: bool) -> DataFra
     return points.join(F.broadcast(per_group) if small else per_group, GROUP)
 
 
-def assign(points: DataFrame, centres: DataFrame, small: bool) -> DataFrame:
+def assign(points: DataFrame, centres: DataFrame, k: int, dims: int, small: bool) -> DataFrame:
     """Points plus ``cluster``: the nearest centre; equal distances go to the lower cluster."""
     joined = _join_group(points, _centre_lists(centres), small)
-    best = F.array_min(F.transform("_cs", lambda s: F.struct(_dist2(F.col("_x"), s["centre"]).alias("d"),
-                                                               s["cluster"].alias("cluster"))))
-    return joined.select(*points.columns, best["cluster"].alias("cluster"))
+    cands = [F.struct(_sq_dist(F.col("_cs")[j]["centre"], dims).alias("d"), F.lit(j).alias("c"))
+             for j in range(k)]
+    best = F.least(*cands) if k > 1 else cands[0]
+    return joined.select(*points.columns, best["c"].alias("cluster"))
 
 
-def update(assigned: DataFrame, centres: DataFrame, dims: int, scales: list[float] | None = None) -> DataFrame:
+def update(assigned: DataFrame, centres: DataFrame, dims: int, scales: list[float] | None = None,
+           small: bool = False) -> DataFrame:
     """Mean of the members per ``(group, cluster)``; clusters without members keep
-    their centre. With ``scales`` the mean is ``(sum of integers / n) / scale``."""
+    their centre. With ``scales`` the mean is ``(sum of integers / n) / scale``.
+    ``small``: the centre table is proven small, so the means join is broadcast."""
     if scales is None:
-        mean = [F.avg(F.col("_x")[i]) for i in range(dims)]
+        mean = [F.avg(_x(d)) for d in range(dims)]
     else:
         n = F.count(F.lit(1)).cast("double")
-        mean = [(F.sum(F.col("_i")[i]).cast("double") / n) / F.lit(float(scales[i])) for i in range(dims)]
+        mean = [(F.sum(f"_i{d}").cast("double") / n) / F.lit(float(scales[d])) for d in range(dims)]
     means = assigned.groupBy(GROUP, "cluster").agg(F.array(*mean).alias("_new"))
-    return (centres.join(means, [GROUP, "cluster"], "left")
+    return (centres.join(F.broadcast(means) if small else means, [GROUP, "cluster"], "left")
             .select(GROUP, "cluster", F.coalesce("_new", "centre").alias("centre")))
 
 
 def kmeans_lloyd(df: DataFrame, features: list[str], init: list[list[float]], iterations: int,
-                 group: str | None = None, tol: float = 0.0, scales: list[float] | None = None):
+                 group: str | None = None, tol: float | None = None, scales: list[float] | None = None):
     """Lloyd's K-means per group (one job for all groups).
 
     Returns ``(centres, assigned, small)``: ``centres`` = ``(_g, cluster, centre)``,
     ``assigned`` = points with their cluster under the final centres, ``small`` =
-    whether the per-group side was proven small enough to broadcast. Stops early
-    when the summed squared centre movement is at most ``tol``.
+    whether the per-group side was proven small enough to broadcast. With ``tol``
+    it stops early once the summed squared centre movement is at most ``tol``
+    (one small extra job per round); without it it runs ``iterations`` rounds.
     """
-    dims = len(features)
+    k, dims = len(init), len(features)
     points = prepare_points(df, features, group, scales).persist(StorageLevel.MEMORY_AND_DISK)
     centres = checkpoint(initial_centres(points, init))
     small = centres.count() <= MAX_BROADCAST_CENTRES
     for _ in range(iterations):
-        new = checkpoint(update(assign(points, centres, small), centres, dims, scales))
-        moved = (new.alias("n").join(centres.alias("o"), [GROUP, "cluster"])
-                 .agg(F.sum(_dist2(F.col("n.centre"), F.col("o.centre")))).first()[0])
+        new = checkpoint(update(assign(points, centres, k, dims, small), centres, dims, scales, small))
+        if tol is not None:
+            moved = (new.alias("n").join(centres.alias("o"), [GROUP, "cluster"])
+                     .agg(F.sum(F.aggregate(F.zip_with("n.centre", "o.centre", lambda u, v: (u - v) * (u - v)),
+                                            F.lit(0.0), lambda a, t: a + t))).first()[0])
+            if moved is not None and moved <= tol:
+                centres = new
+                break
         centres = new
-        if moved is not None and moved <= tol:
-            break
-    return centres, assign(points, centres, small), small
+    return centres, assign(points, centres, k, dims, small), small
 
 
 def cluster_sizes(assigned: DataFrame) -> DataFrame:
     return assigned.groupBy(GROUP, "cluster").agg(F.count(F.lit(1)).alias("size"))
 
 
-def silhouette(assigned: DataFrame, dims: int, small: bool = True) -> DataFrame:
+def silhouette(assigned: DataFrame, dims: int, k: int, small: bool = True) -> DataFrame:
     """Mean silhouette per group with squared Euclidean distance: ``(_g, silhouette, n)``.
 
     Closed form: the mean squared distance from ``x`` to cluster ``C`` is
@@ -130,24 +151,25 @@ def silhouette(assigned: DataFrame, dims: int, small: bool = True) -> DataFrame:
     summed squared norms of the members, so one aggregate per cluster replaces all
     point pairs. The own-cluster mean is rescaled by ``n / (n - 1)`` to leave the
     point out; a point alone in its cluster, or in a group with one cluster, scores 0.
-    ``small``: broadcast the per-group statistics (k structs per group).
+    ``small``: broadcast the per-group statistics (at most k entries per group).
     """
+    xx = _dot(F.array(*[_x(d) for d in range(dims)]), dims)
     stats = assigned.groupBy(GROUP, "cluster").agg(
         F.count(F.lit(1)).cast("double").alias("n"),
-        F.array(*[F.sum(F.col("_x")[i]) for i in range(dims)]).alias("s1"),
-        F.sum(_dot(F.col("_x"), F.col("_x"))).alias("s2"))
-    per_group = stats.groupBy(GROUP).agg(F.collect_list(F.struct("cluster", "n", "s1", "s2")).alias("_st"))
+        F.array(*[F.sum(_x(d)) for d in range(dims)]).alias("s1"),
+        F.sum(xx).alias("s2"))
+    per_group = stats.groupBy(GROUP).agg(
+        F.map_from_entries(F.collect_list(F.struct("cluster", F.struct("n", "s1", "s2")))).alias("_st"))
     joined = _join_group(assigned, per_group, small)
-    xx = _dot(F.col("_x"), F.col("_x"))
 
-    def mean_d2(s):
-        return xx + s["s2"] / s["n"] - 2.0 * _dot(F.col("_x"), s["s1"]) / s["n"]
+    def mean_d2(s: Column) -> Column:  # null when the cluster has no members
+        return xx + s["s2"] / s["n"] - 2.0 * _dot(s["s1"], dims) / s["n"]
 
-    own = F.filter("_st", lambda s: s["cluster"] == F.col("cluster"))[0]
-    others = F.filter("_st", lambda s: s["cluster"] != F.col("cluster"))
+    own = F.col("_st")[F.col("cluster")]
     a = mean_d2(own) * own["n"] / (own["n"] - 1.0)
-    b = F.array_min(F.transform(others, mean_d2))
-    sil = (F.when((own["n"] <= 1) | (F.size(others) == 0), F.lit(0.0))
+    others = [F.when(F.col("cluster") != j, mean_d2(F.col("_st")[F.lit(j)])) for j in range(k)]
+    b = F.least(*others) if k > 1 else F.lit(None).cast("double")
+    sil = (F.when((own["n"] <= 1) | b.isNull(), F.lit(0.0))
            .when(a < b, 1.0 - a / b).when(a > b, b / a - 1.0).otherwise(F.lit(0.0)))
     return joined.select(GROUP, sil.alias("s")).groupBy(GROUP).agg(
         F.avg("s").alias("silhouette"), F.count(F.lit(1)).alias("n"))

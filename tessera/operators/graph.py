@@ -19,6 +19,8 @@ from tessera.session import checkpoint
 # Damping and base of the update rank = BASE + DAMPING * sum(contributions).
 DAMPING = 0.85
 BASE = 0.15
+# Fixed value: the most nodes whose rank table is shipped to every task.
+MAX_BROADCAST_NODES = 2_000_000
 
 
 def out_links(edges: DataFrame, src: str = "src", dst: str = "dst") -> DataFrame:
@@ -37,14 +39,21 @@ def pagerank(edges: DataFrame, iterations: int, src: str = "src", dst: str = "ds
     (nodes without in-links drop out; nodes without out-links keep a rank but
     pass nothing on). ``keep_all_nodes=True`` gives every node ``BASE`` at least.
     Lineage is cut with a reliable checkpoint every ``checkpoint_every`` rounds.
+
+    The rank table has at most one row per node. When a node count (taken once)
+    proves it small it is broadcast, so the edges are never shuffled again after
+    the first pass and a hub's edges stay spread over all tasks; otherwise both
+    sides are shuffled on the node and AQE splits a hub's partition (skew join).
     """
     links = out_links(edges, src, dst).persist(StorageLevel.MEMORY_AND_DISK)
     ranks = links.select(F.col("src").alias("node")).distinct().withColumn("rank", F.lit(1.0))
+    n_nodes = links.select("src").union(links.select("dst")).distinct().count()
+    small = n_nodes <= MAX_BROADCAST_NODES
     nodes = None
     if keep_all_nodes:
         nodes = links.select(F.col("src").alias("node")).union(links.select(F.col("dst").alias("node"))).distinct()
     for it in range(iterations):
-        contribs = (links.join(ranks, links.src == ranks.node)
+        contribs = (links.join(F.broadcast(ranks) if small else ranks, links.src == ranks.node)
                     .select(F.col("dst").alias("node"), (F.col("rank") / F.col("deg")).alias("c")))
         summed = contribs.groupBy("node").agg(F.sum("c").alias("s"))
         if keep_all_nodes:

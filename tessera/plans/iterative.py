@@ -187,5 +187,5 @@ def kmeans_grouped(spark, sf):
 def silhouette(spark, sf):
     _, assigned, small = KM.kmeans_lloyd(kmeans_points(spark, sf, True), FEATURES, KMEANS_INIT, KMEANS_ITERATIONS,
                                          group="grp", scales=SCALES)
-    s = KM.silhouette(assigned, len(FEATURES), small)
+    s = KM.silhouette(assigned, len(FEATURES), len(KMEANS_INIT), small)
     return s.select(F.col(KM.GROUP).alias("grp"), F.round("silhouette", 6).alias("silhouette"), "n")

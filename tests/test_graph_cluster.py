@@ -53,9 +53,9 @@ def test_empty_cluster_keeps_its_centre(spark):
 
 def test_silhouette_matches_library_evaluator(spark):
     _, assigned, small = KM.kmeans_lloyd(points(spark), ["x", "y", "z"], [[0.0] * 3, [9.0] * 3], 5)
-    ours = KM.silhouette(assigned, 3, small).first()["silhouette"]
+    ours = KM.silhouette(assigned, 3, 2, small).first()["silhouette"]
     lib = ClusteringEvaluator(predictionCol="cluster").evaluate(
-        assigned.select(array_to_vector("_x").alias("features"), F.col("cluster").cast("int")))
+        assigned.select(array_to_vector(F.array("_x0", "_x1", "_x2")).alias("features"), F.col("cluster").cast("int")))
     assert ours == pytest.approx(lib, abs=1e-9) and ours == pytest.approx(0.999753, abs=1e-6)
 
 
