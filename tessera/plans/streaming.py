@@ -1,27 +1,33 @@
-"""Streaming keys: rows of a table are staged as five files (one per chunk), then
-streamed one file per micro-batch; each batch is counted on its own."""
+"""Streaming keys: the rows of a table are replayed as a queue of five
+micro-batches (chunk ``i`` = rows with ``pmod(id, 5) = i``), each written into the
+watched folder before the trigger that consumes it; each batch is counted on its
+own (no state across batches)."""
 
 from __future__ import annotations
 
 from pyspark.sql import functions as F
 
 from tessera.plans.registry import register
-from tessera.plans.text import WORDS_SQL  # noqa: F401  (oracle shares the word split)
 from tessera.session import scratch_path
 from tessera.sources.tables import table
 from tessera.streaming import batch_counts as BC
 
-# Number of staged chunks (= micro-batches) and the key modulus.
+# Number of queued chunks (= micro-batches) and the key modulus.
 CHUNKS = 5
 KEY_MOD = 10
 
 
-def stage_by_chunk(df, chunk_col: str, fmt: str, name: str, spark) -> str:
-    """Write ``df`` to the shared folder with exactly one file per chunk value
-    (all rows of a chunk go to one task, then one partition folder per chunk)."""
-    path = scratch_path(spark, name)
-    df.repartition(chunk_col).write.partitionBy(chunk_col).format(fmt).save(path)
-    return path
+def _run(spark, chunks_df, fmt, schema, to_keyed, keys, out_schema, name):
+    folder = scratch_path(spark, f"{name}-in")
+    sink = scratch_path(spark, f"{name}-batches")
+    ckpt = scratch_path(spark, f"{name}-ckpt")
+
+    def trigger():
+        stream = BC.file_stream(spark, folder, schema, fmt=fmt)
+        BC.per_batch_counts(to_keyed(stream), keys, sink, ckpt)
+
+    BC.replay_queue(chunks_df, "chunk", CHUNKS, folder, fmt, trigger)
+    return BC.read_batches(spark, sink, out_schema)
 
 
 @register("stream_wordcount", sql=f"""
@@ -31,13 +37,10 @@ def stage_by_chunk(df, chunk_col: str, fmt: str, name: str, spark) -> str:
 def stream_wordcount(spark, sf):
     docs = table(spark, sf, "documents", "doc_id", "text") \
         .select(F.pmod("doc_id", F.lit(CHUNKS)).cast("int").alias("chunk"), F.col("text").alias("value"))
-    stage = stage_by_chunk(docs, "chunk", "text", "docs-stream", spark)
-    stream = BC.file_stream(spark, stage, "value string, chunk int", fmt="text")
-    sink = scratch_path(spark, "wordcount-batches")
-    BC.per_batch_counts(BC.words_stream(stream, "value", keep=("chunk",)), ["chunk", "word"], sink,
-                        scratch_path(spark, "wordcount-ckpt"))
-    return BC.read_batches(spark, sink, "chunk int, word string, n bigint, batch_id int") \
-        .select("chunk", "word", "n")
+    out = _run(spark, docs, "text", "value string, chunk int",
+               lambda s: BC.words_stream(s, "value", keep=("chunk",)), ["chunk", "word"],
+               "chunk int, word string, n bigint, batch_id int", "docs-stream")
+    return out.select("chunk", "word", "n")
 
 
 @register("stream_queue_counts", sql=f"""
@@ -47,10 +50,7 @@ def stream_wordcount(spark, sf):
 def stream_queue_counts(spark, sf):
     ev = table(spark, sf, "events", "event_id", "user_id") \
         .select(F.pmod("event_id", F.lit(CHUNKS)).cast("int").alias("chunk"), "user_id")
-    stage = stage_by_chunk(ev, "chunk", "parquet", "events-stream", spark)
-    stream = BC.file_stream(spark, stage, "user_id bigint, chunk int")
-    keyed = stream.select("chunk", F.pmod("user_id", F.lit(KEY_MOD)).alias("key"))
-    sink = scratch_path(spark, "queue-batches")
-    BC.per_batch_counts(keyed, ["chunk", "key"], sink, scratch_path(spark, "queue-ckpt"))
-    return BC.read_batches(spark, sink, "chunk int, key bigint, n bigint, batch_id int") \
-        .select("chunk", "key", "n")
+    out = _run(spark, ev, "parquet", "user_id bigint, chunk int",
+               lambda s: s.select("chunk", F.pmod("user_id", F.lit(KEY_MOD)).alias("key")), ["chunk", "key"],
+               "chunk int, key bigint, n bigint, batch_id int", "events-stream")
+    return out.select("chunk", "key", "n")

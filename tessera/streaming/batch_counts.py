@@ -10,6 +10,7 @@ which files every batch consumed.
 
 from __future__ import annotations
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -17,7 +18,7 @@ from tessera.functions.text import text_words
 
 
 def file_stream(spark: SparkSession, path: str, schema: str, fmt: str = "parquet",
-                files_per_batch: int | None = 1) -> DataFrame:
+                files_per_batch: int | None = None) -> DataFrame:
     """Stream of files newly added to ``path``; ``files_per_batch`` caps a batch."""
     r = spark.readStream.format(fmt).schema(schema)
     if files_per_batch:
@@ -46,6 +47,24 @@ def per_batch_counts(stream: DataFrame, keys: list, sink: str, checkpoint: str,
     return q
 
 
+def replay_queue(batches: DataFrame, batch_col: str, n_batches: int, folder: str, fmt: str, start_stream,
+                 partition_by_batch: bool = True) -> None:
+    """Replay ``batches`` as a queue of micro-batches: batch ``i`` is the rows with
+    ``batch_col == i``. Each is appended to the watched ``folder`` (a parallel
+    write, many files) right before ``start_stream()`` runs an ``availableNow``
+    trigger that consumes exactly the new files as one micro-batch.
+
+    The input is read once (persisted projection), not once per batch."""
+    staged = batches.persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        for i in range(n_batches):
+            w = staged.filter(F.col(batch_col) == i).write.mode("append").format(fmt)
+            (w.partitionBy(batch_col) if partition_by_batch else w).save(folder)
+            start_stream()
+    finally:
+        staged.unpersist()
+
+
 def read_batches(spark: SparkSession, sink: str, schema: str) -> DataFrame:
     """All per-batch results, with their ``batch_id``."""
     return spark.read.schema(schema).parquet(sink)

@@ -28,16 +28,33 @@ def test_fpgrowth_high_support_and_repeated_items(spark):
 
 
 def test_queue_stream_counts_each_batch_alone(spark):
-    stage = scratch_path(spark, "queue-test")
+    """Five queued batches of 1..1000, keyed by x % 10: 100 per key in every batch."""
+    folder, sink, ckpt = (scratch_path(spark, n) for n in ("queue-in", "queue-out", "queue-ckpt"))
     batches = spark.range(0, 5).select(F.col("id").cast("int").alias("chunk")) \
         .select("chunk", F.explode(F.sequence(F.lit(1), F.lit(1000))).alias("x"))
-    batches.repartition("chunk").write.partitionBy("chunk").parquet(stage)
-    stream = BC.file_stream(spark, stage, "x int, chunk int")
-    sink = scratch_path(spark, "queue-test-out")
-    BC.per_batch_counts(stream.select("chunk", F.pmod("x", F.lit(10)).alias("key")), ["key"], sink,
-                        scratch_path(spark, "queue-test-ckpt"), timeout_s=120)
-    out = BC.read_batches(spark, sink, "key int, n bigint, batch_id int").collect()
-    assert len(out) == 50 and {r["n"] for r in out} == {100} and len({r["batch_id"] for r in out}) == 5
+
+    def trigger():
+        stream = BC.file_stream(spark, folder, "x int, chunk int")
+        BC.per_batch_counts(stream.select("chunk", F.pmod("x", F.lit(10)).alias("key")), ["chunk", "key"], sink,
+                            ckpt, timeout_s=120)
+
+    BC.replay_queue(batches, "chunk", 5, folder, "parquet", trigger)
+    out = BC.read_batches(spark, sink, "chunk int, key int, n bigint, batch_id int").collect()
+    assert len(out) == 50 and {r["n"] for r in out} == {100}
+    per_batch = {}
+    for r in out:
+        per_batch.setdefault(r["batch_id"], set()).add(r["chunk"])
+    assert len(per_batch) == 5 and all(len(c) == 1 for c in per_batch.values())  # no state across batches
+
+
+def test_bounded_processing_time_run_stops(spark):
+    folder, sink, ckpt = (scratch_path(spark, n) for n in ("tick-in", "tick-out", "tick-ckpt"))
+    spark.range(0, 100).select((F.col("id") % 3).alias("k")).write.parquet(folder)
+    q = BC.per_batch_counts(BC.file_stream(spark, folder, "k bigint"), ["k"], sink, ckpt, available_now=False,
+                            interval="1 second", timeout_s=6)
+    assert not q.isActive
+    got = {r["k"]: r["n"] for r in BC.read_batches(spark, sink, "k bigint, n bigint, batch_id int").collect()}
+    assert got == {0: 34, 1: 33, 2: 33}
 
 
 def test_letter_models_beat_majority(spark):
