@@ -55,6 +55,19 @@ def search_contains(line_df: DataFrame, needle: str, col: str = "line") -> DataF
     return line_df.filter(F.col(col).contains(needle))
 
 
+def search_lines(docs: DataFrame, keyword: str, like: bool = False, id_col: str = "doc_id",
+                 text_col: str = "text") -> DataFrame:
+    """Lines of ``docs`` that contain ``keyword`` (literally, or as an unescaped
+    LIKE pattern). A line can only match if its whole text does, so texts are
+    first filtered on the text column -- a predicate the parquet scan evaluates
+    (``StringContains``/``LIKE``) -- and only surviving texts are split into lines."""
+    if "\n" in keyword:
+        raise ValueError("a line never contains a line break")
+    pre = F.col(text_col).like(f"%{keyword}%") if like else F.col(text_col).contains(keyword)
+    candidates = lines(docs.filter(pre), id_col, text_col)
+    return search_like(candidates, keyword) if like else search_contains(candidates, keyword)
+
+
 def max_words(line_df: DataFrame, col: str = "line") -> DataFrame:
     """``(max_words)``: the most words on any line, counted as a JVM ``split(" ")`` does."""
     return line_df.agg(F.max(word_count_rtrimmed(col)).cast("bigint").alias("max_words"))
@@ -74,4 +87,4 @@ def count_rows(df: DataFrame) -> DataFrame:
 
 
 __all__ = ["lines", "words", "words_of", "wordcount", "wordcount_sorted", "top_words", "search_like",
-           "search_contains", "max_words", "first_line", "count_rows"]
+           "search_contains", "search_lines", "max_words", "first_line", "count_rows"]

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from tessera.operators import stats as S
 from tessera.plans.registry import register
+from tessera.session import checkpoint
 from tessera.sources.tables import table
 
 # Columns, query points and bandwidth of the statistics keys.
@@ -97,7 +98,7 @@ def ratings(spark, sf):
 def scored_pairs(spark, sf):
     """Baseline predictions (item mean + user offset) joined back to the observed
     ratings on the composite key ``(user_id, item_id)``."""
-    r = ratings(spark, sf)
+    r = checkpoint(ratings(spark, sf))  # used four times below: compute the join + aggregate once
     gm = r.agg(F.avg("rating")).scalar()
     um = r.groupBy("user_id").agg(F.avg("rating").alias("umean"))
     im = r.groupBy("item_id").agg(F.avg("rating").alias("imean"))

@@ -64,14 +64,14 @@ def first_line(spark, sf):
   SELECT doc_id, CAST(line_no AS INTEGER) AS line_no, line FROM ({LINES_SQL}) l
   WHERE line LIKE '%{LIKE_KEYWORD}%'""")
 def text_search_like(spark, sf):
-    return T.search_like(_lines(spark, sf), LIKE_KEYWORD)
+    return T.search_lines(table(spark, sf, "documents", "doc_id", "text"), LIKE_KEYWORD, like=True)
 
 
 @register("text_search_contains", sql=f"""
   SELECT doc_id, CAST(line_no AS INTEGER) AS line_no, line FROM ({LINES_SQL}) l
   WHERE contains(line, '{CONTAINS_NEEDLE}')""")
 def text_search_contains(spark, sf):
-    return T.search_contains(_lines(spark, sf), CONTAINS_NEEDLE)
+    return T.search_lines(table(spark, sf, "documents", "doc_id", "text"), CONTAINS_NEEDLE)
 
 
 @register("max_words", sql=f"""
