@@ -19,6 +19,8 @@ Each round:
 
 from __future__ import annotations
 
+from dataclasses import dataclass
+
 from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -112,15 +114,34 @@ def update(assigned: DataFrame, centres: DataFrame, dims: int, scales: list[floa
             .select(GROUP, "cluster", F.coalesce("_new", "centre").alias("centre")))
 
 
+@dataclass
+class KMeansFit:
+    """A finished Lloyd run. ``centres`` is checkpointed; ``assigned()`` is lazy over
+    the cached points, so derive what is needed (sizes, silhouettes), materialise
+    it, then ``release()`` the cache."""
+
+    centres: DataFrame
+    points: DataFrame
+    k: int
+    dims: int
+    small: bool
+
+    def assigned(self) -> DataFrame:
+        return assign(self.points, self.centres, self.k, self.dims, self.small)
+
+    def release(self) -> None:
+        self.points.unpersist()
+
+
 def kmeans_lloyd(df: DataFrame, features: list[str], init: list[list[float]], iterations: int,
-                 group: str | None = None, tol: float | None = None, scales: list[float] | None = None):
+                 group: str | None = None, tol: float | None = None,
+                 scales: list[float] | None = None) -> KMeansFit:
     """Lloyd's K-means per group (one job for all groups).
 
-    Returns ``(centres, assigned, small)``: ``centres`` = ``(_g, cluster, centre)``,
-    ``assigned`` = points with their cluster under the final centres, ``small`` =
-    whether the per-group side was proven small enough to broadcast. With ``tol``
-    it stops early once the summed squared centre movement is at most ``tol``
-    (one small extra job per round); without it it runs ``iterations`` rounds.
+    ``centres`` = ``(_g, cluster, centre)``; ``small`` = whether the per-group side
+    was proven small enough to broadcast. With ``tol`` it stops early once the
+    summed squared centre movement is at most ``tol`` (one small extra job per
+    round); without it it runs ``iterations`` rounds.
     """
     k, dims = len(init), len(features)
     points = prepare_points(df, features, group, scales).persist(StorageLevel.MEMORY_AND_DISK)
@@ -136,7 +157,7 @@ def kmeans_lloyd(df: DataFrame, features: list[str], init: list[list[float]], it
                 centres = new
                 break
         centres = new
-    return centres, assign(points, centres, k, dims, small), small
+    return KMeansFit(centres, points, k, dims, small)
 
 
 def cluster_sizes(assigned: DataFrame) -> DataFrame:

@@ -61,4 +61,6 @@ def pagerank(edges: DataFrame, iterations: int, src: str = "src", dst: str = "ds
         ranks = summed.select("node", (F.lit(BASE) + F.lit(DAMPING) * F.col("s")).alias("rank"))
         if checkpoint_every and (it + 1) % checkpoint_every == 0 and it + 1 < iterations:
             ranks = checkpoint(ranks)
+    ranks = checkpoint(ranks)  # one row per node, written to the shared folder
+    links.unpersist()
     return ranks

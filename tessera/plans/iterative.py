@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from tessera.operators import cluster as KM
 from tessera.operators import graph as G
 from tessera.plans.registry import register
+from tessera.session import checkpoint
 from tessera.sources.tables import table
 
 # Rounds, start centres and feature scaling of the iterative keys.
@@ -169,23 +170,34 @@ def _kmeans_result(centres, assigned, grouped: bool):
     return out.select(*([F.col(KM.GROUP).alias("grp")] if grouped else []), *cols)
 
 
+def _fit(spark, sf, grouped: bool):
+    return KM.kmeans_lloyd(kmeans_points(spark, sf, grouped), FEATURES, KMEANS_INIT, KMEANS_ITERATIONS,
+                           group="grp" if grouped else None, scales=SCALES)
+
+
+def _centres_and_sizes(spark, sf, grouped: bool):
+    fit = _fit(spark, sf, grouped)
+    try:
+        return checkpoint(_kmeans_result(fit.centres, fit.assigned(), grouped))  # groups x k rows
+    finally:
+        fit.release()
+
+
 @register("kmeans_lloyd", sql=_kmeans_sql(False))
 def kmeans_lloyd(spark, sf):
-    centres, assigned, _ = KM.kmeans_lloyd(kmeans_points(spark, sf, False), FEATURES, KMEANS_INIT, KMEANS_ITERATIONS,
-                                           scales=SCALES)
-    return _kmeans_result(centres, assigned, False)
+    return _centres_and_sizes(spark, sf, False)
 
 
 @register("kmeans_grouped", sql=_kmeans_sql(True))
 def kmeans_grouped(spark, sf):
-    centres, assigned, _ = KM.kmeans_lloyd(kmeans_points(spark, sf, True), FEATURES, KMEANS_INIT, KMEANS_ITERATIONS,
-                                           group="grp", scales=SCALES)
-    return _kmeans_result(centres, assigned, True)
+    return _centres_and_sizes(spark, sf, True)
 
 
 @register("silhouette", sql=_silhouette_sql())
 def silhouette(spark, sf):
-    _, assigned, small = KM.kmeans_lloyd(kmeans_points(spark, sf, True), FEATURES, KMEANS_INIT, KMEANS_ITERATIONS,
-                                         group="grp", scales=SCALES)
-    s = KM.silhouette(assigned, len(FEATURES), len(KMEANS_INIT), small)
+    fit = _fit(spark, sf, True)
+    try:
+        s = checkpoint(KM.silhouette(fit.assigned(), fit.dims, fit.k, fit.small))  # one row per group
+    finally:
+        fit.release()
     return s.select(F.col(KM.GROUP).alias("grp"), F.round("silhouette", 6).alias("silhouette"), "n")

@@ -39,21 +39,23 @@ def points(spark):
 
 
 def test_kmeans_lloyd_two_clusters(spark):
-    centres, assigned, _ = KM.kmeans_lloyd(points(spark), ["x", "y", "z"], [[0.0, 0.0, 0.0], [9.0, 9.0, 9.0]], 10)
+    fit = KM.kmeans_lloyd(points(spark), ["x", "y", "z"], [[0.0, 0.0, 0.0], [9.0, 9.0, 9.0]], 10)
+    centres, assigned = fit.centres, fit.assigned()
     got = sorted(r["centre"] for r in centres.collect())
     assert got[0] == pytest.approx([0.1] * 3) and got[1] == pytest.approx([9.1] * 3)
     assert sorted(rows(KM.cluster_sizes(assigned), "cluster", "size")) == [(0, 3), (1, 3)]
 
 
 def test_empty_cluster_keeps_its_centre(spark):
-    centres, _, _ = KM.kmeans_lloyd(points(spark), ["x", "y", "z"], [[0.0] * 3, [9.0] * 3, [100.0] * 3], 3)
-    got = {r["cluster"]: r["centre"] for r in centres.collect()}
+    fit = KM.kmeans_lloyd(points(spark), ["x", "y", "z"], [[0.0] * 3, [9.0] * 3, [100.0] * 3], 3)
+    got = {r["cluster"]: r["centre"] for r in fit.centres.collect()}
     assert got[2] == [100.0] * 3
 
 
 def test_silhouette_matches_library_evaluator(spark):
-    _, assigned, small = KM.kmeans_lloyd(points(spark), ["x", "y", "z"], [[0.0] * 3, [9.0] * 3], 5)
-    ours = KM.silhouette(assigned, 3, 2, small).first()["silhouette"]
+    fit = KM.kmeans_lloyd(points(spark), ["x", "y", "z"], [[0.0] * 3, [9.0] * 3], 5)
+    assigned = fit.assigned()
+    ours = KM.silhouette(assigned, 3, 2, fit.small).first()["silhouette"]
     lib = ClusteringEvaluator(predictionCol="cluster").evaluate(
         assigned.select(array_to_vector(F.array("_x0", "_x1", "_x2")).alias("features"), F.col("cluster").cast("int")))
     assert ours == pytest.approx(lib, abs=1e-9) and ours == pytest.approx(0.999753, abs=1e-6)
@@ -63,10 +65,10 @@ def test_grouped_equals_separate_runs(spark):
     pts = spark.createDataFrame([("g1",) + p for p in POINTS] + [("g2", x + 1, y, z) for x, y, z in POINTS],
                                 "g string, x double, y double, z double")
     init = [[0.0] * 3, [9.0] * 3]
-    centres, _, _ = KM.kmeans_lloyd(pts, ["x", "y", "z"], init, 5, group="g")
-    got = {(r["_g"], r["cluster"]): r["centre"] for r in centres.collect()}
+    fit = KM.kmeans_lloyd(pts, ["x", "y", "z"], init, 5, group="g")
+    got = {(r["_g"], r["cluster"]): r["centre"] for r in fit.centres.collect()}
     for g in ("g1", "g2"):
-        alone, _, _ = KM.kmeans_lloyd(pts.filter(F.col("g") == g), ["x", "y", "z"], init, 5)
+        alone = KM.kmeans_lloyd(pts.filter(F.col("g") == g), ["x", "y", "z"], init, 5).centres
         for r in alone.collect():
             assert got[(g, r["cluster"])] == pytest.approx(r["centre"])
 
@@ -74,8 +76,8 @@ def test_grouped_equals_separate_runs(spark):
 def test_exact_means_do_not_depend_on_partitioning(spark):
     df = spark.range(0, 3000).select((F.col("id") % 97).alias("a"), (F.col("id") % 13).alias("b"))
     init = [[0.0, 0.0], [0.5, 0.5]]
-    one, _, _ = KM.kmeans_lloyd(df.coalesce(1), ["a", "b"], init, 4, scales=[100.0, 10.0])
-    many, _, _ = KM.kmeans_lloyd(df.repartition(7), ["a", "b"], init, 4, scales=[100.0, 10.0])
+    one = KM.kmeans_lloyd(df.coalesce(1), ["a", "b"], init, 4, scales=[100.0, 10.0]).centres
+    many = KM.kmeans_lloyd(df.repartition(7), ["a", "b"], init, 4, scales=[100.0, 10.0]).centres
     assert sorted(rows(one, "cluster", "centre")) == sorted(rows(many, "cluster", "centre"))
 
 
