@@ -190,5 +190,7 @@ def freq_itemsets(spark, sf):
     part = table(spark, sf, "part", "p_partkey", "p_brand")
     baskets = (li.join(part, li.l_partkey == part.p_partkey).groupBy("l_orderkey")
                .agg(F.collect_set("p_brand").alias("items")))
-    sets = CL.freq_itemsets(baskets, "items", MIN_SUPPORT)
+    # conditional trees are spread over the cluster's parallelism, not over however
+    # few partitions AQE coalesced the baskets into
+    sets = CL.freq_itemsets(baskets, "items", MIN_SUPPORT, num_partitions=spark.sparkContext.defaultParallelism)
     return sets.select(F.concat_ws(",", F.array_sort("items")).alias("items"), F.col("freq").cast("bigint"))
