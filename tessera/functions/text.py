@@ -40,3 +40,11 @@ def letter_share(text: Column | str, letter: str) -> Column:
     n = F.length(t)
     hits = n - F.length(F.replace(t, F.lit(letter), F.lit("")))
     return F.when(n > 0, hits / n).otherwise(F.lit(0.0))
+
+
+def tokens_of(text: Column | str) -> Column:
+    """Tokenizer semantics as built-in expressions: lower-case, split at every
+    whitespace character, trailing empty tokens dropped (a JVM ``split("\\\\s")``)."""
+    low = F.lower(F.col(text) if isinstance(text, str) else text)
+    trimmed = F.regexp_replace(low, r"\s+$", "")
+    return F.when(trimmed == "", F.array().cast("array<string>")).otherwise(F.split(trimmed, r"\s", -1))

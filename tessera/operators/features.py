@@ -13,6 +13,8 @@ from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tessera.functions.text import tokens_of
+
 
 def to_vector(df: DataFrame, array_col: str, out: str = "features") -> DataFrame:
     """``array<float|double>`` -> ml dense vector."""
@@ -67,9 +69,10 @@ def tokenize(df: DataFrame, text_col: str, out: str = "tokens") -> DataFrame:
 
 
 def term_counts(df: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """``(id, term, n)``: Tokenizer tokens counted per row id."""
-    toks = tokenize(df.select(id_col, text_col), text_col)
-    return (toks.select(id_col, F.explode("tokens").alias("term"))
+    """``(id, term, n)``: Tokenizer tokens counted per row id. The tokens come from
+    the same rule written as built-in expressions (``tokens_of``), which stay in
+    generated code instead of a per-row transformer function."""
+    return (df.select(id_col, F.explode(tokens_of(text_col)).alias("term"))
             .groupBy(id_col, "term").agg(F.count(F.lit(1)).alias("n")))
 
 

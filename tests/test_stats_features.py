@@ -105,3 +105,12 @@ def test_vector_index_marks_low_cardinality_features(spark):
 def test_tokenizer_term_counts(spark):
     df = spark.createDataFrame([(1, "Hi  hi\tthere \n")], "id int, text string")
     assert dict(rows(FE.term_counts(df, "id", "text"), "term", "n")) == {"hi": 2, "there": 1, "": 1}
+
+
+def test_native_tokens_equal_ml_tokenizer(spark):
+    from tessera.functions.text import tokens_of
+    texts = ["Hi  hi\tthere \n", "   ", "", "\nLead and\u000bmid", "ÄÉÑ sind Straße"]
+    df = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "id int, text string")
+    ml = {r["id"]: r["tokens"] for r in FE.tokenize(df, "text").collect()}
+    native = {r["id"]: r["t"] for r in df.select("id", tokens_of("text").alias("t")).collect()}
+    assert ml == native
