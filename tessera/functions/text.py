@@ -44,7 +44,10 @@ def letter_share(text: Column | str, letter: str) -> Column:
 
 def tokens_of(text: Column | str) -> Column:
     """Tokenizer semantics as built-in expressions: lower-case, split at every
-    whitespace character, trailing empty tokens dropped (a JVM ``split("\\\\s")``)."""
+    whitespace character, trailing empty tokens dropped (a JVM ``split("\\\\s")``:
+    an empty text gives one empty token, a text of only whitespace none)."""
     low = F.lower(F.col(text) if isinstance(text, str) else text)
     trimmed = F.regexp_replace(low, r"\s+$", "")
-    return F.when(trimmed == "", F.array().cast("array<string>")).otherwise(F.split(trimmed, r"\s", -1))
+    return (F.when(low == "", F.array(F.lit("")))
+            .when(trimmed == "", F.array().cast("array<string>"))
+            .otherwise(F.split(trimmed, r"\s", -1)))
