@@ -119,3 +119,14 @@ def freq_itemsets(baskets: DataFrame, items: str = "items", min_support: float =
         fp = fp.setNumPartitions(num_partitions)
     model = fp.fit(baskets.select(F.array_distinct(F.col(items)).alias("_items")))
     return model.freqItemsets
+
+
+def train_test_split(df: DataFrame, train_share: float = 0.7, seed: int = 42, id_col: str | None = None):
+    """70/30 (by default) split. With ``id_col`` the split is by ``pmod(id, 10)`` --
+    repeatable in any engine; otherwise ``randomSplit`` with an explicit seed."""
+    if id_col is not None:
+        buckets = int(round(train_share * 10))
+        is_train = F.pmod(F.col(id_col), F.lit(10)) < buckets
+        return df.filter(is_train), df.filter(~is_train)
+    train, test = df.randomSplit([train_share, 1.0 - train_share], seed=seed)
+    return train, test

@@ -74,3 +74,12 @@ def test_als_fits_known_pairs(spark):
     from tessera.plans import ml
     out = ml.als_dense(spark, SF_SMALL)
     assert out.count() > 0 and CL.rmse(out) < 0.35
+
+
+def test_train_test_split_both_ways(spark):
+    df = spark.range(0, 1000)
+    tr, te = CL.train_test_split(df, id_col="id")
+    assert (tr.count(), te.count()) == (700, 300)
+    a, b = CL.train_test_split(df, seed=7)
+    a2, _ = CL.train_test_split(df, seed=7)
+    assert a.count() + b.count() == 1000 and sorted(r[0] for r in a.collect()) == sorted(r[0] for r in a2.collect())
