@@ -64,7 +64,7 @@ def tree_models(train: DataFrame, test: DataFrame, kind: str, label: str = "labe
     return model, model.transform(test)
 
 
-def text_pipeline(text_col: str = "text", label: str = "label", num_features: int = 1000,
+def text_model(text_col: str = "text", label: str = "label", num_features: int = 1000,
                   max_iter: int = 10, reg: float = 0.001) -> Pipeline:
     """Tokenizer -> hashed term counts -> logistic regression."""
     return Pipeline(stages=[Tokenizer(inputCol=text_col, outputCol="words"),

@@ -101,20 +101,20 @@ def labelled_texts(spark, sf):
                                                split_flag("doc_id").alias("part")))
 
 
-@register("text_pipeline")
-def text_pipeline(spark, sf):
+@register("text_classifier")
+def text_classifier(spark, sf):
     train, test = _split(labelled_texts(spark, sf))
-    model = CL.text_pipeline().fit(train)
+    model = CL.text_model().fit(train)
     return _preds(model.transform(test), vector_to_array("probability")[1].alias("p1"))
 
 
-@register("pipeline_roundtrip")
-def pipeline_roundtrip(spark, sf):
+@register("model_save_load")
+def model_save_load(spark, sf):
     """Fit, save to the shared folder, load back; both models score the test split."""
     train, test = _split(labelled_texts(spark, sf))
-    model = CL.text_pipeline().fit(train)
-    CL.text_pipeline().write().overwrite().save(scratch_path(spark, "pipeline-unfitted"))
-    loaded = CL.save_and_load(model, scratch_path(spark, "pipeline-fitted"))
+    model = CL.text_model().fit(train)
+    CL.text_model().write().overwrite().save(scratch_path(spark, "model-unfitted"))
+    loaded = CL.save_and_load(model, scratch_path(spark, "model-fitted"))
     a = model.transform(test).select("doc_id", "label", "prediction")
     b = loaded.transform(test).select("doc_id", F.col("prediction").alias("reloaded_prediction"))
     return a.join(b, "doc_id")

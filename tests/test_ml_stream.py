@@ -64,9 +64,9 @@ def test_letter_models_beat_majority(spark):
     assert acc >= max(base, 1 - base)
 
 
-def test_pipeline_roundtrip_predicts_the_same(spark):
+def test_saved_model_predicts_the_same(spark):
     from tessera.plans import ml
-    out = ml.pipeline_roundtrip(spark, SF_SMALL).collect()
+    out = ml.model_save_load(spark, SF_SMALL).collect()
     assert out and all(r["prediction"] == r["reloaded_prediction"] for r in out)
 
 
