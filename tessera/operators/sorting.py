@@ -41,11 +41,13 @@ def ordered_cumsum(df: DataFrame, order: list, weight: str | None = None, out: s
         run += row["t"]
     out_type = T.LongType() if isinstance(wtype, (T.LongType, T.IntegerType)) else T.DoubleType()
     schema = T.StructType(list(staged.schema.fields) + [T.StructField(out, out_type, False)])
+    # one number per partition, sent once per executor rather than inside every task
+    start = df.sparkSession.sparkContext.broadcast(offsets)
 
     def running(batches):
         from pyspark import TaskContext
 
-        acc = offsets.get(TaskContext.get().partitionId(), 0)
+        acc = start.value.get(TaskContext.get().partitionId(), 0)
         for pdf in batches:
             if len(pdf):
                 c = pdf[w].cumsum() + acc
