@@ -89,3 +89,26 @@ def test_library_kmeans_and_bisecting(spark):
     assert CL.silhouette_ml(out) == pytest.approx(0.999753, abs=1e-6)
     bmodel, _ = CL.bisecting_kmeans(df, k=2, max_iter=5)
     assert bmodel.summary.trainingCost == pytest.approx(0.12, abs=1e-9)
+
+
+def test_grouped_cluster_sizes_sum_to_points(spark):
+    from tessera.plans import iterative as I
+    from tests.conftest import SF_SMALL
+    pts = I.kmeans_points(spark, SF_SMALL, True)
+    fit = KM.kmeans_lloyd(pts, I.FEATURES, I.KMEANS_INIT, 3, group="grp", scales=I.SCALES)
+    sizes = KM.cluster_sizes(fit.assigned()).groupBy("_g").agg(F.sum("size").alias("n"))
+    per_group = pts.groupBy(F.col("grp").alias("_g")).count()
+    assert sorted(rows(sizes, "_g", "n")) == sorted(rows(per_group, "_g", "count"))
+    fit.release()
+
+
+def test_bisecting_cost_not_above_one_cluster_cost(spark):
+    from tessera.plans import ml
+    from tests.conftest import SF_SMALL
+    emb = ml._embeddings(spark, SF_SMALL)
+    model, _ = CL.bisecting_kmeans(emb, k=2, max_iter=5)
+    from pyspark.ml.functions import vector_to_array
+    x = emb.select(F.posexplode(vector_to_array("features")).alias("pos", "v"))
+    one = x.groupBy("pos").agg((F.sum(F.col("v") * F.col("v")) - F.sum("v") ** 2 / F.count("v")).alias("ss")) \
+        .agg(F.sum("ss")).first()[0]
+    assert model.summary.trainingCost <= one + 1e-6

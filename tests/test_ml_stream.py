@@ -83,3 +83,17 @@ def test_train_test_split_both_ways(spark):
     a, b = CL.train_test_split(df, seed=7)
     a2, _ = CL.train_test_split(df, seed=7)
     assert a.count() + b.count() == 1000 and sorted(r[0] for r in a.collect()) == sorted(r[0] for r in a2.collect())
+
+
+def test_stream_counts_equal_batch_counts(spark):
+    from tessera.plans import streaming as PS
+    from tessera.sources.tables import table
+    got = sorted(rows_of(PS.stream_queue_counts(spark, SF_SMALL)))
+    ev = table(spark, SF_SMALL, "events", "event_id", "user_id")
+    want = ev.groupBy(F.pmod("event_id", F.lit(5)).cast("int").alias("chunk"),
+                      F.pmod("user_id", F.lit(10)).alias("key")).count()
+    assert got == sorted(rows_of(want.withColumnRenamed("count", "n")))
+
+
+def rows_of(df):
+    return [(r["chunk"], r["key"], r["n"]) for r in df.collect()]
