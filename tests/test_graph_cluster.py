@@ -112,3 +112,10 @@ def test_bisecting_cost_not_above_one_cluster_cost(spark):
     one = x.groupBy("pos").agg((F.sum(F.col("v") * F.col("v")) - F.sum("v") ** 2 / F.count("v")).alias("ss")) \
         .agg(F.sum("ss")).first()[0]
     assert model.summary.trainingCost <= one + 1e-6
+
+
+def test_silhouette_with_an_empty_cluster(spark):
+    assert spark.conf.get("spark.sql.ansi.enabled") == "true"
+    fit = KM.kmeans_lloyd(points(spark), ["x", "y", "z"], [[0.0] * 3, [9.0] * 3, [100.0] * 3], 3)
+    s = KM.silhouette(fit.assigned(), 3, 3, fit.small).first()["silhouette"]
+    assert s == pytest.approx(0.999753, abs=1e-6)  # the empty cluster plays no part
