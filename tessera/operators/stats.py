@@ -19,9 +19,9 @@ from tessera.operators.sorting import ordered_cumsum
 # (fractional parts of i*alpha give well-spread points in the unit square).
 ALPHA_X = 0.7548776662466927
 ALPHA_Y = 0.5698402909980532
-# Fixed value: the most query points one kernel-density call evaluates (each is
-# one aggregate column).
-MAX_DENSITY_POINTS = 1024
+# Fixed value: query points evaluated per pass of kernel density (each is one
+# aggregate column); more points take more passes.
+DENSITY_POINTS_PER_PASS = 1024
 
 
 def corr_pair(df: DataFrame, a: str, b: str, name: str = "r") -> DataFrame:
@@ -76,18 +76,26 @@ def corr_spearman(df: DataFrame, a: str, b: str, name: str = "r") -> DataFrame:
 def kernel_density(df: DataFrame, col: str, points: list[float], bandwidth: float) -> DataFrame:
     """Gaussian kernel density estimate at each query point: ``(point, density)``.
 
-    One pass: each point is one ``avg`` column of the same aggregate (no join of
-    points with the sample), then the single result row is unpivoted."""
-    if not points or len(points) > MAX_DENSITY_POINTS:
-        raise ValueError(f"between 1 and {MAX_DENSITY_POINTS} query points")
+    Each point is one ``avg`` column of a single aggregate over the sample (no join
+    of points with the sample); the one-row result is unpivoted. Points are
+    evaluated ``DENSITY_POINTS_PER_PASS`` at a time, so any number of points is
+    exact, at one pass over the sample per batch."""
+    if not points:
+        raise ValueError("no query points")
     h = float(bandwidth)
     norm = h * math.sqrt(2.0 * math.pi)
     x = F.col(col).cast("double")
-    dens = [(F.avg(F.exp(-0.5 * ((F.lit(float(p)) - x) / h) ** 2)) / norm).alias(f"d{i}")
-            for i, p in enumerate(points)]
-    one = df.agg(*dens)
-    cells = [F.struct(F.lit(float(p)).alias("point"), F.col(f"d{i}").alias("density")) for i, p in enumerate(points)]
-    return one.select(F.explode(F.array(*cells)).alias("c")).select("c.point", "c.density")
+    parts = []
+    for lo in range(0, len(points), DENSITY_POINTS_PER_PASS):
+        batch = [float(p) for p in points[lo:lo + DENSITY_POINTS_PER_PASS]]
+        one = df.agg(*[(F.avg(F.exp(-0.5 * ((F.lit(p) - x) / h) ** 2)) / norm).alias(f"d{i}")
+                       for i, p in enumerate(batch)])
+        cells = [F.struct(F.lit(p).alias("point"), F.col(f"d{i}").alias("density")) for i, p in enumerate(batch)]
+        parts.append(one.select(F.explode(F.array(*cells)).alias("c")).select("c.point", "c.density"))
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.unionByName(p)
+    return out
 
 
 def regression_metrics(df: DataFrame, prediction: str, label: str) -> DataFrame:

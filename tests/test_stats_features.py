@@ -45,8 +45,13 @@ def test_kernel_density_sample(spark):
     assert got[5.0] == pytest.approx(0.089629201273, abs=1e-9)
 
 
-def test_kernel_density_bounds_query_points(spark):
-    df = spark.createDataFrame([(1.0,)], "x double")
+def test_kernel_density_many_points_in_batches(spark, monkeypatch):
+    df = spark.createDataFrame([(float(v),) for v in [1, 2, 2, 5]], "x double")
+    pts = [float(p) for p in range(-3, 9)]
+    one_pass = dict(rows(S.kernel_density(df, "x", pts, 1.5), "point", "density"))
+    monkeypatch.setattr(S, "DENSITY_POINTS_PER_PASS", 5)
+    batched = dict(rows(S.kernel_density(df, "x", pts, 1.5), "point", "density"))
+    assert batched == one_pass and len(batched) == 12
     with pytest.raises(ValueError):
         S.kernel_density(df, "x", [], 1.0)
 
