@@ -74,14 +74,23 @@ def kv_filter(df: DataFrame, key: str, bound) -> DataFrame:
     return df.filter(F.col(key) > F.lit(bound))
 
 
+def group_value_counts(df: DataFrame, key: str, value: str, name: str = "n") -> DataFrame:
+    """The long form of a grouped list: ``(key, value, n)``, one row per distinct
+    pair (partial aggregate, then one shuffle). Use it directly when a key's
+    distinct values are not bounded."""
+    return df.groupBy(key, value).agg(F.count(F.lit(1)).alias(name))
+
+
 def group_lists(df: DataFrame, key: str, value: str, name: str = "items") -> DataFrame:
     """Per key, the sorted list of its values rendered as ``"v x count, ..."``.
 
     Values are first counted per ``(key, value)`` -- a partial aggregate -- so a key
     holds one entry per *distinct* value, never one per row: a hot key with
-    millions of repeats of a few values stays a few entries.
+    millions of repeats of a few values stays a few entries. Meant for values from
+    a bounded domain (quantities, flags, categories); otherwise keep the long form
+    of ``group_value_counts``.
     """
-    pairs = df.groupBy(key, value).agg(F.count(F.lit(1)).alias("_c"))
+    pairs = group_value_counts(df, key, value, "_c")
     entry = F.format_string("%sx%d", F.col(value).cast("bigint").cast("string"), F.col("_c"))
     return (pairs.groupBy(key)
             .agg(F.array_sort(F.collect_list(F.struct(F.col(value).alias("v"), entry.alias("e")))).alias("_l"))
