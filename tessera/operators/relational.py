@@ -91,7 +91,7 @@ def group_lists(df: DataFrame, key: str, value: str, name: str = "items") -> Dat
     of ``group_value_counts``.
     """
     pairs = group_value_counts(df, key, value, "_c")
-    entry = F.format_string("%sx%d", F.col(value).cast("bigint").cast("string"), F.col("_c"))
+    entry = F.format_string("%sx%d", F.col(value).cast("string"), F.col("_c"))
     return (pairs.groupBy(key)
             .agg(F.array_sort(F.collect_list(F.struct(F.col(value).alias("v"), entry.alias("e")))).alias("_l"))
             .select(key, F.concat_ws(",", F.transform("_l", lambda s: s["e"])).alias(name)))

@@ -135,7 +135,8 @@ def sum_by_key(spark, sf):
   FROM (SELECT l_orderkey, l_quantity, count(*) AS c FROM lineitem GROUP BY 1, 2) p
   GROUP BY l_orderkey""")
 def group_lists(spark, sf):
-    return R.group_lists(table(spark, sf, "lineitem", "l_orderkey", "l_quantity"), "l_orderkey", "l_quantity")
+    li = table(spark, sf, "lineitem", "l_orderkey", "l_quantity")  # quantities are whole units
+    return R.group_lists(li.withColumn("l_quantity", F.col("l_quantity").cast("bigint")), "l_orderkey", "l_quantity")
 
 
 @register("group_struct_list", sql="""

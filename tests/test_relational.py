@@ -57,8 +57,10 @@ def test_weighted_running_sum(spark):
 
 
 def test_group_lists_collapse_repeats(spark):
-    df = spark.createDataFrame([(1, 2.0), (1, 2.0), (1, 1.0), (2, 5.0)] + [(3, 7.0)] * 1000, "k int, v double")
+    df = spark.createDataFrame([(1, 2), (1, 2), (1, 1), (2, 5)] + [(3, 7)] * 1000, "k int, v int")
     assert dict(rows(R.group_lists(df, "k", "v"), "k", "items")) == {1: "1x1,2x2", 2: "5x1", 3: "7x1000"}
+    halves = spark.createDataFrame([(1, 2.5), (1, 10.0)], "k int, v double")
+    assert rows(R.group_lists(halves, "k", "v"), "items") == [("2.5x1,10.0x1",)]  # numeric order
 
 
 def test_union_keeps_duplicates_and_distinct_removes(spark):

@@ -83,7 +83,7 @@ def test_hot_key_lists_and_ranks_stay_bounded(spark):
                                       (F.col("id") % 5).cast("double").alias("v"))
     lists = dict(rows(R.group_lists(df, "k", "v"), "k", "items"))
     entries = lists[7].split(",")  # 10,001 rows of key 7 -> one entry per distinct value
-    assert [e.split("x")[0] for e in entries] == ["0", "1", "2", "3", "4"]
+    assert [e.split("x")[0] for e in entries] == ["0.0", "1.0", "2.0", "3.0", "4.0"]
     assert sum(int(e.split("x")[1]) for e in entries) == 10001
     ranks = dict(rows(S.average_ranks(df, "k"), "k", "rank"))
     # 7 holds 10,000 + 1 rows; values below 7 are 1, 2, 4, 5 (id % 3 != 0 among 0..6)
