@@ -80,6 +80,34 @@ def initial_centres(points: DataFrame, init: list[list[float]]) -> DataFrame:
             .select(GROUP, F.explode(F.array(*cells)).alias("s")).select(GROUP, "s.cluster", "s.centre"))
 
 
+def sampled_centres(points: DataFrame, k: int, dims: int, seed: int = 42, small: bool = True) -> DataFrame:
+    """``k`` start centres per group taken from the group's own points, repeatably
+    (a seeded ``takeSample``): every point gets the key ``xxhash64(seed, group,
+    features)`` and each group contributes its points with the ``k`` smallest keys.
+
+    Picked in ``k`` rounds of ``min_by`` (partial aggregates, one row per group),
+    each round keeping only keys above the previous pick -- no window over a hot
+    group, no collected list. A group with fewer than ``k`` distinct points repeats
+    its first pick (the spare clusters stay empty and keep their centre)."""
+    xs = [_x(d) for d in range(dims)]
+    keyed = points.select(GROUP, F.xxhash64(F.lit(seed), F.col(GROUP), *xs).alias("_key"), *xs)
+    picks, last = [], None
+    for j in range(k):
+        cand = keyed if last is None else (
+            keyed.join(F.broadcast(last) if small else last, GROUP).filter(F.col("_key") > F.col("_last")))
+        pick = checkpoint(cand.groupBy(GROUP).agg(F.min_by(F.array(*xs), "_key").alias("centre"),
+                                                   F.min("_key").alias("_last")))
+        picks.append(pick.select(GROUP, F.lit(j).alias("cluster"), "centre"))
+        last = pick.select(GROUP, "_last")
+    found = picks[0]
+    for p in picks[1:]:
+        found = found.unionByName(p)
+    grid = (picks[0].select(GROUP, F.col("centre").alias("_first"))
+            .select(GROUP, "_first", F.explode(F.sequence(F.lit(0), F.lit(k - 1))).alias("cluster")))
+    return (grid.join(found, [GROUP, "cluster"], "left")
+            .select(GROUP, "cluster", F.coalesce("centre", "_first").alias("centre")))
+
+
 def _centre_lists(centres: DataFrame) -> DataFrame:
     """One row per group: ``_cs`` = its ``k`` centres ordered by cluster."""
     return centres.groupBy(GROUP).agg(
@@ -133,20 +161,25 @@ class KMeansFit:
         self.points.unpersist()
 
 
-def kmeans_lloyd(df: DataFrame, features: list[str], init: list[list[float]], iterations: int,
+def kmeans_lloyd(df: DataFrame, features: list[str], init: list[list[float]] | int, iterations: int,
                  group: str | None = None, tol: float | None = None,
-                 scales: list[float] | None = None) -> KMeansFit:
+                 scales: list[float] | None = None, seed: int = 42) -> KMeansFit:
     """Lloyd's K-means per group (one job for all groups).
 
     ``centres`` = ``(_g, cluster, centre)``; ``small`` = whether the per-group side
     was proven small enough to broadcast. With ``tol`` it stops early once the
     summed squared centre movement is at most ``tol`` (one small extra job per
-    round); without it it runs ``iterations`` rounds.
+    round); without it it runs ``iterations`` rounds. ``init`` is either the
+    explicit start centres (the same for every group) or ``k``: start from ``k``
+    points of each group sampled with ``seed``.
     """
-    k, dims = len(init), len(features)
+    k, dims = (init if isinstance(init, int) else len(init)), len(features)
     points = prepare_points(df, features, group, scales).persist(StorageLevel.MEMORY_AND_DISK)
-    centres = checkpoint(initial_centres(points, init))
-    small = centres.count() <= MAX_BROADCAST_CENTRES
+    n_groups = points.select(GROUP).distinct().count()
+    small = n_groups * k <= MAX_BROADCAST_CENTRES
+    start = (sampled_centres(points, k, dims, seed, small) if isinstance(init, int)
+             else initial_centres(points, init))
+    centres = checkpoint(start)
     for _ in range(iterations):
         new = checkpoint(update(assign(points, centres, k, dims, small), centres, dims, scales, small))
         if tol is not None:

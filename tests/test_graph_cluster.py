@@ -119,3 +119,16 @@ def test_silhouette_with_an_empty_cluster(spark):
     fit = KM.kmeans_lloyd(points(spark), ["x", "y", "z"], [[0.0] * 3, [9.0] * 3, [100.0] * 3], 3)
     s = KM.silhouette(fit.assigned(), 3, 3, fit.small).first()["silhouette"]
     assert s == pytest.approx(0.999753, abs=1e-6)  # the empty cluster plays no part
+
+
+def test_sampled_start_is_repeatable_and_converges(spark):
+    pts = spark.createDataFrame([("g1",) + p for p in POINTS] + [("g2", x + 1, y, z) for x, y, z in POINTS] +
+                                [("g3", 5.0, 5.0, 5.0)], "g string, x double, y double, z double")
+    a = KM.kmeans_lloyd(pts, ["x", "y", "z"], 2, 10, group="g", seed=42)
+    b = KM.kmeans_lloyd(pts.repartition(5), ["x", "y", "z"], 2, 10, group="g", seed=42)
+    got = {(r["_g"], r["cluster"]): r["centre"] for r in a.centres.collect()}
+    assert got == {(r["_g"], r["cluster"]): r["centre"] for r in b.centres.collect()}
+    g1 = sorted(v for (g, _), v in got.items() if g == "g1")
+    assert g1[0] == pytest.approx([0.1] * 3) and g1[1] == pytest.approx([9.1] * 3)
+    assert got[("g3", 0)] == got[("g3", 1)] == [5.0, 5.0, 5.0]  # one point: the spare cluster repeats it
+    assert sorted(rows(KM.cluster_sizes(a.assigned()).filter("_g = 'g3'"), "cluster", "size")) == [(0, 1)]
