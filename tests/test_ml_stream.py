@@ -97,3 +97,10 @@ def test_stream_counts_equal_batch_counts(spark):
 
 def rows_of(df):
     return [(r["chunk"], r["key"], r["n"]) for r in df.collect()]
+
+
+def test_als_ratings_fit_known_pairs_far_better_than_the_mean(spark):
+    from tessera.operators import stats as S
+    from tessera.plans import ml
+    m = S.regression_metrics(ml.als_ratings(spark, SF_SMALL), "prediction", "rating").first()
+    assert m["n"] > 0 and m["r2"] > 0.5
