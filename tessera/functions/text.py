@@ -34,12 +34,13 @@ def word_count_rtrimmed(line: Column | str) -> Column:
     return F.when((trimmed == "") & (c != ""), F.lit(0)).otherwise(F.size(F.split(trimmed, WORD_SEP, -1)))
 
 
-def letter_share(text: Column | str, letter: str) -> Column:
-    """Share of ``letter`` among the characters of lower-cased ``text``."""
-    t = F.lower(F.col(text) if isinstance(text, str) else text)
-    n = F.length(t)
-    hits = n - F.length(F.replace(t, F.lit(letter), F.lit("")))
-    return F.when(n > 0, hits / n).otherwise(F.lit(0.0))
+def letter_shares(lowered: str, length: str, letters: list[str]) -> list[Column]:
+    """Share of each letter among the characters of an already lower-cased text
+    column ``lowered`` of length ``length`` (lower-case once, then count each
+    letter as the length lost by deleting it)."""
+    n = F.greatest(F.col(length), F.lit(1))
+    return [((F.col(length) - F.length(F.replace(F.col(lowered), F.lit(ch), F.lit("")))) / n).alias(f"f{i}")
+            for i, ch in enumerate(letters)]
 
 
 def tokens_of(text: Column | str) -> Column:

@@ -8,11 +8,11 @@ from pyspark.ml.feature import StringIndexer, VectorAssembler
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.sql import functions as F
 
-from tessera.functions.text import letter_share
+from tessera.functions.text import letter_shares
 from tessera.operators import classify as CL
 from tessera.plans.registry import register
 from tessera.plans.stats import split_flag
-from tessera.session import scratch_path
+from tessera.session import checkpoint, scratch_path
 from tessera.sources.tables import table
 
 # Letters whose shares describe a document's language.
@@ -24,12 +24,16 @@ MIN_SUPPORT = 0.004
 
 def letter_docs(spark, sf):
     """``(doc_id, lang, label, features, part)``: letter shares of every document;
-    ``label`` = 1.0 for English."""
+    ``label`` = 1.0 for English.
+
+    The feature table is small (16 numbers per text) and every estimator passes
+    over it many times, so it is computed once from the texts and checkpointed."""
     docs = table(spark, sf, "documents", "doc_id", "text", "lang")
-    cols = [letter_share("text", ch).alias(f"f{i}") for i, ch in enumerate(LETTERS)]
-    feats = docs.select("doc_id", "lang", (F.col("lang") == "en").cast("double").alias("label"), *cols)
+    low = docs.select("doc_id", "lang", F.lower("text").alias("_t")).withColumn("_n", F.length("_t"))
+    feats = low.select("doc_id", "lang", (F.col("lang") == "en").cast("double").alias("label"),
+                       *letter_shares("_t", "_n", LETTERS))
     vec = VectorAssembler(inputCols=[f"f{i}" for i in range(len(LETTERS))], outputCol="features").transform(feats)
-    return vec.select("doc_id", "lang", "label", "features", split_flag("doc_id").alias("part"))
+    return checkpoint(vec.select("doc_id", "lang", "label", "features", split_flag("doc_id").alias("part")))
 
 
 def _split(df):
