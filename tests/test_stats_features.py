@@ -119,3 +119,15 @@ def test_native_tokens_equal_ml_tokenizer(spark):
     ml = {r["id"]: r["tokens"] for r in FE.tokenize(df, "text").collect()}
     native = {r["id"]: r["t"] for r in df.select("id", tokens_of("text").alias("t")).collect()}
     assert ml == native
+
+
+def test_spearman_equals_library_spearman_on_a_table(spark):
+    from pyspark.ml.feature import VectorAssembler
+    from pyspark.ml.stat import Correlation
+    from tessera.sources.tables import table
+    from tests.conftest import SF_SMALL
+    li = table(spark, SF_SMALL, "lineitem", "l_quantity", "l_tax")
+    ours = S.corr_spearman(li, "l_quantity", "l_tax").first()[0]
+    vec = VectorAssembler(inputCols=["l_quantity", "l_tax"], outputCol="v").transform(li)
+    lib = Correlation.corr(vec, "v", "spearman").first()[0].toArray()[0][1]
+    assert ours == pytest.approx(lib, abs=1e-9)
