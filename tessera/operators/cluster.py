@@ -25,7 +25,7 @@ from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tessera.session import checkpoint
+from tessera.session import checkpoint, spread
 
 # Fixed value: the largest centre table (groups x k rows) shipped to every task.
 MAX_BROADCAST_CENTRES = 200_000
@@ -174,7 +174,7 @@ def kmeans_lloyd(df: DataFrame, features: list[str], init: list[list[float]] | i
     points of each group sampled with ``seed``.
     """
     k, dims = (init if isinstance(init, int) else len(init)), len(features)
-    points = prepare_points(df, features, group, scales).persist(StorageLevel.MEMORY_AND_DISK)
+    points = spread(prepare_points(df, features, group, scales)).persist(StorageLevel.MEMORY_AND_DISK)
     n_groups = points.select(GROUP).distinct().count()
     small = n_groups * k <= MAX_BROADCAST_CENTRES
     start = (sampled_centres(points, k, dims, seed, small) if isinstance(init, int)

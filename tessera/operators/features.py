@@ -14,6 +14,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tessera.functions.text import tokens_of
+from tessera.session import spread
 
 
 def to_vector(df: DataFrame, array_col: str, out: str = "features") -> DataFrame:
@@ -72,7 +73,7 @@ def term_counts(df: DataFrame, id_col: str, text_col: str) -> DataFrame:
     """``(id, term, n)``: Tokenizer tokens counted per row id. The tokens come from
     the same rule written as built-in expressions (``tokens_of``), which stay in
     generated code instead of a per-row transformer function."""
-    return (df.select(id_col, F.explode(tokens_of(text_col)).alias("term"))
+    return (spread(df.select(id_col, text_col)).select(id_col, F.explode(tokens_of(text_col)).alias("term"))
             .groupBy(id_col, "term").agg(F.count(F.lit(1)).alias("n")))
 
 

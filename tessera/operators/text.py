@@ -11,16 +11,17 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tessera.functions.text import LINE_SEP, text_words, word_count_rtrimmed, words_of
+from tessera.session import spread
 
 
 def lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``(id, line_no, line)``: one row per line of every text, ``line_no`` from 0."""
-    return docs.select(id_col, F.posexplode(F.split(F.col(text_col), LINE_SEP, -1)).alias("line_no", "line"))
+    return spread(docs).select(id_col, F.posexplode(F.split(F.col(text_col), LINE_SEP, -1)).alias("line_no", "line"))
 
 
 def words(docs: DataFrame, text_col: str = "text") -> DataFrame:
     """``(word)``: every one-space word of every line, blanks kept."""
-    return docs.select(F.explode(text_words(text_col)).alias("word"))
+    return spread(docs.select(text_col)).select(F.explode(text_words(text_col)).alias("word"))
 
 
 def wordcount(docs: DataFrame, text_col: str = "text", drop_blank: bool = False) -> DataFrame:

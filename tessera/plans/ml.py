@@ -12,7 +12,7 @@ from tessera.functions.text import letter_shares
 from tessera.operators import classify as CL
 from tessera.plans.registry import register
 from tessera.plans.stats import split_flag
-from tessera.session import checkpoint, scratch_path
+from tessera.session import checkpoint, scratch_path, spread
 from tessera.sources.tables import table
 
 # Letters whose shares describe a document's language.
@@ -28,7 +28,7 @@ def letter_docs(spark, sf):
 
     The feature table is small (16 numbers per text) and every estimator passes
     over it many times, so it is computed once from the texts and checkpointed."""
-    docs = table(spark, sf, "documents", "doc_id", "text", "lang")
+    docs = spread(table(spark, sf, "documents", "doc_id", "text", "lang"))
     low = docs.select("doc_id", "lang", F.lower("text").alias("_t")).withColumn("_n", F.length("_t"))
     feats = low.select("doc_id", "lang", (F.col("lang") == "en").cast("double").alias("label"),
                        *letter_shares("_t", "_n", LETTERS))
@@ -99,7 +99,7 @@ def gbt_classifier(spark, sf):
 
 
 def labelled_texts(spark, sf):
-    docs = table(spark, sf, "documents", "doc_id", "text")
+    docs = spread(table(spark, sf, "documents", "doc_id", "text"))
     labels = table(spark, sf, "labels", "doc_id", "quality")
     return (docs.join(labels, "doc_id").select("doc_id", "text", F.col("quality").cast("double").alias("label"),
                                                split_flag("doc_id").alias("part")))

@@ -71,3 +71,14 @@ def checkpoint(df):
     """Cut lineage with a reliable checkpoint in the shared folder (eager)."""
     shared_dir(df.sparkSession)
     return df.checkpoint(eager=True)
+
+
+def spread(df):
+    """Round-robin ``df`` over the cluster's cores when it arrives in fewer
+    partitions than that -- a small input stored as one parquet row group is
+    read by a single task, and heavy per-row work after the scan (splitting texts,
+    feature arithmetic, iterations over cached points) would run on one core.
+    A large input already has more partitions than cores: then this is a no-op
+    and adds no shuffle."""
+    n = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(n) if df.rdd.getNumPartitions() < n else df
