@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from tessera.operators import cluster as KM
 from tessera.operators import graph as G
 from tessera.plans.registry import register
-from tessera.session import checkpoint
+from tessera.session import checkpoint, spread
 from tessera.sources.tables import table
 
 # Rounds, start centres and feature scaling of the iterative keys.
@@ -62,7 +62,7 @@ def pagerank(spark, sf):
 
 def kmeans_points(spark, sf, grouped: bool):
     """Scaled (quantity, discount, price) per line item; grouped by part brand."""
-    li = table(spark, sf, "lineitem", "l_partkey", "l_quantity", "l_discount", "l_extendedprice")
+    li = spread(table(spark, sf, "lineitem", "l_partkey", "l_quantity", "l_discount", "l_extendedprice"))
     pts = li.select("l_partkey", F.col("l_quantity").cast("bigint").alias("x0"),
                     F.round(F.col("l_discount") * 100).cast("bigint").alias("x1"),
                     F.round(F.col("l_extendedprice") * 100).cast("bigint").alias("x2"))

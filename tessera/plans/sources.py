@@ -12,7 +12,7 @@ from tessera.operators import text as TX
 from tessera.plans.registry import register
 from tessera.plans.relational import ACTIVITY_SQL, activity
 from tessera.plans.text import LINES_SQL, WORDS_SQL
-from tessera.session import scratch_path
+from tessera.session import scratch_path, spread
 from tessera.sources import catalog as C
 from tessera.sources import files as FS
 from tessera.sources.tables import SCHEMAS, table
@@ -29,7 +29,7 @@ def _uid() -> str:
 
 @register("text_scan", sql=f"SELECT line AS value FROM ({LINES_SQL}) l")
 def text_scan(spark, sf):
-    path = FS.write_text(table(spark, sf, "documents", "text"), scratch_path(spark, "docs-text"), "text")
+    path = FS.write_text(spread(table(spark, sf, "documents", "text")), scratch_path(spark, "docs-text"), "text")
     return FS.read_text(spark, path)
 
 
@@ -52,7 +52,7 @@ def json_scan(spark, sf):
 
 
 def _staged_lineitem_csv(spark, sf):
-    return FS.write_csv(table(spark, sf, "lineitem"), scratch_path(spark, "lineitem-csv"))
+    return FS.write_csv(spread(table(spark, sf, "lineitem")), scratch_path(spark, "lineitem-csv"))
 
 
 @register("csv_scan", sql="SELECT l_orderkey, l_partkey, l_quantity, l_extendedprice FROM lineitem")
@@ -89,7 +89,7 @@ def drop_nulls(spark, sf):
 
 @register("parse_delimited", sql="SELECT l_suppkey AS user, l_partkey AS item, l_quantity AS rating FROM lineitem")
 def parse_delimited(spark, sf):
-    li = table(spark, sf, "lineitem", "l_suppkey", "l_partkey", "l_quantity")
+    li = spread(table(spark, sf, "lineitem", "l_suppkey", "l_partkey", "l_quantity"))
     line = F.concat_ws(RATING_SEP, F.col("l_suppkey").cast("string"), F.col("l_partkey").cast("string"),
                        F.col("l_quantity").cast("string"))
     path = FS.write_text(li, scratch_path(spark, "ratings-text"), line)

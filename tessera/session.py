@@ -7,6 +7,7 @@ created when that setting is unset *and* the master is local, as in tests.
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
@@ -79,6 +80,15 @@ def spread(df):
     read by a single task, and heavy per-row work after the scan (splitting texts,
     feature arithmetic, iterations over cached points) would run on one core.
     A large input already has more partitions than cores: then this is a no-op
-    and adds no shuffle."""
+    and adds no shuffle. Apply it to a scan or a narrow projection/filter of one:
+    reading the partition count of an input that contains a shuffle would run
+    that shuffle's first stage."""
+    if _SHUFFLING.search(df._jdf.queryExecution().optimizedPlan().toString()):
+        return df  # already spread by its own exchange; do not run it to find out
     n = df.sparkSession.sparkContext.defaultParallelism
     return df.repartition(n) if df.rdd.getNumPartitions() < n else df
+
+
+# Logical operators that plan an exchange (their output has shuffle parallelism).
+_SHUFFLING = re.compile(r"(^|[\s+:-])(Aggregate|Join|Repartition\w*|Sort|Window|Deduplicate\w*|Distinct)\b",
+                        re.MULTILINE)

@@ -2,8 +2,8 @@
 
 Readers take explicit schemas except where inference *is* the operator
 (``read_json_inferred``). Writers never ``coalesce(1)`` unless asked: one file
-per task keeps the write parallel (an input with fewer partitions than cores is
-spread first).
+per task keeps the write parallel (plans spread a small scan first, see
+``tessera.session.spread``).
 """
 
 from __future__ import annotations
@@ -12,8 +12,6 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tessera.session import spread
-
 
 def read_text(spark: SparkSession, path: str) -> DataFrame:
     """Text scan: one row ``value`` per line (``\\n``, ``\\r\\n`` or ``\\r`` end a line)."""
@@ -23,7 +21,8 @@ def read_text(spark: SparkSession, path: str) -> DataFrame:
 def write_text(df: DataFrame, path: str, col: str | Column = "value", single_file: bool = False) -> str:
     """Text sink: one line per row of the single string column ``col``."""
     out = df.select(F.col(col) if isinstance(col, str) else col)
-    out = out.coalesce(1) if single_file else spread(out)
+    if single_file:
+        out = out.coalesce(1)
     out.write.mode("overwrite").text(path)
     return path
 
@@ -39,7 +38,7 @@ def read_json(spark: SparkSession, path: str, schema: str | T.StructType) -> Dat
 
 
 def write_csv(df: DataFrame, path: str, header: bool = True) -> str:
-    spread(df).write.mode("overwrite").option("header", header).csv(path)
+    df.write.mode("overwrite").option("header", header).csv(path)
     return path
 
 
@@ -72,7 +71,7 @@ def _regex_literal(s: str) -> str:
 
 
 def write_libsvm(df: DataFrame, path: str, label: str = "label", features: str = "features") -> str:
-    spread(df.select(F.col(label).cast("double").alias("label"), F.col(features).alias("features"))) \
+    df.select(F.col(label).cast("double").alias("label"), F.col(features).alias("features")) \
         .write.mode("overwrite").format("libsvm").save(path)
     return path
 

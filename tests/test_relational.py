@@ -70,3 +70,13 @@ def test_union_keeps_duplicates_and_distinct_removes(spark):
     assert sorted(rows(R.distinct_vals(R.union_bag(a, b), "v"), "v")) == [(1,), (2,), (3,)]
     mm = R.min_max(R.union_bag(a, b), "v").first()
     assert (mm["min_v"], mm["max_v"]) == (1, 3)
+
+
+def test_spread_only_touches_plain_scans(spark):
+    from tessera.session import spread
+    base = spark.range(0, 100, 1, 1)
+    assert spread(base) is not base and spread(base).rdd.getNumPartitions() >= 2
+    agg = base.groupBy((F.col("id") % 3).alias("k")).count()
+    assert spread(agg) is agg  # shuffled input: left alone, and nothing was run to decide
+    wide = spark.range(0, 100, 1, 64)
+    assert spread(wide) is wide
