@@ -175,11 +175,12 @@ def kmeans_lloyd(df: DataFrame, features: list[str], init: list[list[float]] | i
     """
     k, dims = (init if isinstance(init, int) else len(init)), len(features)
     points = prepare_points(df, features, group, scales).persist(StorageLevel.MEMORY_AND_DISK)
-    n_groups = points.select(GROUP).distinct().count()
-    small = n_groups * k <= MAX_BROADCAST_CENTRES
-    start = (sampled_centres(points, k, dims, seed, small) if isinstance(init, int)
-             else initial_centres(points, init))
-    centres = checkpoint(start)
+    if isinstance(init, int):
+        small = points.select(GROUP).distinct().count() * k <= MAX_BROADCAST_CENTRES
+        centres = checkpoint(sampled_centres(points, k, dims, seed, small))
+    else:
+        centres = checkpoint(initial_centres(points, init))  # groups x k rows
+        small = centres.count() <= MAX_BROADCAST_CENTRES
     for _ in range(iterations):
         new = checkpoint(update(assign(points, centres, k, dims, small), centres, dims, scales, small))
         if tol is not None:
