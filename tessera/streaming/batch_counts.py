@@ -15,6 +15,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tessera.functions.text import text_words
+from tessera.session import spread
 
 
 def file_stream(spark: SparkSession, path: str, schema: str, fmt: str = "parquet",
@@ -55,7 +56,7 @@ def replay_queue(batches: DataFrame, batch_col: str, n_batches: int, folder: str
     trigger that consumes exactly the new files as one micro-batch.
 
     The input is read once (persisted projection), not once per batch."""
-    staged = batches.persist(StorageLevel.MEMORY_AND_DISK)
+    staged = spread(batches).persist(StorageLevel.MEMORY_AND_DISK)
     try:
         for i in range(n_batches):
             w = staged.filter(F.col(batch_col) == i).write.mode("append").format(fmt)
