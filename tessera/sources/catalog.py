@@ -11,10 +11,12 @@ def temp_view(df: DataFrame, name: str) -> str:
 
 
 def global_view(df: DataFrame, name: str) -> str:
-    """Register ``name`` in ``global_temp``, visible to every session of this app.
+    """Register ``name`` in the global temporary database (``global_temp`` unless the
+    session names another), visible to every session of this app.
     ``createOrReplace``: a second registration must not fail."""
     df.createOrReplaceGlobalTempView(name)
-    return f"global_temp.{name}"
+    db = df.sparkSession.conf.get("spark.sql.globalTempDatabase", "global_temp")
+    return f"{db}.{name}"
 
 
 def query_from_new_session(spark: SparkSession, sql: str) -> DataFrame:
