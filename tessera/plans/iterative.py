@@ -28,8 +28,8 @@ FEATURES = ["x0", "x1", "x2"]
 def graph_edges(spark, sf):
     """Bipartite edges from orders x lineitem: customer -> supplier for returned
     flag 'A', supplier -> customer for 'R' (string node ids ``c<key>``/``s<key>``)."""
-    li = table(spark, sf, "lineitem", "l_orderkey", "l_suppkey", "l_returnflag") \
-        .filter(F.col("l_returnflag").isin("A", "R"))
+    li = spread(table(spark, sf, "lineitem", "l_orderkey", "l_suppkey", "l_returnflag")
+                .filter(F.col("l_returnflag").isin("A", "R")))
     od = table(spark, sf, "orders", "o_orderkey", "o_custkey")
     j = li.join(od, li.l_orderkey == od.o_orderkey)
     c = F.concat(F.lit("c"), F.col("o_custkey").cast("string"))

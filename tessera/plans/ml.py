@@ -144,7 +144,7 @@ def bisecting_kmeans(spark, sf):
 def quantity_ratings(spark, sf):
     """``(user_id, item_id, rating)``: a customer's mean quantity of a part, on a
     1..5-like scale (/10), shifted by -2.5 as the recommender example does."""
-    li = table(spark, sf, "lineitem", "l_orderkey", "l_partkey", "l_quantity")
+    li = spread(table(spark, sf, "lineitem", "l_orderkey", "l_partkey", "l_quantity"))
     od = table(spark, sf, "orders", "o_orderkey", "o_custkey")
     r = (li.join(od, li.l_orderkey == od.o_orderkey)
          .groupBy(F.col("o_custkey").cast("int").alias("user_id"), F.col("l_partkey").cast("int").alias("item_id"))
@@ -161,7 +161,7 @@ def als_ratings(spark, sf):
 @register("als_dense")
 def als_dense(spark, sf):
     """Customer nation x supplier nation mean quantity (a full 25 x 25 matrix)."""
-    li = table(spark, sf, "lineitem", "l_orderkey", "l_suppkey", "l_quantity")
+    li = spread(table(spark, sf, "lineitem", "l_orderkey", "l_suppkey", "l_quantity"))
     od = table(spark, sf, "orders", "o_orderkey", "o_custkey")
     cu = table(spark, sf, "customer", "c_custkey", "c_nationkey")
     su = table(spark, sf, "supplier", "s_suppkey", "s_nationkey")
@@ -190,7 +190,7 @@ def _itemsets_sql(max_size: int = 4) -> str:
 @register("freq_itemsets", sql=_itemsets_sql())
 def freq_itemsets(spark, sf):
     """Baskets = the distinct brands of each order."""
-    li = table(spark, sf, "lineitem", "l_orderkey", "l_partkey")
+    li = spread(table(spark, sf, "lineitem", "l_orderkey", "l_partkey"))
     part = table(spark, sf, "part", "p_partkey", "p_brand")
     baskets = (li.join(part, li.l_partkey == part.p_partkey).groupBy("l_orderkey")
                .agg(F.collect_set("p_brand").alias("items")))

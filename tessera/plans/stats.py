@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from tessera.operators import stats as S
 from tessera.plans.registry import register
-from tessera.session import checkpoint
+from tessera.session import checkpoint, spread
 from tessera.sources.tables import table
 
 # Columns, query points and bandwidth of the statistics keys.
@@ -88,7 +88,7 @@ RATINGS_SQL = """
 
 def ratings(spark, sf):
     """``(user_id, item_id, rating)``: mean quantity a customer bought of a part."""
-    li = table(spark, sf, "lineitem", "l_orderkey", "l_partkey", "l_quantity")
+    li = spread(table(spark, sf, "lineitem", "l_orderkey", "l_partkey", "l_quantity"))
     od = table(spark, sf, "orders", "o_orderkey", "o_custkey")
     return (li.join(od, li.l_orderkey == od.o_orderkey)
             .groupBy(F.col("o_custkey").alias("user_id"), F.col("l_partkey").alias("item_id"))
