@@ -192,8 +192,10 @@ def freq_itemsets(spark, sf):
     """Baskets = the distinct brands of each order."""
     li = spread(table(spark, sf, "lineitem", "l_orderkey", "l_partkey"))
     part = table(spark, sf, "part", "p_partkey", "p_brand")
-    baskets = (li.join(part, li.l_partkey == part.p_partkey).groupBy("l_orderkey")
-               .agg(F.collect_set("p_brand").alias("items")))
+    # materialised once: the fit counts items, and the itemsets are mined later,
+    # lazily, after the fit has released its own cache of the input
+    baskets = checkpoint(li.join(part, li.l_partkey == part.p_partkey).groupBy("l_orderkey")
+                         .agg(F.collect_set("p_brand").alias("items")))
     # conditional trees are spread over the cluster's parallelism, not over however
     # few partitions AQE coalesced the baskets into
     sets = CL.freq_itemsets(baskets, "items", MIN_SUPPORT, num_partitions=spark.sparkContext.defaultParallelism)
