@@ -51,7 +51,8 @@ def pagerank(edges: DataFrame, iterations: int, src: str = "src", dst: str = "ds
     small = n_nodes <= MAX_BROADCAST_NODES
     nodes = None
     if keep_all_nodes:
-        nodes = links.select(F.col("src").alias("node")).union(links.select(F.col("dst").alias("node"))).distinct()
+        nodes = checkpoint(links.select(F.col("src").alias("node"))
+                           .union(links.select(F.col("dst").alias("node"))).distinct())  # once, not per round
     for it in range(iterations):
         contribs = (links.join(F.broadcast(ranks) if small else ranks, links.src == ranks.node)
                     .select(F.col("dst").alias("node"), (F.col("rank") / F.col("deg")).alias("c")))
