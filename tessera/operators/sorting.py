@@ -3,7 +3,7 @@
 ``ORDER BY`` is a range-partitioned sort: partition *i* holds the *i*-th key range,
 sorted. A running sum in that order (a position, or a cumulative count for ranks)
 then needs only (1) the total of every partition -- one small row per partition --
-and (2) a per-partition running sum started at the total of all earlier
+and (2) a per-partition index or running sum started at the total of all earlier
 partitions. A ``row_number() OVER (ORDER BY ...)`` without ``PARTITION BY`` would
 instead pull every row into one task.
 """
@@ -57,5 +57,24 @@ def ordered_cumsum(df: DataFrame, order: list, weight: str | None = None, out: s
 
 
 def with_position(df: DataFrame, order: list, name: str = "pos") -> DataFrame:
-    """``df`` in the global ``order`` with a 1-based position column."""
-    return ordered_cumsum(df, order, None, out=name)
+    """``df`` in the global ``order`` with a 1-based position column, JVM side only.
+
+    After the sorted rows are checkpointed, ``monotonically_increasing_id`` holds
+    the partition index in its upper bits and the row's index within the
+    partition in its lower 33 bits; the position is the partition's offset (the
+    row count of all earlier partitions: a table of one row per partition,
+    broadcast) plus that index plus one."""
+    spark = df.sparkSession
+    staged = checkpoint(df.orderBy(*order).withColumn("_mid", F.monotonically_increasing_id()))
+    totals = (staged.groupBy(F.spark_partition_id().alias("_pid"))
+              .agg(F.count(F.lit(1)).alias("_t")).collect())  # one row per partition
+    rows, run = [], 0
+    for r in sorted(totals, key=lambda r: r["_pid"]):
+        rows.append((r["_pid"], run))
+        run += r["_t"]
+    offsets = spark.createDataFrame(rows, "_pid int, _off bigint")
+    low_bits = F.col("_mid").bitwiseAND(F.lit((1 << 33) - 1))
+    pid = F.shiftright(F.col("_mid"), 33).cast("int")
+    return (staged.join(F.broadcast(offsets), pid == F.col("_pid"))
+            .withColumn(name, F.col("_off") + low_bits + 1)
+            .drop("_mid", "_pid", "_off"))
