@@ -10,7 +10,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tessera.llm import exact_dedup, mixing, sharding
+from tessera.llm import exact_dedup, mixing, sharding, simhash
 from tessera.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -74,3 +74,8 @@ FROM d JOIN r ON d.source IS NOT DISTINCT FROM r.source
 """)
 def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix_report(table(spark, sf_dir, "documents"))
+
+
+@query("op2_simhash")
+def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash.near_duplicate_report(table(spark, sf_dir, "documents"))
