@@ -8,9 +8,10 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from tessera.llm import exact_dedup, mixing, sharding, simhash
+from tessera.llm import exact_dedup, mixing, packing, sharding, simhash
 from tessera.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -79,3 +80,8 @@ def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op2_simhash")
 def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicate_report(table(spark, sf_dir, "documents"))
+
+
+@query("op7_packing")
+def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack_documents(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
