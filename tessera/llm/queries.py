@@ -11,7 +11,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from tessera.llm import exact_dedup, mixing, packing, pii, quality, sharding, simhash, toxicity
+from tessera.llm import exact_dedup, html_text, mixing, packing, pii, quality, sharding, simhash, toxicity
 from tessera.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -100,3 +100,8 @@ def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op3_pii")
 def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.pseudonymise(table(spark, sf_dir, "documents"))
+
+
+@query("op5_html_text")
+def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_text.extract_pages(table(spark, sf_dir, "pages"))
