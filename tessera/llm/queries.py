@@ -11,7 +11,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from tessera.llm import exact_dedup, html_text, mixing, packing, pii, quality, sharding, simhash, toxicity
+from tessera.llm import exact_dedup, html_text, mixing, packing, pii, quality, sharding, simhash, toxicity, warc
 from tessera.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -105,3 +105,8 @@ def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op5_html_text")
 def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
     return html_text.extract_pages(table(spark, sf_dir, "pages"))
+
+
+@query("op10_warc")
+def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return warc.archive_round_trip(spark, table(spark, sf_dir, "pages"))
