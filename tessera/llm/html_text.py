@@ -12,26 +12,30 @@ dropped even on a host with one page.
 from __future__ import annotations
 
 import os.path
-import re
+from bisect import bisect_right
 from collections.abc import Iterator
 
+import pandas as pd
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tessera.llm.common import materialise
 from tessera.llm.html_blocks import BOILER, FREE, MAIN, blocks
 from tessera.operators.sorting import with_position
 
-_URL = re.compile(r"(?:[a-z][a-z0-9+.-]*:)?//(?:[^/?#@]*@)?([^/?#]*)([^?#]*)", re.I)
-_SLICE = 256
+#: Distinct pages per block of the URL order, and the largest number of blocks: the list of
+#: block ends that every task gets has at most twice so many keys, at any input size.
+BLOCK_PAGES, MAX_BLOCKS = 128, 10_000
+_HOST = r"^(?:[A-Za-z][A-Za-z0-9+.-]*:)?//(?:[^/?#@]*@)?([^/?#]*)"
+_PATH = r"^(?:(?:[A-Za-z][A-Za-z0-9+.-]*:)?//[^/?#]*)?([^?#]*)"
 
 
-def host_path(url: str | None) -> tuple[str, str]:
-    """Host in lower case and path without its last '/'; '' for a URL without them."""
-    m = _URL.match(url or "")
-    return (m[1].lower(), m[2].rstrip("/")) if m else ("", (url or "").split("?")[0].split("#")[0].rstrip("/"))
+def host_path(url: Column) -> tuple[Column, Column]:
+    """Host in lower case, and path without '/' at its end; '' for a URL without them."""
+    known = F.coalesce(url, F.lit(""))
+    return F.lower(F.regexp_extract(known, _HOST, 1)), F.regexp_replace(F.regexp_extract(known, _PATH, 1), "/+$", "")
 
 
 def common_lines(a: list[int], b: list[int]) -> list[int]:
@@ -67,65 +71,103 @@ def common_lines(a: list[int], b: list[int]) -> list[int]:
     return [*range(lo), *reversed(kept), *range(hi_a, len(a))]
 
 
-def _lines(pages: DataFrame) -> DataFrame:
-    """(page_id, digest, host, path, lines: 64-bit hashes of all blocks)."""
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for lo in range(0, batch.num_rows, _SLICE):
-                part = batch.slice(lo, _SLICE)
-                where = [host_path(u) for u in part.column(2).to_pylist()]
-                lines = [[xxhash.xxh64_intdigest(t) >> 1 for t, _ in blocks(h)] for h in part.column(3).to_pylist()]
-                yield pa.RecordBatch.from_arrays(
-                    [part.column(0), part.column(1), pa.array([h for h, _ in where], pa.string()),
-                     pa.array([p for _, p in where], pa.string()), pa.array(lines, pa.list_(pa.int64()))],
-                    names=["page_id", "digest", "host", "path", "lines"])
-
-    id_type = pages.schema["page_id"].dataType.simpleString()
-    return pages.mapInArrow(run, f"page_id {id_type}, digest bigint, host string, path string, lines array<bigint>")
-
-
-def _neighbours(lines: DataFrame) -> DataFrame:
-    """(pos, page_id, digest, near: position of the nearer neighbour on the host, or null)."""
-    placed = materialise(with_position(lines.select("host", "path", "page_id", "digest"),
-                                       ["host", "path", "page_id", "digest"], "pos"), "places")
-    side = placed.select("pos", "host", "path")
-    before = side.select((F.col("pos") + 1).alias("pos"), F.col("host").alias("host_0"), F.col("path").alias("path_0"))
-    after = side.select((F.col("pos") - 1).alias("pos"), F.col("host").alias("host_1"), F.col("path").alias("path_1"))
-    rows = placed.join(before, "pos", "left").join(after, "pos", "left")
-    rows = rows.select("pos", "page_id", "digest", "path",
-                       F.when(F.col("host_0") == F.col("host"), F.col("path_0")).alias("path_0"),
-                       F.when(F.col("host_1") == F.col("host"), F.col("path_1")).alias("path_1"))
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            near = []
-            for pos, path, p0, p1 in zip(*(b.column(i).to_pylist() for i in (0, 3, 4, 5))):
-                shared = [-1 if p is None else len(os.path.commonprefix([path, p])) for p in (p0, p1)]
-                near.append(None if max(shared) < 0 else pos - 1 if shared[0] >= shared[1] else pos + 1)
-            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), b.column(2), pa.array(near, pa.int64())],
-                                             names=["pos", "page_id", "digest", "near"])
-
-    id_type = lines.schema["page_id"].dataType.simpleString()
-    return rows.mapInArrow(run, f"pos bigint, page_id {id_type}, digest bigint, near bigint")
-
-
-def _shared(lines: DataFrame) -> DataFrame:
-    """(page_id, digest, pair_page_id, shared: line numbers that the paired page has too)."""
-    near = materialise(_neighbours(lines), "neighbours")
-    same = F.col("n.page_id").eqNullSafe(F.col("l.page_id")) & (F.col("n.digest") == F.col("l.digest"))
-    full = materialise(near.alias("n").join(lines.alias("l"), same)
-                       .select("n.pos", "n.near", "n.page_id", "n.digest", "l.lines"), "aligned")
-    other = full.select(F.col("pos").alias("near"), F.col("page_id").alias("pair_page_id"), F.col("lines").alias("theirs"))
-    rows = full.join(other, "near", "left").select("page_id", "digest", "pair_page_id", "lines", "theirs")
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            shared = [common_lines(mine.as_py(), theirs.as_py() or []) for mine, theirs in zip(b.column(3), b.column(4))]
-            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), b.column(2), pa.array(shared, pa.list_(pa.int32()))],
-                                             names=["page_id", "digest", "pair_page_id", "shared"])
-
-    id_type = lines.schema["page_id"].dataType.simpleString()
-    return rows.mapInArrow(run, f"page_id {id_type}, digest bigint, pair_page_id {id_type}, shared array<int>")
+_SLICE = 64
+_KEY = ["host", "path", "page_id", "digest"]
+
+
+def _order(host: str, path: str, page_id, digest: int) -> tuple:
+    """The order of Spark's sort: text by UTF-8 bytes, null ids first."""
+    return host.encode(), path.encode(), page_id is not None, 0 if page_id is None else page_id, digest
+
+
+def _cuts(rows: DataFrame) -> tuple[list[tuple], list[tuple]]:
+    """(first keys of the blocks but the first, last keys of the blocks but the last) of the
+    URL order cut into blocks of equal numbers of distinct pages."""
+    placed = with_position(materialise(rows.select(*_KEY).distinct(), "urls"), _KEY, "pos")
+    size = max(BLOCK_PAGES, -(-placed.count() // MAX_BLOCKS))
+    ends = placed.filter(F.pmod(F.col("pos"), F.lit(size)) < 2).orderBy("pos").collect()
+    firsts = [_order(*(r[k] for k in _KEY)) for r in ends if r["pos"] % size == 1 and r["pos"] > 1]
+    lasts = [_order(*(r[k] for k in _KEY)) for r in ends if r["pos"] % size == 0]
+    return firsts, lasts[:len(firsts)]
+
+
+def _places(firsts: list[tuple], lasts: list[tuple]):
+    """UDF of a key: its block as [2 b], and for the first and last page of a block also the
+    neighbouring block, where it only is a neighbour, as [.., 2 b' + 1]."""
+    @F.pandas_udf("array<int>")
+    def places(host: pd.Series, path: pd.Series, page_id: pd.Series, digest: pd.Series) -> pd.Series:
+        out = []
+        for h, p, i, d in zip(host, path, page_id, digest):
+            key = _order(h, p, None if i is None else int(i), d)  # as text: a null would turn the ids into floats
+            b = bisect_right(firsts, key)
+            at = [2 * b]
+            if b and firsts[b - 1] == key:
+                at.append(2 * (b - 1) + 1)
+            if b < len(lasts) and lasts[b] == key:
+                at.append(2 * (b + 1) + 1)
+            out.append(at)
+        return pd.Series(out)
+
+    return places
+
+
+class _Page:
+    """A distinct page in URL order, with the ids and URLs of its rows."""
+
+    def __init__(self, row: dict):
+        self.block, self.own = divmod(row["place"], 2)
+        self.own = not self.own
+        self.key, self.host, self.path = (row["page_id"], row["digest"]), row["host"], row["path"]
+        self.blocks = blocks(row["html"])
+        self.lines = [xxhash.xxh64_intdigest(t) for t, _ in self.blocks]
+        self.urls = [row["url"]]
+
+    def nearness(self, other: _Page | None) -> int:
+        if other is None or (other.block, other.host) != (self.block, self.host):
+            return -1
+        return len(os.path.commonprefix([self.path, other.path]))
+
+    def rows(self, before: _Page | None, after: _Page | None) -> list[tuple]:
+        if not self.own:
+            return []
+        left, right = self.nearness(before), self.nearness(after)
+        pair = None if max(left, right) < 0 else before if left >= right else after
+        shared = common_lines(self.lines, pair.lines) if pair else []
+        text, deleted = main_text(self.blocks, shared)
+        rest = (text, len(text), pair.key[0] if pair else None, len(shared), deleted)
+        return [(self.key[0], url, *rest) for url in self.urls]
+
+
+_OUT = ["page_id", "url", "text", "n_chars", "pair_page_id", "n_shared", "n_deleted"]
+
+
+def _extract(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Pages in URL order, block after block: holds three of them at a time."""
+    schema = pa.schema([("page_id", pa.int64()), ("url", pa.string()), ("text", pa.string()), ("n_chars", pa.int64()),
+                        ("pair_page_id", pa.int64()), ("n_shared", pa.int64()), ("n_deleted", pa.int64())])
+    before = here = None
+    out: list[tuple] = []
+
+    def batch() -> pa.RecordBatch:
+        columns = zip(*out) if out else [[]] * len(_OUT)
+        return pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(columns, schema)], schema=schema)
+
+    for b in batches:
+        for lo in range(0, b.num_rows, _SLICE):
+            for row in b.slice(lo, _SLICE).to_pylist():
+                if here and (row["page_id"], row["digest"], row["place"] // 2) == (*here.key, here.block):
+                    here.urls.append(row["url"])
+                    continue
+                page = _Page(row)
+                if here:
+                    out += here.rows(before, page)
+                before, here = here, page
+            if out:
+                yield batch()
+                out = []
+    if here:
+        out += here.rows(before, None)
+    yield batch()
 
 
 def main_text(page: list[tuple[str, str]], shared: list[int]) -> tuple[str, int]:
@@ -146,29 +188,17 @@ def extract_pages(pages: DataFrame, id_col: str = "page_id", url_col: str = "url
     Null and empty html give an empty text. A null URL is of the empty host. A page alone
     on its host has no pair (null). Rows equal in id, URL and html count as one page when
     pairing and get equal results. Empty table: empty result. Other columns are not read.
+    ``id_col`` must be an integer column.
 
-    Only line hashes are sorted and paired; the pages themselves are shuffled once, to
-    meet their decisions."""
-    rows = pages.select(pages[id_col].alias("page_id"),
+    The URL order is cut into blocks at fixed ranks, found from the keys alone; the pages
+    are then shuffled once, by block, with a block's outer neighbours copied to it, so
+    neither hot hosts nor the layout of the input matter."""
+    host, path = host_path(pages[url_col])
+    rows = pages.select(pages[id_col].cast("bigint").alias("page_id"),
                         F.xxhash64(F.coalesce(pages[url_col], F.lit("\x00")), F.coalesce(pages[html_col], F.lit(""))).alias("digest"),
-                        pages[url_col].alias("url"), pages[html_col].alias("html"))
-    lines = materialise(_lines(rows), "lines").dropDuplicates(["page_id", "digest"])
-    decisions = materialise(_shared(lines), "shared")
-    same = F.col("p.page_id").eqNullSafe(F.col("d.page_id")) & (F.col("p.digest") == F.col("d.digest"))
-    joined = rows.alias("p").join(decisions.alias("d"), same).select("p.page_id", "p.url", "d.pair_page_id", "d.shared", "p.html")
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for lo in range(0, batch.num_rows, _SLICE):
-                part = batch.slice(lo, _SLICE)
-                got = [main_text(blocks(h.as_py()), s.as_py()) for h, s in zip(part.column(4), part.column(3))]
-                yield pa.RecordBatch.from_arrays(
-                    [part.column(0), part.column(1), pa.array([t for t, _ in got], pa.string()),
-                     pa.array([len(t) for t, _ in got], pa.int64()), part.column(2),
-                     pa.array([len(s) for s in part.column(3).to_pylist()], pa.int64()),
-                     pa.array([n for _, n in got], pa.int64())],
-                    names=["page_id", "url", "text", "n_chars", "pair_page_id", "n_shared", "n_deleted"])
-
-    id_type = rows.schema["page_id"].dataType.simpleString()
-    return joined.mapInArrow(run, f"page_id {id_type}, url string, text string, n_chars bigint, "
-                                  f"pair_page_id {id_type}, n_shared bigint, n_deleted bigint")
+                        host.alias("host"), path.alias("path"), pages[url_col].alias("url"), pages[html_col].alias("html"))
+    places = _places(*_cuts(rows))
+    dealt = rows.select("*", F.explode(places("host", "path", F.col("page_id").cast("string"), "digest")).alias("place")).withColumn("block", F.shiftright("place", 1))
+    ordered = dealt.repartition("block").sortWithinPartitions("block", *_KEY)
+    return ordered.mapInArrow(_extract, "page_id bigint, url string, text string, n_chars bigint, "
+                                        "pair_page_id bigint, n_shared bigint, n_deleted bigint")
