@@ -55,13 +55,14 @@ class Encoder:
         return (text if _NOT_LATIN.search(text) else text.lower()).encode().split()
 
     def learn(self, words: set[bytes]) -> None:
-        """Encode the words not yet known. A letter followed by one full stop or comma at
-        the end is two independent pieces, so the word before it is looked up on its own."""
+        """Encode the words not yet known. A Latin letter followed by one full stop or comma
+        at the end is two independent pieces, so the word before it is looked up on its own."""
         known, tails, plain = self.known, [], set()
         for w in words:
             if w in known:
                 continue
-            if len(w) > 1 and w[-1:] in (b".", b",") and w[:-1].decode()[-1].isalpha():
+            stem = w[:-1].decode() if w[-1:] in (b".", b",") else ""
+            if stem and stem[-1].isalpha() and not _NOT_LATIN.search(stem):
                 tails.append(w)
                 plain.update((w[:-1], w[-1:]))
             else:

@@ -24,12 +24,14 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-#: Labelled rows the model is fitted on at most (those with the smallest id hash), and the
+from tessera.llm.common import materialise
+
+#: Labelled texts the model is fitted on at most (those with the smallest id hash), and the
 #: largest number of words and beginnings it uses.
 FIT_ROWS, FEATURES = 40_000, 1_024
-GRADES, LEAST_ROWS, LEAST_CHI2, STEM = 3, 4, 50.0, 4
+GRADES, LEAST_ROWS, LEAST_CHI2, STEM = 3, 5, 20.0, 4
 #: A document is rejected when P(grade >= 1) reaches this.
-REJECT = 0.15
+REJECT = 0.5
 _WORD = re.compile(r"[^\W_]+")
 
 
@@ -64,7 +66,7 @@ class SeverityModel:
 
 
 def fit_thresholds(rows: list[list[int]], grades: np.ndarray, n_columns: int, n_grades: int,
-                   start: np.ndarray | None = None, steps: int = 1000, rate: float = 0.1, penalty: float = 1e-5) -> tuple[np.ndarray, np.ndarray]:
+                   start: np.ndarray | None = None, steps: int = 1000, rate: float = 0.1, penalty: float = 2e-5) -> tuple[np.ndarray, np.ndarray]:
     """(weights, ordered thresholds) by full-batch Adam on the mean negative log-likelihood."""
     row = np.repeat(np.arange(len(rows)), [len(c) for c in rows])
     col = np.array([c for cs in rows for c in cs], np.int64)
@@ -98,9 +100,16 @@ def fit_thresholds(rows: list[list[int]], grades: np.ndarray, n_columns: int, n_
 def _sample(docs: DataFrame, labels: DataFrame, id_col: str, text_col: str, fit_rows: int) -> DataFrame:
     marks = (labels.select(labels[id_col].alias("id"), labels["toxic"].alias("toxic")).dropna()
              .groupBy("id").agg((F.max("toxic") > 0).cast("int").alias("toxic")))
-    # at most fit_rows ids: bounded, so it is broadcast and the texts are not shuffled
-    chosen = marks.orderBy(F.xxhash64("id"), "id").limit(fit_rows)
     rows = docs.select(docs[id_col].alias("id"), docs[text_col].alias("text"))
+    # equal texts count once, else a few copied rows would look like evidence
+    texts = (rows.select("id", F.xxhash64("text").alias("hash")).join(marks, "id")
+             .groupBy("hash").agg(F.min("id").alias("id"), F.max("toxic").alias("toxic")))
+    texts = materialise(texts, "labelled")
+    # the ids in the lowest part of the hash range: fit_rows of them at most (five per cent, ten
+    # standard deviations, below on average), so they are broadcast and no text is shuffled
+    part = min(1.0, 0.95 * fit_rows / max(1, texts.count()))
+    drawn = F.shiftrightunsigned(F.xxhash64("id"), 11) <= F.lit(int(part * (1 << 53)))
+    chosen = texts.filter(drawn).select("id", "toxic").distinct()
     return rows.join(F.broadcast(chosen), "id").select("toxic", "text")
 
 

@@ -37,18 +37,22 @@ _VERSIONS = (b"WARC/1.0", b"WARC/1.1")
 _REQUIRED = ("warc-type", "warc-record-id", "warc-date", "content-length")
 _PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 _DATE = "1970-01-01T00:00:00Z"  # pages carry no date
+_NAME = re.compile(rb"[!-9;-~]+")
 _CONTROL = re.compile(r"[\x00-\x20\x7f]")
 
 
 def train_dictionary(pages: DataFrame, html_col: str = "html") -> bytes:
-    """A dictionary from a bounded sample of payloads, b'' where there are too few."""
-    size = F.octet_length(html_col)
-    rows = (pages.select(F.col(html_col).alias("html")).filter((size > 0) & (size <= SAMPLE_BYTES))
-            .orderBy(F.xxhash64("html"), "html").limit(SAMPLE_ROWS).collect())
+    """A dictionary from a bounded sample of payloads, b'' where there is none."""
+    html, size = pages[html_col], F.octet_length(pages[html_col])
+    # a part of the hash range that holds twice the sample on average; no task sends more than the sample
+    part = min(1.0, 2 * SAMPLE_ROWS / max(1, pages.count()))
+    drawn = F.shiftrightunsigned(F.xxhash64(*[pages[c] for c in pages.columns]), 11) <= F.lit(int(part * (1 << 53)))
+    rows = (pages.filter(drawn & (size > 0) & (size <= SAMPLE_BYTES)).select(html.alias("html")).limit(SAMPLE_ROWS)).collect()
+    samples = [r["html"].encode() for r in rows]
     try:
-        return zstandard.train_dictionary(DICTIONARY_BYTES, [r["html"].encode() for r in rows]).as_bytes()
-    except zstandard.ZstdError:
-        return b""
+        return zstandard.train_dictionary(DICTIONARY_BYTES, samples).as_bytes() if samples else b""
+    except zstandard.ZstdError:  # too little to train on: the sample itself is the dictionary
+        return b"".join(samples)[:DICTIONARY_BYTES]
 
 
 # ---- writing -------------------------------------------------------------------------
@@ -93,7 +97,7 @@ class _Writer:
     def add(self, record: bytes) -> None:
         if self.file is None:
             self.name, self.bytes, self.records = f"{uuid.uuid4().hex}.warc.zst", 0, 0
-            self.file = self.store.open_output_stream(f"{self.path}/{self.name}")
+            self.file = self.store.open_output_stream(f"{self.path}/{self.name}", compression=None)
             if self.dictionary:
                 self._write(_DICTIONARY.to_bytes(4, "little") + len(self.dictionary).to_bytes(4, "little") + self.dictionary)
             self._write(self.zstd.compress(_record(
@@ -216,7 +220,7 @@ def _headers(lines: list[bytes]) -> dict[str, str]:
     out = {}
     for line in lines:
         name, colon, value = line.partition(b":")
-        if not colon or not name.strip():
+        if not colon or not _NAME.fullmatch(name):
             raise Damaged(f"not a header: {line[:60]!r}")
         out[name.strip().lower().decode("utf-8", "replace")] = value.strip().decode("utf-8", "replace")
     return out
@@ -301,7 +305,7 @@ def read_archives(paths: DataFrame, with_payload: bool = True) -> DataFrame:
             for path in b.column(0).to_pylist():
                 store, at = fs.FileSystem.from_uri(path)
                 rows, size = [], 0
-                with store.open_input_stream(at, buffer_size=1 << 20) as file:
+                with store.open_input_stream(at, compression=None, buffer_size=1 << 20) as file:
                     for r in read_archive(file):
                         rows.append(r | {"archive": path} | ({} if with_payload else {"payload": None}))
                         size += 200 + len(rows[-1].get("payload") or b"")
