@@ -1,7 +1,7 @@
 """Command line: list the keys, run one, or print its plan.
 
     python -m tessera list
-    python -m tessera run KEY [--sf DIR] [--show N] [--master local[8]]
+    python -m tessera run KEY [--sf DIR] [--show N] [--master local[8]]   # no --master: the cluster's settings
     python -m tessera explain KEY [--sf DIR]
 
 On a cluster, ship the package to the executors (``--py-files``); the session
@@ -28,7 +28,7 @@ def main(argv=None) -> int:
         p = sub.add_parser(name)
         p.add_argument("key", choices=sorted(QUERIES))
         p.add_argument("--sf", default="/root/testdata/sf0.01")
-        p.add_argument("--master", default="local[8]")
+        p.add_argument("--master", help="only for local runs; by default the cluster's settings hold")
         if name == "run":
             p.add_argument("--show", type=int, default=20)
     args = ap.parse_args(argv)
@@ -36,7 +36,8 @@ def main(argv=None) -> int:
         for k in sorted(QUERIES):
             print(f"{k:24s} {'oracle' if k in ORACLES else 'model'}")
         return 0
-    spark = build_session(master=args.master)
+    local = (args.master or "").startswith("local")
+    spark = build_session(master=args.master, shuffle_partitions=8 if local else None)
     df = QUERIES[args.key](spark, args.sf)
     if args.cmd == "explain":
         df.explain("formatted")

@@ -9,16 +9,21 @@ repeatable.
 from __future__ import annotations
 
 from pyspark.ml import Pipeline, PipelineModel
-from pyspark.ml.classification import (DecisionTreeClassifier, GBTClassifier, LinearSVC, LogisticRegression,
-                                       RandomForestClassifier)
+from pyspark.ml.classification import (DecisionTreeClassifier, GBTClassifier, LinearSVC, LinearSVCModel,
+                                       LogisticRegression, RandomForestClassifier)
 from pyspark.ml.clustering import BisectingKMeans, KMeans
 from pyspark.ml.evaluation import ClusteringEvaluator, MulticlassClassificationEvaluator, RegressionEvaluator
 from pyspark.ml.feature import HashingTF, IndexToString, StringIndexer, Tokenizer, VectorIndexer
 from pyspark.ml.fpm import FPGrowth
+from pyspark.ml.functions import vector_to_array
 from pyspark.ml.recommendation import ALS
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tessera.operators.skew import hot_keys, join_by_key
+from tessera.operators.sorting import with_position
+from tessera.session import checkpoint
+
 
 def logistic(train: DataFrame, test: DataFrame, max_iter: int = 10, reg: float = 0.3, elastic_net: float = 0.8,
              family: str = "auto", label: str = "label", features: str = "features"):
@@ -54,9 +59,11 @@ def tree_models(train: DataFrame, test: DataFrame, kind: str, label: str = "labe
         clf = GBTClassifier(maxIter=10, seed=seed)
     else:
         raise ValueError(kind)
-    label_model = StringIndexer(inputCol=label, outputCol="indexedLabel").fit(train)
+    # indexers are fitted on all rows: a label or category only the test split has must not fail
+    whole = train.select(label, features).unionByName(test.select(label, features))
+    label_model = StringIndexer(inputCol=label, outputCol="indexedLabel").fit(whole)
     stages = [label_model,
-              VectorIndexer(inputCol=features, outputCol="indexedFeatures", maxCategories=max_categories),
+              VectorIndexer(inputCol=features, outputCol="indexedFeatures", maxCategories=max_categories).fit(whole),
               clf.setLabelCol("indexedLabel").setFeaturesCol("indexedFeatures")]
     if kind == "forest":
         stages.append(IndexToString(inputCol="prediction", outputCol="predictedLabel", labels=label_model.labels))
@@ -97,13 +104,116 @@ def silhouette_ml(predictions: DataFrame, features: str = "features") -> float:
     return ClusteringEvaluator(featuresCol=features).evaluate(predictions)
 
 
+def coefficients(model) -> DataFrame:
+    """``(class_id, feature, value)`` of a fitted linear model; feature -1 is the intercept."""
+    spark = SparkSession.active()
+    if isinstance(model, LinearSVCModel):
+        rows, intercepts = [model.coefficients.toArray()], [model.intercept]
+    else:
+        rows, intercepts = model.coefficientMatrix.toArray(), model.interceptVector.toArray()
+    cells = [(c, f, float(v)) for c, row in enumerate(rows) for f, v in [(-1, intercepts[c]), *enumerate(row)]]
+    return spark.createDataFrame(cells, "class_id int, feature int, value double")
+
+
+def centres(model) -> DataFrame:
+    """``(cluster, pos, value)`` of a fitted (bisecting) K-means."""
+    cells = [(c, i, float(v)) for c, centre in enumerate(model.clusterCenters()) for i, v in enumerate(centre)]
+    return SparkSession.active().createDataFrame(cells, "cluster int, pos int, value double")
+
+
+def clustering_summary(model, predictions: DataFrame, features: str = "features") -> DataFrame:
+    """``(cost, silhouette)``: the summed squared distance to the own centre, and the mean
+    silhouette of the predictions."""
+    cost = predictions.agg(F.sum(_nearest(predictions, model, features)[0])).first()[0]
+    return SparkSession.active().createDataFrame([(cost, silhouette_ml(predictions, features))], "cost double, silhouette double")
+
+
+def test_error(predictions: DataFrame, label: str = "label", prediction: str = "prediction") -> float:
+    return 1.0 - accuracy(predictions, label, prediction)
+
+
+def _numbers(values) -> Column:
+    return F.array(*[F.lit(float(v)) for v in values])
+
+
+def _dot(x: Column, weights) -> Column:
+    return F.aggregate(F.zip_with(x, _numbers(weights), lambda a, b: a * b), F.lit(0.0), lambda a, b: a + b)
+
+
+def _close(a: Column, b: Column) -> Column:
+    return F.abs(a - b) <= 1e-6 * (1.0 + F.abs(b))
+
+
+def follows_linear(model, features: str = "features", probability: str = "probability") -> Column:
+    """Whether a scored row's raw values are its features times the model's coefficients plus
+    intercept, and its prediction is the class they decide."""
+    x, raw = vector_to_array(features), vector_to_array("rawPrediction")
+    if isinstance(model, LinearSVCModel):
+        m = _dot(x, model.coefficients.toArray()) + float(model.intercept)
+        return _close(raw[1], m) & (F.col("prediction") == (raw[1] > model.getThreshold()).cast("double"))
+    matrix, intercepts = model.coefficientMatrix.toArray(), model.interceptVector.toArray()
+    margins = [_dot(x, row) + float(b) for row, b in zip(matrix, intercepts)]
+    if len(margins) == 1:
+        chosen = (vector_to_array(probability)[1] > model.getThreshold()).cast("double")
+        return _close(raw[1], margins[0]) & (F.col("prediction") == chosen)
+    same = F.lit(True)
+    for c, m in enumerate(margins):
+        same = same & _close(raw[c], m)
+    return same & (F.col("prediction") == _argmax(raw))
+
+
+def _argmax(values: Column) -> Column:
+    return (F.array_position(values, F.array_max(values)) - 1).cast("double")
+
+
+def follows_votes() -> Column:
+    """Whether a tree model's prediction is the class with the largest raw value."""
+    return F.col("prediction") == _argmax(vector_to_array("rawPrediction"))
+
+
+def _nearest(predictions: DataFrame, model, features: str) -> tuple[Column, Column]:
+    """(squared distance to the predicted centre, whether no other centre is nearer)."""
+    x = vector_to_array(features)
+    d = F.array(*[F.aggregate(F.zip_with(x, _numbers(c), lambda a, b: (a - b) * (a - b)), F.lit(0.0), lambda a, b: a + b)
+                  for c in model.clusterCenters()])
+    own = F.get(d, F.col("prediction"))
+    return own, own <= F.array_min(d) + 1e-6
+
+
+def nearest_centre(predictions: DataFrame, model, features: str = "features") -> Column:
+    return _nearest(predictions, model, features)[1]
+
+
+def factor_product(scored: DataFrame, model) -> DataFrame:
+    """``scored`` of ``als`` plus ``is_product``: the prediction is the product of the user's
+    and the item's factors."""
+    u = model.userFactors.select(F.col("id").alias("_user"), F.col("features").alias("_uf"))
+    i = model.itemFactors.select(F.col("id").alias("_item"), F.col("features").alias("_if"))
+    terms = F.zip_with("_uf", "_if", lambda a, b: a.cast("double") * b.cast("double"))
+    product = F.aggregate(terms, F.lit(0.0), lambda a, b: a + b)
+    size = F.aggregate(terms, F.lit(1.0), lambda a, b: a + F.abs(b))  # the model adds in single precision
+    return (scored.join(u, "_user").join(i, "_item")
+            .withColumn("is_product", F.abs(product - F.col("prediction")) <= 1e-5 * size).drop("_uf", "_if"))
+
+
+def _dense(rows: DataFrame, col: str, out: str) -> DataFrame:
+    """``rows`` plus ``out``: 0, 1, 2, ... for the distinct values of ``col`` in their order. The
+    factoriser takes 32-bit ids; values may be any 64-bit integers."""
+    ids = with_position(rows.select(col).distinct(), [col], "_pos")
+    ids = checkpoint(ids.select(col, (F.col("_pos") - 1).cast("int").alias(out)))
+    return join_by_key(rows, ids, col, hot_keys(rows, col))
+
+
 def als(ratings: DataFrame, rank: int = 10, max_iter: int = 10, reg: float = 0.01, seed: int = 42,
         user: str = "user_id", item: str = "item_id", rating: str = "rating"):
-    """Alternating least squares; ``coldStartStrategy='drop'`` keeps NaN
-    predictions for unseen ids out of the result."""
-    model = ALS(rank=rank, maxIter=max_iter, regParam=reg, seed=seed, userCol=user, itemCol=item, ratingCol=rating,
-                coldStartStrategy="drop").fit(ratings)
-    return model, model.transform(ratings)
+    """Alternating least squares over any 64-bit ids (``_user`` and ``_item`` are their dense
+    numbers); ``coldStartStrategy='drop'`` keeps NaN predictions for unseen ids out of
+    the result. The ratings are stored once for the fit and the scoring."""
+    rows = checkpoint(ratings)
+    rows = checkpoint(_dense(checkpoint(_dense(rows, user, "_user")), item, "_item"))
+    model = ALS(rank=rank, maxIter=max_iter, regParam=reg, seed=seed, userCol="_user", itemCol="_item", ratingCol=rating,
+                coldStartStrategy="drop").fit(rows)
+    return model, model.transform(rows)
 
 
 def rmse(predictions: DataFrame, label: str = "rating", prediction: str = "prediction") -> float:

@@ -5,10 +5,10 @@ Each round:
 
 1. the centres of a group are folded into ONE row holding an array of ``k``
    structs ordered by cluster (bounded by ``k``);
-2. points join that row on ``group`` -- an equi-join with one row per key on the
-   small side, so a group holding a third of all points is split across tasks by
-   AQE's skew handling, or the centre side is broadcast when a row count proves it
-   small;
+2. points join that row on ``group``: the rows of groups with more than a thousandth
+   of all points (fewer than a thousand groups) are broadcast, so those points stay
+   spread over all tasks; the other points take an ordinary shuffle join
+   (``tessera.operators.skew``);
 3. each point takes the least ``(distance, cluster)`` over the ``k`` centres
    (first cluster wins ties) -- plain arithmetic on columns, compiled by
    whole-stage codegen; no cross join, no pairs;
@@ -25,10 +25,9 @@ from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tessera.operators.skew import hot_keys, join_by_key
 from tessera.session import checkpoint
 
-# Fixed value: the largest centre table (groups x k rows) shipped to every task.
-MAX_BROADCAST_CENTRES = 200_000
 GROUP = "_g"
 
 
@@ -80,7 +79,7 @@ def initial_centres(points: DataFrame, init: list[list[float]]) -> DataFrame:
             .select(GROUP, F.explode(F.array(*cells)).alias("s")).select(GROUP, "s.cluster", "s.centre"))
 
 
-def sampled_centres(points: DataFrame, k: int, dims: int, seed: int = 42, small: bool = True) -> DataFrame:
+def sampled_centres(points: DataFrame, k: int, dims: int, hot: DataFrame, seed: int = 42) -> DataFrame:
     """``k`` start centres per group taken from the group's own points, repeatably
     (a seeded ``takeSample``): every point gets the key ``xxhash64(seed, group,
     features)`` and each group contributes its points with the ``k`` smallest keys.
@@ -94,7 +93,7 @@ def sampled_centres(points: DataFrame, k: int, dims: int, seed: int = 42, small:
     picks, last = [], None
     for j in range(k):
         cand = keyed if last is None else (
-            keyed.join(F.broadcast(last) if small else last, GROUP).filter(F.col("_key") > F.col("_last")))
+            join_by_key(keyed, last, GROUP, hot).filter(F.col("_key") > F.col("_last")))
         pick = checkpoint(cand.groupBy(GROUP).agg(F.min_by(F.array(*xs), "_key").alias("centre"),
                                                    F.min("_key").alias("_last")))
         picks.append(pick.select(GROUP, F.lit(j).alias("cluster"), "centre"))
@@ -114,31 +113,25 @@ def _centre_lists(centres: DataFrame) -> DataFrame:
         F.array_sort(F.collect_list(F.struct("cluster", "centre"))).alias("_cs"))
 
 
-def _join_group(points: DataFrame, per_group: DataFrame, small: bool) -> DataFrame:
-    return points.join(F.broadcast(per_group) if small else per_group, GROUP)
-
-
-def assign(points: DataFrame, centres: DataFrame, k: int, dims: int, small: bool) -> DataFrame:
+def assign(points: DataFrame, centres: DataFrame, k: int, dims: int, hot: DataFrame) -> DataFrame:
     """Points plus ``cluster``: the nearest centre; equal distances go to the lower cluster."""
-    joined = _join_group(points, _centre_lists(centres), small)
+    joined = join_by_key(points, _centre_lists(centres), GROUP, hot)
     cands = [F.struct(_sq_dist(F.col("_cs")[j]["centre"], dims).alias("d"), F.lit(j).alias("c"))
              for j in range(k)]
     best = F.least(*cands) if k > 1 else cands[0]
     return joined.select(*points.columns, best["c"].alias("cluster"))
 
 
-def update(assigned: DataFrame, centres: DataFrame, dims: int, scales: list[float] | None = None,
-           small: bool = False) -> DataFrame:
+def update(assigned: DataFrame, centres: DataFrame, dims: int, scales: list[float] | None = None) -> DataFrame:
     """Mean of the members per ``(group, cluster)``; clusters without members keep
-    their centre. With ``scales`` the mean is ``(sum of integers / n) / scale``.
-    ``small``: the centre table is proven small, so the means join is broadcast."""
+    their centre. With ``scales`` the mean is ``(sum of integers / n) / scale``."""
     if scales is None:
         mean = [F.avg(_x(d)) for d in range(dims)]
     else:
         n = F.count(F.lit(1)).cast("double")
         mean = [(F.sum(f"_i{d}").cast("double") / n) / F.lit(float(scales[d])) for d in range(dims)]
     means = assigned.groupBy(GROUP, "cluster").agg(F.array(*mean).alias("_new"))
-    return (centres.join(F.broadcast(means) if small else means, [GROUP, "cluster"], "left")
+    return (centres.join(means, [GROUP, "cluster"], "left")
             .select(GROUP, "cluster", F.coalesce("_new", "centre").alias("centre")))
 
 
@@ -152,10 +145,10 @@ class KMeansFit:
     points: DataFrame
     k: int
     dims: int
-    small: bool
+    hot: DataFrame  # the groups with more than a thousandth of all points
 
     def assigned(self) -> DataFrame:
-        return assign(self.points, self.centres, self.k, self.dims, self.small)
+        return assign(self.points, self.centres, self.k, self.dims, self.hot)
 
     def release(self) -> None:
         self.points.unpersist()
@@ -166,8 +159,7 @@ def kmeans_lloyd(df: DataFrame, features: list[str], init: list[list[float]] | i
                  scales: list[float] | None = None, seed: int = 42) -> KMeansFit:
     """Lloyd's K-means per group (one job for all groups).
 
-    ``centres`` = ``(_g, cluster, centre)``; ``small`` = whether the per-group side
-    was proven small enough to broadcast. With ``tol`` it stops early once the
+    ``centres`` = ``(_g, cluster, centre)``. With ``tol`` it stops early once the
     summed squared centre movement is at most ``tol`` (one small extra job per
     round); without it it runs ``iterations`` rounds. ``init`` is either the
     explicit start centres (the same for every group) or ``k``: start from ``k``
@@ -175,14 +167,13 @@ def kmeans_lloyd(df: DataFrame, features: list[str], init: list[list[float]] | i
     """
     k, dims = (init if isinstance(init, int) else len(init)), len(features)
     points = prepare_points(df, features, group, scales).persist(StorageLevel.MEMORY_AND_DISK)
+    hot = hot_keys(points, GROUP)
     if isinstance(init, int):
-        small = points.select(GROUP).distinct().count() * k <= MAX_BROADCAST_CENTRES
-        centres = checkpoint(sampled_centres(points, k, dims, seed, small))
+        centres = checkpoint(sampled_centres(points, k, dims, hot, seed))
     else:
         centres = checkpoint(initial_centres(points, init))  # groups x k rows
-        small = centres.count() <= MAX_BROADCAST_CENTRES
     for _ in range(iterations):
-        new = checkpoint(update(assign(points, centres, k, dims, small), centres, dims, scales, small))
+        new = checkpoint(update(assign(points, centres, k, dims, hot), centres, dims, scales))
         if tol is not None:
             moved = (new.alias("n").join(centres.alias("o"), [GROUP, "cluster"])
                      .agg(F.sum(F.aggregate(F.zip_with("n.centre", "o.centre", lambda u, v: (u - v) * (u - v)),
@@ -191,14 +182,14 @@ def kmeans_lloyd(df: DataFrame, features: list[str], init: list[list[float]] | i
                 centres = new
                 break
         centres = new
-    return KMeansFit(centres, points, k, dims, small)
+    return KMeansFit(centres, points, k, dims, hot)
 
 
 def cluster_sizes(assigned: DataFrame) -> DataFrame:
     return assigned.groupBy(GROUP, "cluster").agg(F.count(F.lit(1)).alias("size"))
 
 
-def silhouette(assigned: DataFrame, dims: int, k: int, small: bool = True) -> DataFrame:
+def silhouette(assigned: DataFrame, dims: int, k: int, hot: DataFrame) -> DataFrame:
     """Mean silhouette per group with squared Euclidean distance: ``(_g, silhouette, n)``.
 
     Closed form: the mean squared distance from ``x`` to cluster ``C`` is
@@ -206,7 +197,7 @@ def silhouette(assigned: DataFrame, dims: int, k: int, small: bool = True) -> Da
     summed squared norms of the members, so one aggregate per cluster replaces all
     point pairs. The own-cluster mean is rescaled by ``n / (n - 1)`` to leave the
     point out; a point alone in its cluster, or in a group with one cluster, scores 0.
-    ``small``: broadcast the per-group statistics (at most k entries per group).
+    ``hot``: the groups with more than a thousandth of all points (``hot_keys``).
     """
     xx = _dot(F.array(*[_x(d) for d in range(dims)]), dims)
     stats = assigned.groupBy(GROUP, "cluster").agg(
@@ -215,7 +206,7 @@ def silhouette(assigned: DataFrame, dims: int, k: int, small: bool = True) -> Da
         F.sum(xx).alias("s2"))
     per_group = stats.groupBy(GROUP).agg(
         F.map_from_entries(F.collect_list(F.struct("cluster", F.struct("n", "s1", "s2")))).alias("_st"))
-    joined = _join_group(assigned, per_group, small)
+    joined = join_by_key(assigned, per_group, GROUP, hot)
 
     def mean_d2(s: Column) -> Column:  # null when the cluster has no members
         return xx + s["s2"] / s["n"] - 2.0 * _dot(s["s1"], dims) / s["n"]

@@ -82,7 +82,8 @@ def group_value_counts(df: DataFrame, key: str, value: str, name: str = "n") ->
 
 
 def group_lists(df: DataFrame, key: str, value: str, name: str = "items") -> DataFrame:
-    """Per key, the sorted list of its values rendered as ``"v x count, ..."``.
+    """Per key, the sorted list of its values as ``array<struct<value, n>>`` in ``values``
+    and rendered as ``"v x count, ..."`` in ``name``.
 
     Values are first counted per ``(key, value)`` -- a partial aggregate -- so a key
     holds one entry per *distinct* value, never one per row: a hot key with
@@ -93,8 +94,9 @@ def group_lists(df: DataFrame, key: str, value: str, name: str = "items") -> Dat
     pairs = group_value_counts(df, key, value, "_c")
     entry = F.format_string("%sx%d", F.col(value).cast("string"), F.col("_c"))
     return (pairs.groupBy(key)
-            .agg(F.array_sort(F.collect_list(F.struct(F.col(value).alias("v"), entry.alias("e")))).alias("_l"))
-            .select(key, F.concat_ws(",", F.transform("_l", lambda s: s["e"])).alias(name)))
+            .agg(F.array_sort(F.collect_list(F.struct(F.col(value).alias("v"), F.col("_c").alias("c"), entry.alias("e")))).alias("_l"))
+            .select(key, F.transform("_l", lambda s: F.struct(s["v"].alias("value"), s["c"].alias("n"))).alias("values"),
+                    F.concat_ws(",", F.transform("_l", lambda s: s["e"])).alias(name)))
 
 
 def group_struct_list(df: DataFrame, key: str, sub_key: str, value: str, name: str = "summary") -> DataFrame:

@@ -10,6 +10,7 @@ from __future__ import annotations
 
 import math
 
+from pyspark.ml.stat import Correlation
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -19,20 +20,30 @@ from tessera.operators.sorting import ordered_cumsum
 # (fractional parts of i*alpha give well-spread points in the unit square).
 ALPHA_X = 0.7548776662466927
 ALPHA_Y = 0.5698402909980532
-# Fixed value: query points evaluated per pass of kernel density (each is one
-# aggregate column); more points take more passes.
-DENSITY_POINTS_PER_PASS = 1024
+
+
+def pearson(a, b):
+    """Pearson correlation of two columns as an aggregate, over the rows where both are
+    known; NaN where one of them is constant there or no row is left."""
+    a, b = F.col(a).cast("double"), F.col(b).cast("double")
+    both = a.isNotNull() & b.isNotNull()
+    x, y = F.when(both, a), F.when(both, b)
+    constant = (F.min(x) == F.max(x)) | (F.min(y) == F.max(y)) | (F.count(x) == 0)
+    # corr divides by the spread of both: a constant column must not reach it
+    cov, spread = F.covar_pop(x, y), F.stddev_pop(x) * F.stddev_pop(y)
+    return F.when(constant, F.lit(float("nan"))).otherwise(F.try_divide(cov, spread))
 
 
 def corr_pair(df: DataFrame, a: str, b: str, name: str = "r") -> DataFrame:
-    return df.agg(F.corr(a, b).alias(name))
+    """One row: the Pearson correlation, see ``pearson`` for nulls and constant columns."""
+    return df.agg(pearson(a, b).alias(name))
 
 
 def corr_matrix(df: DataFrame, cols: list[str]) -> DataFrame:
     """Long-form Pearson matrix ``(i, j, r)``, all ordered pairs, from ONE
     aggregate over the data (upper triangle), mirrored without another pass."""
     pairs = [(i, j) for i in range(len(cols)) for j in range(i + 1, len(cols))]
-    agg = df.agg(*[F.corr(cols[i], cols[j]).alias(f"r_{i}_{j}") for i, j in pairs])
+    agg = df.agg(*[pearson(cols[i], cols[j]).alias(f"r_{i}_{j}") for i, j in pairs])
     cells = []
     for i in range(len(cols)):
         for j in range(len(cols)):
@@ -41,6 +52,14 @@ def corr_matrix(df: DataFrame, cols: list[str]) -> DataFrame:
     return agg.select(F.explode(F.array(*cells)).alias("c")).select("c.i", "c.j", "c.r")
 
 
+def corr_vector(df: DataFrame, features: str = "features", method: str = "pearson") -> DataFrame:
+    """Correlation matrix ``(i, j, r)`` of a vector column, Pearson or Spearman; the
+    matrix is bounded by the width of the vector. NaN for a constant dimension."""
+    m = Correlation.corr(df.select(features), features, method).first()[0].toArray()
+    cells = [(i, j, float(m[i][j])) for i in range(len(m)) for j in range(len(m))]
+    return df.sparkSession.createDataFrame(cells, "i int, j int, r double")
+
+
 def average_ranks(df: DataFrame, col: str, name: str = "rank") -> DataFrame:
     """``(col, rank)`` for every distinct value: 1-based rank in ascending order,
     ties get the average of their positions.
@@ -54,11 +73,13 @@ def average_ranks(df: DataFrame, col: str, name: str = "rank") -> DataFrame:
 
 
 def corr_spearman(df: DataFrame, a: str, b: str, name: str = "r") -> DataFrame:
-    """Spearman correlation = Pearson on average ranks.
+    """Spearman correlation = Pearson on average ranks, over the rows where both columns
+    are known; NaN where one of them is constant or no row is left.
 
     Rows are collapsed to distinct ``(a, b)`` pairs with a count first; each pair
     gets its two ranks by equi-join with the rank tables (one row per value), and
     the weighted Pearson sums finish in one aggregate."""
+    df = df.select(a, b).dropna()  # before ranking: a rank counts complete pairs only
     pairs = df.groupBy(a, b).agg(F.count(F.lit(1)).cast("double").alias("w"))
     ra = average_ranks(df, a, "ra")
     rb = average_ranks(df, b, "rb")
@@ -70,39 +91,35 @@ def corr_spearman(df: DataFrame, a: str, b: str, name: str = "r") -> DataFrame:
     cov = F.col("sxy") / n - (F.col("sx") / n) * (F.col("sy") / n)
     vx = F.col("sxx") / n - (F.col("sx") / n) ** 2
     vy = F.col("syy") / n - (F.col("sy") / n) ** 2
-    return s.select((cov / F.sqrt(vx * vy)).alias(name))
+    return s.select(F.when((vx > 0) & (vy > 0), F.try_divide(cov, F.sqrt(F.greatest(vx, F.lit(0.0)) * F.greatest(vy, F.lit(0.0)))))
+                    .otherwise(F.lit(float("nan"))).alias(name))
 
 
 def kernel_density(df: DataFrame, col: str, points: list[float], bandwidth: float) -> DataFrame:
     """Gaussian kernel density estimate at each query point: ``(point, density)``.
 
-    Each point is one ``avg`` column of a single aggregate over the sample (no join
-    of points with the sample); the one-row result is unpivoted. Points are
-    evaluated ``DENSITY_POINTS_PER_PASS`` at a time, so any number of points is
-    exact, at one pass over the sample per batch."""
+    One scan of the sample: every value meets the literal array of the stated points
+    (exploded, no join) and the kernel values are averaged per point, combined per
+    task first, so the shuffle carries one row per point and task. Any number of
+    points is exact. Null values are left out; an empty sample has no rows."""
     if not points:
         raise ValueError("no query points")
     h = float(bandwidth)
     norm = h * math.sqrt(2.0 * math.pi)
     x = F.col(col).cast("double")
-    parts = []
-    for lo in range(0, len(points), DENSITY_POINTS_PER_PASS):
-        batch = [float(p) for p in points[lo:lo + DENSITY_POINTS_PER_PASS]]
-        one = df.agg(*[(F.avg(F.exp(-0.5 * ((F.lit(p) - x) / h) ** 2)) / norm).alias(f"d{i}")
-                       for i, p in enumerate(batch)])
-        cells = [F.struct(F.lit(p).alias("point"), F.col(f"d{i}").alias("density")) for i, p in enumerate(batch)]
-        parts.append(one.select(F.explode(F.array(*cells)).alias("c")).select("c.point", "c.density"))
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out
+    each = df.filter(x.isNotNull()).select(
+        x.alias("_x"), F.explode(F.array(*[F.lit(float(p)) for p in points])).alias("point"))
+    kernel = F.exp(-0.5 * ((F.col("point") - F.col("_x")) / h) ** 2)
+    return each.groupBy("point").agg((F.avg(kernel) / norm).alias("density"))
 
 
 def regression_metrics(df: DataFrame, prediction: str, label: str) -> DataFrame:
-    """``(n, rmse, r2, mae)`` in one aggregate; R^2 = 1 - SSE / (n * var_pop(label))."""
+    """``(n, rmse, r2, mae)`` in one aggregate; R^2 = 1 - SSE / (n * var_pop(label)), NaN
+    for a constant label."""
     e = F.col(prediction) - F.col(label)
     return df.agg(F.count(F.lit(1)).alias("n"), F.sqrt(F.avg(e * e)).alias("rmse"),
-                  (1 - F.sum(e * e) / (F.count(F.lit(1)) * F.var_pop(label))).alias("r2"),
+                  F.coalesce(1 - F.try_divide(F.sum(e * e), F.count(F.lit(1)) * F.var_pop(label)),
+                             F.lit(float("nan"))).alias("r2"),
                   F.avg(F.abs(e)).alias("mae"))
 
 

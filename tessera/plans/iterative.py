@@ -26,23 +26,22 @@ FEATURES = ["x0", "x1", "x2"]
 # ---------------------------------------------------------------- PageRank
 
 def graph_edges(spark, sf):
-    """Bipartite edges from orders x lineitem: customer -> supplier for returned
-    flag 'A', supplier -> customer for 'R' (string node ids ``c<key>``/``s<key>``)."""
-    li = spread(table(spark, sf, "lineitem", "l_orderkey", "l_suppkey", "l_returnflag")
-                .filter(F.col("l_returnflag").isin("A", "R")))
+    """Bipartite edges from orders x lineitem: supplier -> customer for return flag 'R',
+    customer -> supplier for any other (string node ids ``c<key>``/``s<key>``)."""
+    li = spread(table(spark, sf, "lineitem", "l_orderkey", "l_suppkey", "l_returnflag"))
     od = table(spark, sf, "orders", "o_orderkey", "o_custkey")
     j = li.join(od, li.l_orderkey == od.o_orderkey)
     c = F.concat(F.lit("c"), F.col("o_custkey").cast("string"))
     s = F.concat(F.lit("s"), F.col("l_suppkey").cast("string"))
-    a = F.col("l_returnflag") == "A"
-    return j.select(F.when(a, c).otherwise(s).alias("src"), F.when(a, s).otherwise(c).alias("dst"))
+    back = F.col("l_returnflag") == "R"
+    return j.select(F.when(back, s).otherwise(c).alias("src"), F.when(back, c).otherwise(s).alias("dst"))
 
 
 def _pagerank_sql(iterations):
     ctes = ["""edges AS (SELECT DISTINCT
-                 CASE WHEN l_returnflag = 'A' THEN 'c' || o_custkey ELSE 's' || l_suppkey END AS src,
-                 CASE WHEN l_returnflag = 'A' THEN 's' || l_suppkey ELSE 'c' || o_custkey END AS dst
-               FROM lineitem JOIN orders ON l_orderkey = o_orderkey WHERE l_returnflag IN ('A', 'R'))""",
+                 CASE WHEN l_returnflag = 'R' THEN 's' || l_suppkey ELSE 'c' || o_custkey END AS src,
+                 CASE WHEN l_returnflag = 'R' THEN 'c' || o_custkey ELSE 's' || l_suppkey END AS dst
+               FROM lineitem JOIN orders ON l_orderkey = o_orderkey)""",
             "deg AS (SELECT src, count(*) AS deg FROM edges GROUP BY src)",
             "l AS (SELECT e.src, e.dst, d.deg FROM edges e JOIN deg d USING (src))",
             "r0 AS (SELECT src AS node, CAST(1.0 AS DOUBLE) AS rank FROM deg)"]
@@ -197,7 +196,7 @@ def kmeans_grouped(spark, sf):
 def silhouette(spark, sf):
     fit = _fit(spark, sf, True)
     try:
-        s = checkpoint(KM.silhouette(fit.assigned(), fit.dims, fit.k, fit.small))  # one row per group
+        s = checkpoint(KM.silhouette(fit.assigned(), fit.dims, fit.k, fit.hot))  # one row per group
     finally:
         fit.release()
     return s.select(F.col(KM.GROUP).alias("grp"), F.round("silhouette", 6).alias("silhouette"), "n")

@@ -136,7 +136,8 @@ def sum_by_key(spark, sf):
   GROUP BY l_orderkey""")
 def group_lists(spark, sf):
     li = table(spark, sf, "lineitem", "l_orderkey", "l_quantity")  # quantities are whole units
-    return R.group_lists(li.withColumn("l_quantity", F.col("l_quantity").cast("bigint")), "l_orderkey", "l_quantity")
+    return R.group_lists(li.withColumn("l_quantity", F.col("l_quantity").cast("bigint")), "l_orderkey", "l_quantity") \
+        .select("l_orderkey", "items")
 
 
 @register("group_struct_list", sql="""
@@ -152,9 +153,11 @@ def group_struct_list(spark, sf):
 
 
 @register("sort_ints", sql="""
-  SELECT CAST(row_number() OVER (ORDER BY p_size) AS BIGINT) AS pos, p_size FROM part""")
+  SELECT CAST(row_number() OVER (ORDER BY p_size, p_partkey) AS BIGINT) AS pos, p_size, p_partkey FROM part""")
 def sort_ints(spark, sf):
-    return with_position(table(spark, sf, "part", "p_size"), ["p_size"]).select("pos", "p_size")
+    """The key breaks ties: equal sizes alone could not be spread over partitions."""
+    return with_position(table(spark, sf, "part", "p_size", "p_partkey"), ["p_size", "p_partkey"]) \
+        .select("pos", "p_size", "p_partkey")
 
 
 @register("sort_composite", sql="""

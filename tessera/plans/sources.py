@@ -159,13 +159,15 @@ def join_view_table(spark, sf):
 
 
 @register("libsvm_scan", sql="""
-  SELECT CAST(label AS DOUBLE) AS label,
-         round(list_sum(CAST(embedding AS DOUBLE[])), 6) AS vsum
-  FROM embeddings""")
+  SELECT label, pos, CAST(count(*) AS BIGINT) AS n, round(sum(v), 4) AS total, round(max(v), 6) AS most
+  FROM (SELECT CAST(label AS DOUBLE) AS label, UNNEST(range(len(embedding)))::INTEGER AS pos,
+               UNNEST(CAST(embedding AS DOUBLE[])) AS v FROM embeddings) e
+  GROUP BY label, pos""")
 def libsvm_scan(spark, sf):
     emb = table(spark, sf, "embeddings", "label", "embedding") \
         .select("label", array_to_vector("embedding").alias("features"))
     path = FS.write_libsvm(emb, scratch_path(spark, "embeddings-libsvm"))
     back = FS.read_libsvm(spark, path, NUM_FEATURES)
-    arr = vector_to_array("features")
-    return back.select("label", F.round(F.aggregate(arr, F.lit(0.0), lambda a, x: a + x), 6).alias("vsum"))
+    cells = back.select("label", F.posexplode(vector_to_array("features")).alias("pos", "v"))
+    return cells.groupBy("label", "pos").agg(F.count(F.lit(1)).alias("n"), F.round(F.sum("v"), 4).alias("total"),
+                                             F.round(F.max("v"), 6).alias("most"))

@@ -6,6 +6,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from tessera.operators import stats as S
+from tessera.operators.skew import hot_keys, join_by_key
 from tessera.plans.registry import register
 from tessera.session import checkpoint, spread
 from tessera.sources.tables import table
@@ -95,24 +96,28 @@ def ratings(spark, sf):
             .agg(F.avg("l_quantity").alias("rating")))
 
 
-def scored_pairs(spark, sf):
-    """Baseline predictions (item mean + user offset) joined back to the observed
-    ratings on the composite key ``(user_id, item_id)``."""
-    r = checkpoint(ratings(spark, sf))  # used four times below: compute the join + aggregate once
+def predicted(spark, sf):
+    """Ratings with a baseline prediction (item mean + user offset):
+    ``(user_id, item_id, label, prediction)``. The means are one row per user or item;
+    hot users and items take the broadcast path of ``join_by_key``."""
+    r = checkpoint(ratings(spark, sf))  # used several times below: compute the join + aggregate once
     gm = r.agg(F.avg("rating")).scalar()
     um = r.groupBy("user_id").agg(F.avg("rating").alias("umean"))
     im = r.groupBy("item_id").agg(F.avg("rating").alias("imean"))
-    pred = (r.select("user_id", "item_id").join(um, "user_id").join(im, "item_id")
-            .select("user_id", "item_id", (F.col("imean") + F.col("umean") - gm).alias("prediction")))
-    return pred.join(r, ["user_id", "item_id"]).select("user_id", "item_id", "prediction",
-                                                       F.col("rating").alias("label"))
+    with_user = checkpoint(join_by_key(r, um, "user_id", hot_keys(r, "user_id")))
+    both = join_by_key(with_user, im, "item_id", hot_keys(r, "item_id"))
+    return r, both.select("user_id", "item_id", F.col("rating").alias("label"),
+                          (F.col("imean") + F.col("umean") - gm).alias("prediction"))
 
 
 @register("score_and_labels", sql=f"""
   WITH {RATINGS_SQL}
   SELECT user_id, item_id, round(prediction, 6) AS prediction, round(label, 6) AS label FROM scored""")
 def score_and_labels(spark, sf):
-    s = scored_pairs(spark, sf)
+    """Predictions joined back to the observed ratings on the composite key."""
+    r, pred = predicted(spark, sf)
+    s = (pred.select("user_id", "item_id", "prediction")
+         .join(r.withColumnRenamed("rating", "label"), ["user_id", "item_id"]))
     return s.select("user_id", "item_id", F.round("prediction", 6).alias("prediction"),
                     F.round("label", 6).alias("label"))
 
@@ -124,7 +129,7 @@ def score_and_labels(spark, sf):
          round(avg(abs(prediction - label)), 6) AS mae
   FROM scored""")
 def regression_metrics(spark, sf):
-    m = S.regression_metrics(scored_pairs(spark, sf), "prediction", "label")
+    m = S.regression_metrics(predicted(spark, sf)[1], "prediction", "label")
     return m.select("n", *[F.round(c, 6).alias(c) for c in ("rmse", "r2", "mae")])
 
 

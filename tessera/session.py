@@ -14,22 +14,30 @@ import uuid
 from pyspark.sql import SparkSession
 
 
-def build_session(master: str = "local[8]", app: str = "tessera", shuffle_partitions: int = 8,
+def build_session(master: str | None = "local[8]", app: str = "tessera", shuffle_partitions: int | None = 8,
                   extra: dict | None = None) -> SparkSession:
     """A session configured for these operators: AQE on (partition coalescing and
-    skew-join splitting), UTC, UI off. ``extra`` overrides any setting."""
+    skew-join splitting), UTC, UI off. ``extra`` overrides any setting.
+
+    With ``master=None`` and ``shuffle_partitions=None`` the cluster's own master, memory
+    and shuffle partitions hold (spark-submit, spark-defaults)."""
+    builder = SparkSession.builder.appName(app)
+    if master:
+        builder = builder.master(master)
+        if master.startswith("local"):
+            builder = builder.config("spark.driver.memory", "16g")
+    if shuffle_partitions:
+        builder = builder.config("spark.sql.shuffle.partitions", str(shuffle_partitions))
     builder = (
-        SparkSession.builder.master(master)
-        .appName(app)
+        builder
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
-        .config("spark.sql.shuffle.partitions", str(shuffle_partitions))
+        .config("spark.cleaner.referenceTracking.cleanCheckpoints", "true")
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.adaptive.coalescePartitions.enabled", "true")
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
-        .config("spark.driver.memory", "16g")
     )
     for k, v in (extra or {}).items():
         builder = builder.config(k, v)
@@ -38,6 +46,9 @@ def build_session(master: str = "local[8]", app: str = "tessera", shuffle_partit
     return spark
 
 
+_OWNED: set[str] = set()
+
+
 def shared_dir(spark: SparkSession) -> str:
     """The cluster-wide folder for checkpoints and staged files.
 
@@ -64,8 +75,19 @@ def shared_dir(spark: SparkSession) -> str:
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
-    """A fresh, never reused path under the shared folder."""
-    return f"{shared_dir(spark)}/tessera-scratch/{name}-{uuid.uuid4().hex[:12]}"
+    """A fresh, never reused path under the shared folder.
+
+    All paths of one application lie in one folder that belongs to it. The folder is
+    registered with the file system to be deleted when the application ends; an
+    application may delete a path of its own earlier."""
+    folder = f"{shared_dir(spark)}/tessera-scratch/{spark.sparkContext.applicationId}"
+    if folder not in _OWNED:
+        path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+        store = path.getFileSystem(spark._jsc.hadoopConfiguration())
+        store.mkdirs(path)
+        store.deleteOnExit(path)
+        _OWNED.add(folder)
+    return f"{folder}/{name}-{uuid.uuid4().hex[:12]}"
 
 
 def checkpoint(df):

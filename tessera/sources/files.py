@@ -61,9 +61,10 @@ def schema_from_names(names: str, sep: str = " ") -> T.StructType:
 
 def parse_delimited(lines: DataFrame, sep: str, fields: list[tuple[str, str]], col: str = "value") -> DataFrame:
     """Split each line at the literal ``sep`` and cast field *i* to its type with
-    ``try_cast`` (text that does not parse becomes null instead of failing)."""
+    ``try_cast`` (text that does not parse becomes null instead of failing; so do the
+    missing fields of a short line)."""
     parts = F.split(F.col(col), _regex_literal(sep), -1)
-    return lines.select(*[F.trim(parts.getItem(i)).try_cast(t).alias(n) for i, (n, t) in enumerate(fields)])
+    return lines.select(*[F.trim(F.get(parts, F.lit(i))).try_cast(t).alias(n) for i, (n, t) in enumerate(fields)])
 
 
 def _regex_literal(s: str) -> str:

@@ -33,7 +33,8 @@ def per_batch_counts(stream: DataFrame, keys: list, sink: str, checkpoint: str,
     """Start the stream: every micro-batch is counted by ``keys`` and written to
     ``sink/batch_id=<id>``. With ``available_now`` the query processes what is
     there (in capped batches) and stops; otherwise it triggers every
-    ``interval`` until ``timeout_s`` passes, then stops gracefully."""
+    ``interval`` until ``timeout_s`` passes, then finishes what has arrived and stops:
+    an interrupted batch is counted again from its start and overwrites its folder."""
 
     def count_batch(batch: DataFrame, batch_id: int) -> None:
         (batch.groupBy(*keys).agg(F.count(F.lit(1)).alias("n"))
@@ -44,7 +45,12 @@ def per_batch_counts(stream: DataFrame, keys: list, sink: str, checkpoint: str,
     q = w.start()
     finished = q.awaitTermination(timeout_s) if timeout_s is not None else q.awaitTermination()
     if not finished and q.isActive:
+        # stop() would cut the batch in progress; whatever it leaves, and what has arrived
+        # by now, is finished by one last run over the same checkpoint
         q.stop()
+        q = (stream.writeStream.foreachBatch(count_batch).option("checkpointLocation", checkpoint)
+             .trigger(availableNow=True).start())
+        q.awaitTermination()
     return q
 
 
@@ -55,9 +61,14 @@ def replay_queue(batches: DataFrame, batch_col: str, n_batches: int, folder: str
     write, many files) right before ``start_stream()`` runs an ``availableNow``
     trigger that consumes exactly the new files as one micro-batch.
 
-    The input is read once (persisted projection), not once per batch."""
+    The input is read once (persisted projection), not once per batch. Rows with any
+    other batch number, or none, would be lost: they are an error."""
     staged = spread(batches).persist(StorageLevel.MEMORY_AND_DISK)
     try:
+        known = F.coalesce(F.col(batch_col).between(0, n_batches - 1), F.lit(False))
+        stray = staged.filter(~known).count()
+        if stray:
+            raise ValueError(f"{stray} rows have a {batch_col} outside 0..{n_batches - 1}")
         for i in range(n_batches):
             w = staged.filter(F.col(batch_col) == i).write.mode("append").format(fmt)
             (w.partitionBy(batch_col) if partition_by_batch else w).save(folder)
@@ -67,7 +78,10 @@ def replay_queue(batches: DataFrame, batch_col: str, n_batches: int, folder: str
 
 
 def read_batches(spark: SparkSession, sink: str, schema: str) -> DataFrame:
-    """All per-batch results, with their ``batch_id``."""
+    """All per-batch results, with their ``batch_id``; no rows if no batch ever ran."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(sink)
+    if not folder.getFileSystem(spark._jsc.hadoopConfiguration()).exists(folder):
+        return spark.createDataFrame([], schema)
     return spark.read.schema(schema).parquet(sink)
 
 

@@ -55,7 +55,7 @@ def test_empty_cluster_keeps_its_centre(spark):
 def test_silhouette_matches_library_evaluator(spark):
     fit = KM.kmeans_lloyd(points(spark), ["x", "y", "z"], [[0.0] * 3, [9.0] * 3], 5)
     assigned = fit.assigned()
-    ours = KM.silhouette(assigned, 3, 2, fit.small).first()["silhouette"]
+    ours = KM.silhouette(assigned, 3, 2, fit.hot).first()["silhouette"]
     lib = ClusteringEvaluator(predictionCol="cluster").evaluate(
         assigned.select(array_to_vector(F.array("_x0", "_x1", "_x2")).alias("features"), F.col("cluster").cast("int")))
     assert ours == pytest.approx(lib, abs=1e-9) and ours == pytest.approx(0.999753, abs=1e-6)
@@ -117,7 +117,7 @@ def test_bisecting_cost_not_above_one_cluster_cost(spark):
 def test_silhouette_with_an_empty_cluster(spark):
     assert spark.conf.get("spark.sql.ansi.enabled") == "true"
     fit = KM.kmeans_lloyd(points(spark), ["x", "y", "z"], [[0.0] * 3, [9.0] * 3, [100.0] * 3], 3)
-    s = KM.silhouette(fit.assigned(), 3, 3, fit.small).first()["silhouette"]
+    s = KM.silhouette(fit.assigned(), 3, 3, fit.hot).first()["silhouette"]
     assert s == pytest.approx(0.999753, abs=1e-6)  # the empty cluster plays no part
 
 

@@ -1,6 +1,5 @@
-"""Hot keys (a third of all rows on one key) through the paths a large input takes:
-no broadcast (limits forced to 0) and AQE skew-join splitting with tiny thresholds.
-Results must equal the broadcast path."""
+"""Hot keys (a third of all rows on one key): where their rows go, and that results are
+the same with Spark's own broadcasts off."""
 
 import contextlib
 
@@ -11,6 +10,7 @@ from tessera.operators import cluster as KM
 from tessera.operators import graph as G
 from tessera.operators import relational as R
 from tessera.operators import stats as S
+from tessera.operators.skew import hot_keys, join_by_key
 from tests.conftest import rows
 
 SKEW_CONF = {
@@ -28,8 +28,6 @@ def large_input_paths(spark, monkeypatch):
     old = {k: spark.conf.get(k, None) for k in SKEW_CONF}
     for k, v in SKEW_CONF.items():
         spark.conf.set(k, v)
-    monkeypatch.setattr(G, "MAX_BROADCAST_NODES", 0)
-    monkeypatch.setattr(KM, "MAX_BROADCAST_CENTRES", 0)
     try:
         yield
     finally:
@@ -66,13 +64,12 @@ def test_grouped_kmeans_hot_group_same_on_both_paths(spark, monkeypatch):
     init = [[0.1, 0.1], [0.9, 0.9], [0.5, 0.2]]
     fit = KM.kmeans_lloyd(base, ["a", "b"], init, 4, group="g", scales=[100.0, 37.0])
     want = sorted(rows(fit.centres, "_g", "cluster", "centre"))
-    sil_want = dict(rows(KM.silhouette(fit.assigned(), 2, 3, fit.small), "_g", "silhouette"))
+    sil_want = dict(rows(KM.silhouette(fit.assigned(), 2, 3, fit.hot), "_g", "silhouette"))
     fit.release()
     with large_input_paths(spark, monkeypatch):
         fit2 = KM.kmeans_lloyd(base, ["a", "b"], init, 4, group="g", scales=[100.0, 37.0])
-        assert not fit2.small
         got = sorted(rows(fit2.centres, "_g", "cluster", "centre"))
-        sil_got = dict(rows(KM.silhouette(fit2.assigned(), 2, 3, fit2.small), "_g", "silhouette"))
+        sil_got = dict(rows(KM.silhouette(fit2.assigned(), 2, 3, fit2.hot), "_g", "silhouette"))
         fit2.release()
     assert got == want
     assert all(sil_got[g] == pytest.approx(v, abs=1e-12) for g, v in sil_want.items())
@@ -88,3 +85,54 @@ def test_hot_key_lists_and_ranks_stay_bounded(spark):
     ranks = dict(rows(S.average_ranks(df, "k"), "k", "rank"))
     # 7 holds 10,000 + 1 rows; values below 7 are 1, 2, 4, 5 (id % 3 != 0 among 0..6)
     assert ranks[7] == pytest.approx(4 + (10001 + 1) / 2)
+
+
+def shuffled_counts(spark, df, key):
+    """Rows of each task after a shuffle on ``key``."""
+    return [r["count"] for r in df.repartition(16, key).groupBy(F.spark_partition_id()).count().collect()]
+
+
+def third_on_one_key(spark, n=30_000):
+    return spark.range(n).select(F.when(F.col("id") % 3 == 0, F.lit(-1)).otherwise(F.col("id")).alias("k"), "id")
+
+
+def test_hot_keys_are_few_and_found(spark):
+    df = third_on_one_key(spark)
+    assert [r["k"] for r in hot_keys(df, "k").collect()] == [-1]
+    assert hot_keys(spark.range(5).select(F.col("id").alias("k")), "k").count() == 0  # one row each: none is hot
+    many = spark.range(40_000).select((F.col("id") % 1500).alias("k"))
+    assert hot_keys(many, "k", share=1000).count() == 0
+
+
+def test_hot_rows_never_meet_in_one_task(spark):
+    df = third_on_one_key(spark)
+    hot = hot_keys(df, "k")
+    assert max(shuffled_counts(spark, df, "k")) > 9_000  # the plain join would put them in one task
+    rest = df.join(F.broadcast(hot), "k", "left_anti")
+    assert max(shuffled_counts(spark, rest, "k")) < 2 * 20_000 / 16
+    with large_input_paths(spark, None):
+        sizes = df.groupBy("k").agg(F.count(F.lit(1)).alias("n"))
+        joined = join_by_key(df, sizes, "k", hot)
+        plan = joined._jdf.queryExecution().executedPlan().toString()
+        got = joined.groupBy(F.spark_partition_id().alias("p")).agg(
+            F.count(F.lit(1)).alias("n"), F.sum((F.col("k") == -1).cast("int")).alias("hot")).collect()
+    assert "BroadcastHashJoin" in plan and "SortMergeJoin" in plan
+    assert sum(r["n"] for r in got) == 30_000
+    assert max(r["hot"] for r in got) < 5_000  # as the input lies, four partitions of 2,500
+
+
+def test_pagerank_and_kmeans_broadcast_only_the_hot_side(spark, monkeypatch):
+    with large_input_paths(spark, None):
+        edges = hub_edges(spark)
+        links = G.out_links(edges)
+        plan = links._jdf.queryExecution().executedPlan().toString()
+        assert "BroadcastHashJoin" in plan and "SortMergeJoin" in plan
+        deg = {r["src"]: r["deg"] for r in links.select("src", "deg").distinct().collect()}
+    assert deg["0"] == 3000 and deg["5"] == 2
+
+
+def test_joins_agree_with_the_plain_join(spark):
+    df = third_on_one_key(spark, 3000)
+    per_key = df.groupBy("k").agg(F.max("id").alias("m")).filter("k % 2 <> 0")
+    want = sorted(rows(df.join(per_key, "k"), "k", "id", "m"))
+    assert sorted(rows(join_by_key(df, per_key, "k", hot_keys(df, "k")), "k", "id", "m")) == want
