@@ -42,7 +42,6 @@ def _split(df):
 
 
 TEST = f"doc_id % 10 >= {TRAIN_BUCKETS}"
-MAX_RMSE = 0.35
 
 
 def _judged(out, follows, label: str = "label"):
@@ -209,9 +208,10 @@ def quantity_ratings(spark, sf):
 
 def _factored(ratings):
     """Exact ratings, and flags from the model: each prediction is the product of its
-    factors, and the error over all ratings is below ``MAX_RMSE``."""
+    factors, and the error over all ratings is below their standard deviation (the error
+    of predicting the mean)."""
     model, out = CL.als(ratings, rank=10, max_iter=10, reg=0.01, seed=42)
-    fits = CL.rmse(out) <= MAX_RMSE
+    fits = CL.rmse(out) <= out.agg(F.stddev_pop("rating")).first()[0]
     return CL.factor_product(out, model).select("user_id", "item_id", F.round("rating", 6).alias("rating"),
                                                 "is_product", F.lit(fits).alias("fits"))
 
