@@ -123,8 +123,16 @@ def regression_metrics(df: DataFrame, prediction: str, label: str) -> DataFrame:
                   F.avg(F.abs(e)).alias("mae"))
 
 
-def frac(c):
-    return c - F.floor(c)
+def frac(c, alpha: float):
+    """Fractional part of about ``c * alpha`` in 32-bit fixed point: integer arithmetic, so
+    no digit is lost however large the integer ``c`` is."""
+    step = int(alpha * (1 << 32))
+    return F.pmod(F.pmod(c, F.lit(1 << 31)) * F.lit(step), F.lit(1 << 32)) / F.lit(float(1 << 32))
+
+
+def frac_sql(c: str, alpha: float) -> str:
+    """``frac`` of a non-negative integer SQL expression."""
+    return f"((({c}) % {1 << 31}) * {int(alpha * (1 << 32))} % {1 << 32}) / CAST({1 << 32} AS DOUBLE)"
 
 
 def mc_ratio(df: DataFrame, id_col: str, alpha_x: float = ALPHA_X, alpha_y: float = ALPHA_Y) -> DataFrame:
@@ -132,15 +140,15 @@ def mc_ratio(df: DataFrame, id_col: str, alpha_x: float = ALPHA_X, alpha_y: floa
     point ``(2 frac(i*ax) - 1, 2 frac(i*ay) - 1)`` in the square [-1, 1)^2; the
     estimate is 4 x share inside the unit circle. Repeatable, and the same number
     in any engine with IEEE doubles."""
-    i = F.col(id_col).cast("double")
-    x, y = 2.0 * frac(i * alpha_x) - 1.0, 2.0 * frac(i * alpha_y) - 1.0
+    i = F.col(id_col).cast("bigint")
+    x, y = 2.0 * frac(i, alpha_x) - 1.0, 2.0 * frac(i, alpha_y) - 1.0
     inside = F.when(x * x + y * y <= 1.0, 1).otherwise(0)
     return df.agg(F.count(F.lit(1)).alias("n"), (4.0 * F.sum(inside) / F.count(F.lit(1))).alias("estimate"))
 
 
 def sample_key(id_col: str, alpha: float = ALPHA_X):
     """A repeatable pseudo-random sort key in [0, 1) from an integer key."""
-    return frac(F.col(id_col).cast("double") * alpha)
+    return frac(F.col(id_col).cast("bigint"), alpha)
 
 
 def sample_k(df: DataFrame, k: int, id_col: str, alpha: float = ALPHA_X) -> DataFrame:

@@ -60,8 +60,9 @@ def search_lines(docs: DataFrame, keyword: str, like: bool = False, id_col: str
                  text_col: str = "text") -> DataFrame:
     """Lines of ``docs`` that contain ``keyword`` (literally, or as an unescaped
     LIKE pattern). A line can only match if its whole text does, so texts are
-    first filtered on the text column -- a predicate the parquet scan evaluates
-    (``StringContains``/``LIKE``) -- and only surviving texts are split into lines."""
+    first filtered on the text column (a literal keyword reaches the parquet scan as
+    ``StringContains``, a LIKE pattern with wildcards is applied right after it) and only
+    surviving texts are split into lines."""
     if "\n" in keyword:
         raise ValueError("a line never contains a line break")
     pre = F.col(text_col).like(f"%{keyword}%") if like else F.col(text_col).contains(keyword)

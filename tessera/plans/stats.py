@@ -66,10 +66,8 @@ def kernel_density(spark, sf):
 @register("mc_ratio", sql=f"""
   SELECT CAST(count(*) AS BIGINT) AS n,
          round(CAST(4.0 AS DOUBLE) * sum(CASE WHEN x * x + y * y <= 1.0 THEN 1 ELSE 0 END) / count(*), 6) AS estimate
-  FROM (SELECT 2.0 * (CAST(o_orderkey AS DOUBLE) * {S.ALPHA_X} - floor(CAST(o_orderkey AS DOUBLE) * {S.ALPHA_X}))
-                 - 1.0 AS x,
-               2.0 * (CAST(o_orderkey AS DOUBLE) * {S.ALPHA_Y} - floor(CAST(o_orderkey AS DOUBLE) * {S.ALPHA_Y}))
-                 - 1.0 AS y
+  FROM (SELECT 2.0 * {S.frac_sql("o_orderkey", S.ALPHA_X)} - 1.0 AS x,
+               2.0 * {S.frac_sql("o_orderkey", S.ALPHA_Y)} - 1.0 AS y
         FROM orders) p""")
 def mc_ratio(spark, sf):
     r = S.mc_ratio(table(spark, sf, "orders", "o_orderkey"), "o_orderkey")
@@ -135,7 +133,7 @@ def regression_metrics(spark, sf):
 
 @register("sample_k", sql=f"""
   SELECT doc_id, lang FROM documents
-  ORDER BY CAST(doc_id AS DOUBLE) * {S.ALPHA_X} - floor(CAST(doc_id AS DOUBLE) * {S.ALPHA_X}), doc_id
+  ORDER BY {S.frac_sql("doc_id", S.ALPHA_X)}, doc_id
   LIMIT {SAMPLE_K}""")
 def sample_k(spark, sf):
     return S.sample_k(table(spark, sf, "documents", "doc_id", "lang"), SAMPLE_K, "doc_id")
