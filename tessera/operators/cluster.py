@@ -25,7 +25,7 @@ from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tessera.operators.skew import hot_keys, join_by_key
+from tessera.operators.skew import HotKeys, hot_keys, join_by_key
 from tessera.session import checkpoint
 
 GROUP = "_g"
@@ -79,7 +79,7 @@ def initial_centres(points: DataFrame, init: list[list[float]]) -> DataFrame:
             .select(GROUP, F.explode(F.array(*cells)).alias("s")).select(GROUP, "s.cluster", "s.centre"))
 
 
-def sampled_centres(points: DataFrame, k: int, dims: int, hot: DataFrame, seed: int = 42) -> DataFrame:
+def sampled_centres(points: DataFrame, k: int, dims: int, hot: HotKeys, seed: int = 42) -> DataFrame:
     """``k`` start centres per group taken from the group's own points, repeatably
     (a seeded ``takeSample``): every point gets the key ``xxhash64(seed, group,
     features)`` and each group contributes its points with the ``k`` smallest keys.
@@ -113,7 +113,7 @@ def _centre_lists(centres: DataFrame) -> DataFrame:
         F.array_sort(F.collect_list(F.struct("cluster", "centre"))).alias("_cs"))
 
 
-def assign(points: DataFrame, centres: DataFrame, k: int, dims: int, hot: DataFrame) -> DataFrame:
+def assign(points: DataFrame, centres: DataFrame, k: int, dims: int, hot: HotKeys) -> DataFrame:
     """Points plus ``cluster``: the nearest centre; equal distances go to the lower cluster."""
     joined = join_by_key(points, _centre_lists(centres), GROUP, hot)
     cands = [F.struct(_sq_dist(F.col("_cs")[j]["centre"], dims).alias("d"), F.lit(j).alias("c"))
@@ -145,7 +145,7 @@ class KMeansFit:
     points: DataFrame
     k: int
     dims: int
-    hot: DataFrame  # the groups with more than a thousandth of all points
+    hot: HotKeys  # the groups with more than a thousandth of all points
 
     def assigned(self) -> DataFrame:
         return assign(self.points, self.centres, self.k, self.dims, self.hot)
@@ -189,7 +189,7 @@ def cluster_sizes(assigned: DataFrame) -> DataFrame:
     return assigned.groupBy(GROUP, "cluster").agg(F.count(F.lit(1)).alias("size"))
 
 
-def silhouette(assigned: DataFrame, dims: int, k: int, hot: DataFrame) -> DataFrame:
+def silhouette(assigned: DataFrame, dims: int, k: int, hot: HotKeys) -> DataFrame:
     """Mean silhouette per group with squared Euclidean distance: ``(_g, silhouette, n)``.
 
     Closed form: the mean squared distance from ``x`` to cluster ``C`` is

@@ -15,7 +15,7 @@ from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tessera.operators.skew import hot_keys, join_by_key
+from tessera.operators.skew import HotKeys, hot_keys, join_by_key
 from tessera.session import checkpoint
 
 # Damping and base of the update rank = BASE + DAMPING * sum(contributions).
@@ -29,7 +29,7 @@ def out_links(edges: DataFrame, src: str = "src", dst: str = "dst") -> DataFrame
     return _with_degree(links, hot_keys(links, "src"))
 
 
-def _with_degree(links: DataFrame, hubs: DataFrame) -> DataFrame:
+def _with_degree(links: DataFrame, hubs: HotKeys) -> DataFrame:
     return join_by_key(links, links.groupBy("src").agg(F.count(F.lit(1)).alias("deg")), "src", hubs)
 
 
@@ -45,7 +45,7 @@ def pagerank(edges: DataFrame, iterations: int, src: str = "src", dst: str = "ds
 
     """
     links = checkpoint(edges.select(F.col(src).alias("src"), F.col(dst).alias("dst")).distinct())
-    hubs = hot_keys(links, "src")
+    hubs = hot_keys(links, "src").keys
     degrees = checkpoint(links.groupBy("src").agg(F.count(F.lit(1)).alias("deg")))
     # the edges of hubs as they lie, the others partitioned on src, both for all rounds
     of_hubs = links.join(F.broadcast(degrees.join(F.broadcast(hubs), "src", "left_semi")), "src").persist(StorageLevel.MEMORY_AND_DISK)

@@ -98,17 +98,18 @@ def third_on_one_key(spark, n=30_000):
 
 def test_hot_keys_are_few_and_found(spark):
     df = third_on_one_key(spark)
-    assert [r["k"] for r in hot_keys(df, "k").collect()] == [-1]
-    assert hot_keys(spark.range(5).select(F.col("id").alias("k")), "k").count() == 0  # one row each: none is hot
+    assert [r["k"] for r in hot_keys(df, "k").keys.collect()] == [-1]
+    assert hot_keys(spark.range(5).select(F.col("id").alias("k")), "k").none  # one row each: none is hot
     many = spark.range(40_000).select((F.col("id") % 1500).alias("k"))
-    assert hot_keys(many, "k", share=1000).count() == 0
+    assert hot_keys(many, "k", share=1000).none
+    assert hot_keys(many.withColumn("k", F.lit(1)), "k").only
 
 
 def test_hot_rows_never_meet_in_one_task(spark):
     df = third_on_one_key(spark)
     hot = hot_keys(df, "k")
     assert max(shuffled_counts(spark, df, "k")) > 9_000  # the plain join would put them in one task
-    rest = df.join(F.broadcast(hot), "k", "left_anti")
+    rest = df.join(F.broadcast(hot.keys), "k", "left_anti")
     assert max(shuffled_counts(spark, rest, "k")) < 2 * 20_000 / 16
     with large_input_paths(spark, None):
         sizes = df.groupBy("k").agg(F.count(F.lit(1)).alias("n"))
@@ -133,6 +134,7 @@ def test_pagerank_and_kmeans_broadcast_only_the_hot_side(spark, monkeypatch):
 
 def test_joins_agree_with_the_plain_join(spark):
     df = third_on_one_key(spark, 3000)
-    per_key = df.groupBy("k").agg(F.max("id").alias("m")).filter("k % 2 <> 0")
-    want = sorted(rows(df.join(per_key, "k"), "k", "id", "m"))
-    assert sorted(rows(join_by_key(df, per_key, "k", hot_keys(df, "k")), "k", "id", "m")) == want
+    for df in (df, df.filter("k = -1"), df.filter("k <> -1").withColumn("k", F.col("k") % 1500)):  # both kinds, hot only, none hot
+        per_key = df.groupBy("k").agg(F.max("id").alias("m")).filter("k % 2 <> 0")
+        want = sorted(rows(df.join(per_key, "k"), "k", "id", "m"))
+        assert sorted(rows(join_by_key(df, per_key, "k", hot_keys(df, "k")), "k", "id", "m")) == want
