@@ -123,16 +123,27 @@ def regression_metrics(df: DataFrame, prediction: str, label: str) -> DataFrame:
                   F.avg(F.abs(e)).alias("mae"))
 
 
+def _limbs(alpha: float) -> tuple[int, int]:
+    """``alpha`` as two 31-bit integers: high / 2^31 + low / 2^62."""
+    high = int(alpha * (1 << 31))
+    return high, int((alpha * (1 << 31) - high) * (1 << 31))
+
+
 def frac(c, alpha: float):
-    """Fractional part of about ``c * alpha`` in 32-bit fixed point: integer arithmetic, so
-    no digit is lost however large the integer ``c`` is."""
-    step = int(alpha * (1 << 32))
-    return F.pmod(F.pmod(c, F.lit(1 << 31)) * F.lit(step), F.lit(1 << 32)) / F.lit(float(1 << 32))
+    """Fractional part of ``i * alpha`` for the integer ``i = c mod 2^31``. The products are
+    integers below 2^62, so no digit is lost however large ``c`` is."""
+    high, low = _limbs(alpha)
+    i = F.pmod(c, F.lit(1 << 31))
+    x = F.pmod(i * F.lit(high), F.lit(1 << 31)) / F.lit(float(1 << 31)) + i * F.lit(low) / F.lit(float(1 << 62))
+    return x - F.floor(x)
 
 
 def frac_sql(c: str, alpha: float) -> str:
     """``frac`` of a non-negative integer SQL expression."""
-    return f"((({c}) % {1 << 31}) * {int(alpha * (1 << 32))} % {1 << 32}) / CAST({1 << 32} AS DOUBLE)"
+    high, low = _limbs(alpha)
+    i = f"(({c}) % {1 << 31})"
+    x = f"(({i} * {high} % {1 << 31}) / CAST({1 << 31} AS DOUBLE) + {i} * {low} / CAST({1 << 62} AS DOUBLE))"
+    return f"({x} - floor({x}))"
 
 
 def mc_ratio(df: DataFrame, id_col: str, alpha_x: float = ALPHA_X, alpha_y: float = ALPHA_Y) -> DataFrame:

@@ -45,13 +45,15 @@ def test_kernel_density_sample(spark):
     assert got[5.0] == pytest.approx(0.089629201273, abs=1e-9)
 
 
-def test_kernel_density_many_points_in_batches(spark, monkeypatch):
-    df = spark.createDataFrame([(float(v),) for v in [1, 2, 2, 5]], "x double")
-    pts = [float(p) for p in range(-3, 9)]
-    one_pass = dict(rows(S.kernel_density(df, "x", pts, 1.5), "point", "density"))
-    monkeypatch.setattr(S, "DENSITY_POINTS_PER_PASS", 5)
-    batched = dict(rows(S.kernel_density(df, "x", pts, 1.5), "point", "density"))
-    assert batched == one_pass and len(batched) == 12
+def test_kernel_density_of_many_points(spark):
+    import math
+
+    values = [1.0, 2.0, 2.0, 5.0]
+    df = spark.createDataFrame([(v,) for v in values] + [(None,)], "x double")
+    pts = [p / 2 for p in range(-30, 70)]
+    got = dict(rows(S.kernel_density(df, "x", pts, 1.5), "point", "density"))
+    want = {p: sum(math.exp(-0.5 * ((p - v) / 1.5) ** 2) for v in values) / (4 * 1.5 * math.sqrt(2 * math.pi)) for p in pts}
+    assert got == pytest.approx(want) and len(got) == 100
     with pytest.raises(ValueError):
         S.kernel_density(df, "x", [], 1.0)
 
