@@ -138,7 +138,8 @@ def quality_report(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", t
     ``labels`` (id, quality) are the holdout; rows that fail the base rule take no part
     in choosing cutoffs, as the rules never decide them. Null text: counts 0, base
     failed. A null stratum is a stratum of its own; a stratum without enough labelled
-    good rows has no cutoffs and keeps all that the base rule keeps. Labels of unknown
+    good rows has no cutoffs and keeps all that the base rule keeps. The verdict is one
+    expression per stratum and rule: use a column of few values (languages). Labels of unknown
     ids, null ids and null labels are ignored; a document labelled twice counts once,
     good only if all its labels are. Empty tables: empty result, or no cutoffs."""
     rows = materialise(features(docs, id_col, text_col, stratum_col).withColumn("base_failed", _base_failed()), "features")
