@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import re
+from bisect import bisect_right
 from html import unescape
 
 MAIN, FREE, BOILER = "main", "free", "boiler"
@@ -24,8 +25,20 @@ _BOILER_WORDS = {"ad", "ads", "advert", "adverts", "advertisement", "advertising
                  "sidebar", "menu", "nav", "navbar", "navigation", "breadcrumb", "breadcrumbs", "masthead", "footer",
                  "comments", "comment", "disqus", "respond", "newsletter", "subscribe", "signup", "share", "sharing",
                  "social", "related", "recommended", "widget", "widgets", "toolbar", "pagination", "pager", "skip"}
+# Words that say of a part's name no more than its place or form.
+_PLAIN_WORDS = {"site", "page", "main", "global", "top", "bottom", "left", "right", "primary", "secondary", "box", "bar",
+                "list", "item", "items", "link", "links", "button", "buttons", "icon", "icons", "wrap", "wrapper",
+                "container", "inner", "area", "block", "section", "form", "post", "posts", "article", "articles", "media",
+                "to"}
+# Names that stand for such a part even inside an article, and for a part with others' articles.
+_BESIDE = {"ad", "ads", "advert", "adverts", "advertisement", "sponsored", "promo", "sidebar", "navbar", "breadcrumb",
+           "breadcrumbs", "comments", "disqus", "newsletter", "signup", "pagination", "pager", "popup"}
+_OTHERS = {"comments", "comment", "respond", "disqus", "related", "recommended", "sidebar"}
 _HOLDS_ALL = {"html", "body", "article", "main"}
+_CONTAINERS = {"div", "section", "ul", "ol", "li", "dl", "table", "figure", "fieldset", "details", "p", "center"}
+_HEADINGS = {"h1", "h2", "h3", "h4", "h5", "h6"}
 _NAME_PART = re.compile(r"[a-z]+")
+BESIDE, NAMED, HINTED = "beside", "named", "hinted"
 
 
 def _attributes(text: str) -> dict[str, str]:
@@ -33,6 +46,7 @@ def _attributes(text: str) -> dict[str, str]:
 
 
 def _is_boiler(name: str, attributes: dict[str, str], in_main: bool) -> bool:
+    """By element, role or hiding; class and id see _named."""
     if name in _BOILER_TAGS or (name == "header" and not in_main):
         return True
     if not attributes or name in _HOLDS_ALL:
@@ -41,17 +55,47 @@ def _is_boiler(name: str, attributes: dict[str, str], in_main: bool) -> bool:
         return True
     if "display:none" in attributes.get("style", "").replace(" ", "").lower():
         return True
-    if attributes.get("role", "").lower() in _BOILER_ROLES:
-        return True
-    parts = _NAME_PART.findall(f"{attributes.get('class', '')} {attributes.get('id', '')}".lower())
-    return not _BOILER_WORDS.isdisjoint(parts) or (not in_main and "header" in parts)
+    return attributes.get("role", "").lower() in _BOILER_ROLES
+
+
+def _named(name: str, attributes: dict[str, str], in_main: bool) -> tuple[str, set[str]]:
+    """What class and id say, with their words: BESIDE, a name that is one of _BESIDE; NAMED,
+    a name of nothing but boilerplate and plain words; HINTED, such a word in a longer name;
+    else ''. They say nothing of headings."""
+    if name in _HOLDS_ALL or name in _HEADINGS:
+        return "", set()
+    boiler = _BOILER_WORDS if in_main else _BOILER_WORDS | {"header"}
+    found, words = "", set()
+    for whole in f"{attributes.get('class', '')} {attributes.get('id', '')}".lower().split():
+        parts = set(_NAME_PART.findall(whole))
+        if whole in _BESIDE:
+            return BESIDE, {whole}
+        hits = parts & boiler
+        if hits and parts <= boiler | _PLAIN_WORDS:
+            found, words = NAMED, words | hits
+        elif hits and not found:
+            found = HINTED
+    return found, words
 
 
 def blocks(html: str | None) -> list[tuple[str, str]]:
-    """(text, zone) of every block that has text. ``main``: in the page's article, or in its
+    """(text, zone) of every block that has text, see page_blocks."""
+    return [(t, z) for t, z, _ in page_blocks(html)]
+
+
+def page_blocks(html: str | None) -> list[tuple[str, str, int]]:
+    """(text, zone, doubt) of every block that has text. ``main``: in the page's article, or in its
     main element where it has no article; ``boiler``: menus, headers, footers, sidebars,
     notices, adverts, forms, comments and what is hidden; ``free``: the rest.
 
+    A class or id never drops a heading, nor a part that holds an article, main element or
+    h1 -- but others' articles (comments, related ones) beside the page's own. Outside the
+    article it drops only where the whole name is of boilerplate words, inside only where it
+    is one of a few names. Any other part of the article with such a word in its name
+    stays ``main``; its blocks have the part's number as ``doubt`` (0: none), so that
+    differencing can tell whether it is boilerplate. Where class and id would leave nothing of
+    the page they count for nothing.
+
     Scripts, styles, the page's title and markup have no text. Character references are
     decoded, white space inside a block becomes one space, empty blocks vanish. An article
     that is never closed ends with the page; such a boilerplate element ends where an
@@ -76,9 +120,36 @@ def blocks(html: str | None) -> list[tuple[str, str]]:
                 end = low.find(f"</{name}", at)
                 at = len(html) if end < 0 else end
     ends = _ends(tokens)
-    out: list[tuple[str, bool, bool, bool]] = []  # text; in boilerplate, article, main element
+    marks = [i for i, (kind, name, attributes, _) in enumerate(tokens) if kind == "open"
+             and (name in ("article", "main", "h1") or ("role" in attributes and _attributes(attributes).get("role") == "main"))]
+    own = [i for i in marks if tokens[i][1] != "h1"]
+    out = _zones(tokens, ends, marks, own, True)
+    if not any((a or m or not own) and not b for _, b, a, m, _ in out):
+        out = _zones(tokens, ends, marks, own, False)
+    has_article = any(a and not b for _, b, a, _, _ in out)
+    has_main = any(m and not b for _, b, _, m, _ in out)
+
+    def zone(boiler: bool, article: bool, main: bool) -> str:
+        if boiler:
+            return BOILER
+        if has_article:
+            return MAIN if article else BOILER
+        if has_main:
+            return MAIN if main else BOILER
+        return FREE
+
+    zoned = [(t, zone(b, a, m), d) for t, b, a, m, d in out]
+    return [(t, z, d if z == MAIN else 0) for t, z, d in zoned]
+
+
+def _zones(tokens: list[tuple[str, str, str, str]], ends: list[int | None], marks: list[int], own: list[int],
+           names: bool) -> list[tuple[str, bool, bool, bool, int]]:
+    """(text; in boilerplate, article, main element; doubtful part) of every block. ``marks``:
+    where articles, main elements and h1 begin; ``own``: without h1; ``names``: class and id count."""
+    out: list[tuple[str, bool, bool, bool, int]] = []
     parts: list[str] = []
-    boiler_until = article_until = main_until = -1
+    boiler_until = article_until = main_until = doubt_until = -1
+    doubt = 0
 
     def close_block() -> None:
         text = " ".join(unescape("".join(parts)).split()) if parts else ""
@@ -86,7 +157,21 @@ def blocks(html: str | None) -> list[tuple[str, str]]:
         if text:
             out.append((text, *state))
 
-    state = (False, False, False)
+    def drops(i: int, name: str, attrs: dict[str, str], in_main: bool, end: int) -> bool | None:
+        """Whether class and id drop the element; None if they only raise a doubt."""
+        said, words = _named(name, attrs, in_main)
+        inside = [tokens[j][1] for j in marks[bisect_right(marks, i):bisect_right(marks, end)]]
+        if i <= article_until:  # articles in an article are comments
+            inside = [x for x in inside if x != "article"]
+        if in_main and name not in _CONTAINERS:
+            return False
+        if inside:
+            return names and said in (BESIDE, NAMED) and bool(words & _OTHERS and own and (own[0] < i or own[-1] > end))
+        if in_main:
+            return True if names and said == BESIDE else None
+        return names and said in (BESIDE, NAMED)
+
+    state = (False, False, False, 0)
     for i, (kind, name, attributes, text) in enumerate(tokens):
         if kind == "text":
             parts.append(text)
@@ -98,8 +183,14 @@ def blocks(html: str | None) -> list[tuple[str, str]]:
         if kind == "open" and name not in _VOID and i > boiler_until:
             in_main = i <= article_until or i <= main_until
             attrs = _attributes(attributes) if attributes.strip(" /") else {}
-            if _is_boiler(name, attrs, in_main):
-                end = ends[i] if ends[i] is not None else _unclosed(tokens, i)
+            boiler = _is_boiler(name, attrs, in_main)
+            named = not boiler and ("class" in attrs or "id" in attrs) and _named(name, attrs, in_main)[0]
+            end = (_unclosed(tokens, i) if ends[i] is None else ends[i]) if boiler or named else None
+            if named and end is not None:
+                boiler = drops(i, name, attrs, in_main, end)
+                if boiler is None and i > doubt_until:
+                    doubt, doubt_until = doubt + 1, end
+            if boiler:
                 if end is not None:
                     if name not in _BLOCK:
                         close_block()
@@ -110,21 +201,9 @@ def blocks(html: str | None) -> list[tuple[str, str]]:
                 main_until = len(tokens) if ends[i] is None else ends[i]
         if i == boiler_until:
             close_block()
-        state = (i < boiler_until, i < article_until, i < main_until)
+        state = (i < boiler_until, i < article_until, i < main_until, doubt if i < doubt_until else 0)
     close_block()
-    has_article = any(a and not b for _, b, a, _ in out)
-    has_main = any(m and not b for _, b, _, m in out)
-
-    def zone(boiler: bool, article: bool, main: bool) -> str:
-        if boiler:
-            return BOILER
-        if has_article:
-            return MAIN if article else BOILER
-        if has_main:
-            return MAIN if main else BOILER
-        return FREE
-
-    return [(t, zone(b, a, m)) for t, b, a, m in out]
+    return out
 
 
 def _ends(tokens: list[tuple[str, str, str, str]]) -> list[int | None]:

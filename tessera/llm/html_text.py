@@ -22,7 +22,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tessera.llm.common import materialise
-from tessera.llm.html_blocks import BOILER, FREE, MAIN, blocks
+from tessera.llm.html_blocks import BOILER, FREE, MAIN, page_blocks
 from tessera.operators.sorting import with_position
 
 #: Distinct pages per block of the URL order, and the largest number of blocks: the list of
@@ -118,8 +118,8 @@ class _Page:
         self.block, self.own = divmod(row["place"], 2)
         self.own = not self.own
         self.key, self.host, self.path = (row["page_id"], row["digest"]), row["host"], row["path"]
-        self.blocks = blocks(row["html"])
-        self.lines = [xxhash.xxh64_intdigest(t) for t, _ in self.blocks]
+        self.blocks = page_blocks(row["html"])
+        self.lines = [xxhash.xxh64_intdigest(t) for t, *_ in self.blocks]
         self.urls = [row["url"]]
 
     def nearness(self, other: _Page | None) -> int:
@@ -170,14 +170,19 @@ def _extract(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     yield batch()
 
 
-def main_text(page: list[tuple[str, str]], shared: list[int]) -> tuple[str, int]:
+def main_text(page: list[tuple[str, str, int]], shared: list[int]) -> tuple[str, int]:
     """(text, number of lines deleted because the paired page has them) of a page's blocks.
-    Where deletion would leave nothing the two pages are copies and nothing is deleted."""
+    A doubtful part of the article goes if the paired page has all its lines but not most of
+    the article. Where deletion would leave nothing the two pages are copies and nothing is deleted."""
     common = set(shared)
-    kept = [t for t, zone in page if zone == MAIN]
-    if kept:
-        return "\n\n".join(kept), sum(page[i][1] == BOILER for i in common)
-    free = [(i, t) for i, (t, zone) in enumerate(page) if zone == FREE]
+    main = [(i, t, doubt) for i, (t, zone, doubt) in enumerate(page) if zone == MAIN]
+    if main:
+        plain = [i in common for i, _, doubt in main if not doubt]
+        other = 2 * sum(plain) < len(plain)
+        stays = {doubt for i, _, doubt in main if not (doubt and other and i in common)}
+        kept = [t for _, t, doubt in main if doubt in stays]
+        return "\n\n".join(kept), sum(page[i][1] == BOILER for i in common) + len(main) - len(kept)
+    free = [(i, t) for i, (t, zone, _) in enumerate(page) if zone == FREE]
     own = [t for i, t in free if i not in common]
     return "\n\n".join(own or [t for _, t in free]), len(common) if own else 0
 

@@ -189,6 +189,39 @@ def test_blocks():
     assert blocks("<main><p>m</p></main><p>out") == [("m", "main"), ("out", "boiler")]
 
 
+@pytest.mark.parametrize("open_tag", ['<div class="layout has-sidebar">', '<div id="content-with-sidebar">', '<div class="sidebar">',
+                                      '<section class="page has-fixed-header">', '<div class="site-notice">'])
+@pytest.mark.parametrize("own", ["<article><p>text</p></article>", "<main><p>text</p></main>", "<h1>text</h1>",
+                                 "<div role=main><p>text</p></div>"])
+def test_a_name_never_drops_what_holds_the_article(open_tag, own):
+    kind = open_tag[1:].split()[0]
+    assert [t for t, z in blocks(f"<nav>n</nav>{open_tag}{own}</{kind}>") if z != "boiler"] == ["text"]
+
+
+def test_a_name_inside_the_article_only_raises_a_doubt():
+    page = """<article><h1>T</h1><p>a</p><h2 id="social-history">S</h2><p>b</p><section id="related-work"><h2>R</h2><p>c</p></section>
+    <pre>x <span class="comment"># d</span></pre><div class="notice">e</div><div class="ad">Buy</div></article>
+    <div id="comments"><article>nice</article></div><div class="related-posts"><article>other</article></div>"""
+    assert [t for t, z in blocks(page) if z == "main"] == ["T", "a", "S", "b", "R", "c", "x # d", "e"]
+    assert [t for t, z in blocks(page) if z == "boiler"] == ["Buy", "nice", "other"]
+    assert [t for t, z in blocks('<main><p>m</p><div class="related"><article>o</article></div></main>') if z == "main"] == ["m"]
+    # nothing else on the page: the name counts for nothing
+    assert blocks('<div class="menu"><p>soup</p></div>') == [("soup", "free")]
+
+
+def test_differencing_settles_the_doubt(spark):
+    def page(i, links, work):
+        return (f'<div class="page has-sidebar"><article><h1>title {i}</h1><p>text {i}</p><div class="share-links"><p>{links}</p></div>'
+                f'<section id="related-work"><h2>Related work</h2><p>{work}</p></section></article></div>')
+    rows = [(i, f"http://a.example.org/{i}", page(i, "Post this", f"work {i}")) for i in range(4)]
+    rows += [(10, "http://b.example.org/x", page(1, "Post this", "work")), (11, "http://b.example.org/y", page(1, "Post this", "work 2"))]
+    got = {r["page_id"]: r for r in html_text.extract_pages(pages_of(spark, rows)).collect()}
+    for i in range(4):
+        assert got[i]["text"] == f"title {i}\n\ntext {i}\n\nRelated work\n\nwork {i}" and got[i]["n_deleted"] == 1
+    # a version of the same article confirms nothing
+    assert got[10]["text"] == "title 1\n\ntext 1\n\nPost this\n\nRelated work\n\nwork" and got[10]["n_deleted"] == 0
+
+
 def pages_of(spark, rows):
     return spark.createDataFrame(rows, "page_id bigint, url string, html string")
 
