@@ -247,6 +247,45 @@ def test_shared_lines_of_the_nearest_page_go(spark):
     assert got[105]["text"] == got[106]["text"] == "" and got[None]["text"] == "no id"
 
 
+@pytest.mark.parametrize("size", [3, 1000])
+def test_copies_are_paired_with_the_nearest_other_page(spark, monkeypatch, size):
+    monkeypatch.setattr(html_text, "BLOCK_PAGES", size)
+    page = lambda t: f"{TOP}<p>{t}</p>{END}"
+    rows = [(1, "http://h.example.org/a", page("first")), (2, "http://h.example.org/z", page("last"))]
+    # copies by query, fragment and slash, and re-crawls in other markup, over many blocks of three
+    rows += [(100 + i, f"http://h.example.org/m{('?q=%d' % i, '#top%d' % i, '/')[i % 3]}", page("copied")) for i in range(20)]
+    rows += [(200 + i, f"http://h.example.org/m/{i:02d}", f"<!-- {i} -->" + page("copied").replace("div", "p")) for i in range(20)]
+    rows += [(300 + i, f"http://only.example.org/m?{i}", page("alone")) for i in range(7)]
+    got = {r["page_id"]: r for r in html_text.extract_pages(pages_of(spark, rows)).collect()}
+    assert len(got) == len(rows) and got[1]["text"] == "first" and got[2]["text"] == "last"
+    for i in [*range(100, 120), *range(200, 220)]:
+        assert got[i]["text"] == "copied" and got[i]["pair_page_id"] == 1, i
+    assert got[1]["pair_page_id"] in range(100, 220) and got[2]["pair_page_id"] in range(100, 220)
+    for i in range(300, 307):
+        assert got[i]["text"].split("\n\n")[2] == "alone" and got[i]["pair_page_id"] is None and got[i]["n_deleted"] == 0
+
+
+def test_copies_pair_alike_however_the_blocks_are_cut(spark, monkeypatch):
+    rng = random.Random(18)
+    rows = [(i, f"https://{rng.choice('ab')}.example.com/{rng.randint(0, 20)}?{i}", f"<p>top</p><p>line {rng.randint(0, 1)}</p>") for i in range(150)]
+    by_page, lines = sorted(rows, key=lambda r: (r[1].split("?")[0], r[0])), {r[0]: r[2] for r in rows}
+    want = {}
+    for at, (i, url, html) in enumerate(by_page):
+        host, path = url.split("?")[0].rsplit("/", 1)
+        near = []
+        for side in (reversed(by_page[:at]), by_page[at + 1:]):
+            other = next((r for r in side if r[1].startswith(host + "/") and r[2] != html), None)
+            if other:
+                a, b = f"/{path}", "/" + other[1].split("?")[0].rsplit("/", 1)[1]
+                near.append((next((k for k in range(min(len(a), len(b))) if a[k] != b[k]), min(len(a), len(b))), other[0]))
+        want[i] = max(near, key=lambda x: x[0])[1] if near else None
+    for size in (2, 5, 1000):
+        monkeypatch.setattr(html_text, "BLOCK_PAGES", size)
+        got = html_text.extract_pages(pages_of(spark, rows)).collect()
+        assert {r["page_id"]: r["pair_page_id"] for r in got} == want, size
+        assert all(f"<p>{r['text']}</p>" == lines[r["page_id"]][10:] for r in got)
+
+
 def test_result_does_not_depend_on_the_cut_into_blocks(spark, monkeypatch):
     rng = random.Random(8)
     rows = [(i, f"https://{rng.choice('ab')}.example.com/{rng.randint(0, 40)}/{rng.randint(0, 9)}",
