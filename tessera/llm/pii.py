@@ -128,6 +128,31 @@ def _ip_class(value: int) -> bool:
     return ipaddress.IPv4Address(value).is_global
 
 
+# Calling codes of fewer than three digits, and the lengths of national numbers
+# of those with short or certain ones; others have up to fifteen digits with the code.
+_SHORT_CODES = {"1", "7", "20", "27", *map(str, (*range(30, 35), 36, *range(39, 42), *range(43, 50), *range(51, 59), *range(60, 67), 81, 82, 84, 86,
+                                               *range(90, 96), 98))}
+_NSN = {"7": (10, 10), "20": (8, 10), "27": (9, 9), "30": (10, 10), "31": (9, 9), "32": (8, 9), "33": (9, 9), "34": (9, 9),
+        "36": (8, 9), "39": (6, 11), "40": (9, 9), "41": (9, 9), "44": (9, 10), "45": (8, 8), "46": (7, 10), "47": (8, 8),
+        "48": (9, 9), "49": (6, 11), "51": (8, 9), "52": (10, 10), "54": (10, 11), "55": (10, 11), "56": (9, 9), "57": (10, 10),
+        "60": (8, 10), "61": (9, 9), "62": (8, 12), "63": (8, 10), "64": (8, 10), "65": (8, 8), "66": (8, 9), "81": (9, 10),
+        "82": (8, 10), "84": (9, 10), "86": (10, 11), "90": (10, 10), "91": (10, 10), "92": (9, 10), "98": (10, 10),
+        "351": (9, 9), "353": (7, 9), "354": (7, 9), "358": (6, 11), "380": (9, 9), "420": (9, 9), "421": (9, 9),
+        "852": (8, 8), "971": (8, 9), "972": (8, 9)}
+
+
+def _country(text: str) -> tuple[str, int]:
+    """Calling code of a number that begins with '+', and where its national number begins."""
+    code = re.match(r"\+(\d{1,3})", text)[1]
+    code = next((code[:n] for n in (1, 2) if code[:n] in _SHORT_CODES), code)
+    return code, re.compile(r"[ .-]?\(0\)|").match(text, 1 + len(code)).end()
+
+
+def _nsn_ok(code: str, n: int) -> bool:
+    least, most = _NSN.get(code, (7, 15 - len(code)))
+    return least <= n <= most
+
+
 _HEX = re.compile("[0-9a-f]+")
 FIRST_DAY, LAST_DAY = date(1900, 1, 1), date(2099, 12, 31)
 _DAYS = LAST_DAY.toordinal() - FIRST_DAY.toordinal() + 1
@@ -178,7 +203,7 @@ class Pseudonyms:
 
     def card(self, text: str) -> str | None:
         d = _digits(text)
-        if not luhn_ok(d) or len(set(d)) == 1:
+        if len(d) < 13 or not luhn_ok(d) or len(set(d)) == 1:
             return None
         n = len(d) - 2  # the first digit (network) and the check digit are not free
         free = d[0] + f"{self.turn(int(d[1:-1]), 10 ** n, 'card'):0{n}d}"
@@ -197,8 +222,16 @@ class Pseudonyms:
         d = _digits(text)
         return _refill(text, self._walk(d, "ssn", _ssn_ok)) if _ssn_ok(d) else None
 
-    def phone(self, text: str) -> str:
+    def phone(self, text: str) -> str | None:
         d = _digits(text)
+        if text[0] == "+" and d[0] != "1":
+            cc, at = _country(text)
+            nsn = _digits(text[at:])
+            if not _nsn_ok(cc, len(nsn)):
+                return None
+            return text[:at] + _refill(text[at:], self._walk(nsn, f"phone +{cc}", lambda x: x[0] != "0"))
+        if len(d) != 10 and (len(d) != 11 or d[0] != "1"):
+            return None
         return _refill(text, d[:-10] + self._walk(d[-10:], "phone", _phone_ok))
 
     def date(self, text: str) -> str | None:
@@ -207,15 +240,17 @@ class Pseudonyms:
             return None
         day, layout = found
         sep = next(c for c in text if c in "-/.")
+        a, b, c = (len(x) for x in text.split(sep))
+        widths = {"ymd": (b, c), "mdy": (a, b), "dmy": (b, a)}[layout]
 
         def written(x: int) -> str:
             d = date.fromordinal(FIRST_DAY.toordinal() + x)
-            y, mo, d = f"{d.year:04d}", f"{d.month:02d}", f"{d.day:02d}"
+            y, mo, d = f"{d.year:04d}", f"{d.month:0{widths[0]}d}", f"{d.day:0{widths[1]}d}"
             return sep.join({"ymd": (y, mo, d), "mdy": (mo, d, y), "dmy": (d, mo, y)}[layout])
 
-        # only days that are read back in the same layout
+        # only days that are read back in the same layout and take as many digits
         return written(self.turn(day.toordinal() - FIRST_DAY.toordinal(), _DAYS, "date",
-                                 lambda x: _day(written(x))[1] == layout))
+                                 lambda x: len(written(x)) == len(text) and _day(written(x))[1] == layout))
 
     def secret(self, text: str) -> str:
         if _HEX.fullmatch(text):  # stays hexadecimal
@@ -224,20 +259,77 @@ class Pseudonyms:
         return _text(self.turn(value, size, "secret", lambda x: not _HEX.fullmatch(_text(x, text))), text)
 
 
-# In order of precedence: of overlapping finds the earlier kind counts. The group, if any, is the value.
+# In order of precedence: of overlapping finds the earlier kind counts. The group of a secret or
+# IBAN is the value. Of cards, IBANs and phones with '+' also parts of a find are tried, see _SPANS.
 _HEAD = r"(?<![\w.+-])"
 KINDS: list[tuple[str, str, re.Pattern]] = [
     ("email", "@", re.compile(r"(?<![\w.%+-])[A-Za-z0-9._%+-]++@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)*\.[A-Za-z]{2,}(?![\w-])")),
     ("secret", "=", re.compile(r"(?i)(?:password|passwd|secret|token|api[_-]?key)\s*=\s*\"?([A-Za-z0-9+/_-]{8,})")),
     ("secret", ":", re.compile(r"(?i)\b(?:password|passwd|secret|token|api[_-]?key)\s*:\s*\"?((?=\S*\d)[A-Za-z0-9+/_-]{8,})")),
     ("secret", "AKIA", re.compile(r"\bAKIA([0-9A-Z]{16})\b")),
-    ("iban", "", re.compile(_HEAD + r"[A-Z]{2}\d{2}(?: ?[A-Z0-9]{4}){2,7}(?: ?[A-Z0-9]{1,3})?(?!\w)")),
-    ("card", "", re.compile(r"(?<![\w.])(?<!\d[ -])\d(?:[ -]?\d){12,18}(?![ -]?\d)(?!\w)")),
+    ("iban", "", re.compile(_HEAD + r"(?=([A-Z]{2}\d{2}(?: ?[A-Z0-9]{4}){2,7}(?: ?[A-Z0-9]{1,3})?(?!\w)))")),
+    ("card", "", re.compile(r"(?<!\d)(?<!\d[ -])(?=(?:\d[ -]?){12}\d)\d+(?:[ -]\d+)*")),
     ("ip", "", re.compile(r"(?<![\w.])\d{1,3}(?:\.\d{1,3}){3}(?!\w|\.\d)")),
     ("ssn", "", re.compile(_HEAD + r"\d{3}-\d{2}-\d{4}(?![\w-])")),
+    ("phone", "+", re.compile(r"(?<![\w.+])\+[1-9]\d{0,14}(?:[ .-]?\(\d{1,5}\))?(?:[ .-]?\d{1,14}){0,8}(?!\w)")),
     ("phone", "", re.compile(r"(?<![\w.])(?:\+?1[ .-]?)?(?:\(\d{3}\) ?|\d{3}[ .-])\d{3}[ .-]\d{4}(?!\w)(?![.-]\d)")),
-    ("date", "", re.compile(_HEAD + r"(?:\d{4}([-/.])\d{2}\1\d{2}|\d{2}([-/.])\d{2}\2\d{4})(?!\w|[-/.]\d)")),
+    ("date", "", re.compile(_HEAD + r"(?:\d{4}([-/.])\d{1,2}\1\d{1,2}|\d{1,2}([-/.])\d{1,2}\2\d{4})(?:(?=[Tt]\d\d(?::?\d\d|(?!\w)))|(?!\w|[-/.]\d))")),
 ]
+# Length of IBANs by country.
+_IBAN_LENGTH = {c: n for n, cs in {
+    15: "NO", 16: "BE", 18: "DK FI FO GL NL SD", 19: "MK SI", 20: "AT BA EE KZ LT LU MN XK", 21: "CH HR LI LV",
+    22: "BG BH CR DE GB GE IE ME RS VA", 23: "AE GI IL IQ OM SO TL", 24: "AD CZ ES MD PK RO SA SE SK TN VG", 25: "LY PT ST",
+    26: "IS TR", 27: "BI DJ FR GR IT MC MR SM", 28: "AL AZ BY CY DO GT HU LB NI PL SV", 29: "BR EG PS QA UA", 30: "JO KW MU",
+    31: "MT SC", 32: "LC", 33: "RU"}.items() for c in cs.split()}
+# Numbers of digits of cards by their first digit.
+_CARD_LENGTH = {"2": (16,), "3": (14, 15, 16), "4": (13, 16, 19), "5": (16,), "6": (16, 17, 18, 19)}
+
+
+def _card_spans(text: str, lo: int, hi: int) -> list[tuple[int, int]]:
+    """Every stretch of whole groups of a run of digits that can be a card number, the likeliest
+    first: 13 to 19 digits as cards are written (one group; groups of four, the last may be
+    shorter; four-six-four or -five), or the whole run in other groups, all divided
+    alike, with a card's first digit and length. A number beside the card is a group of its own."""
+    groups = [m.span() for m in re.compile(r"\d+").finditer(text, lo, hi)]
+    found = []
+    for i, (start, _) in enumerate(groups):
+        if start and (text[start - 1] in ".+_" or text[start - 1].isalnum()):
+            continue
+        sizes, n = [], 0
+        for a, end in groups[i:i + 19]:
+            sizes.append(end - a)
+            n += end - a
+            if n > 19:
+                break
+            if n < 13 or end < len(text) and (text[end] == "_" or text[end].isalnum()):
+                continue
+            likely = n in _CARD_LENGTH.get(text[start], ())
+            usual = len(sizes) == 1 or sizes in ([4, 6, 4], [4, 6, 5]) or (set(sizes[:-1]) == {4} and sizes[-1] <= 4)
+            if usual or (likely and (start, end) == (lo, hi) and len(set(re.findall(r"[ -]", text[lo:hi]))) == 1):
+                found.append((not likely, not usual, n != 16, -n, start, end))
+    return [f[4:] for f in sorted(found)]
+
+
+def _iban_spans(text: str, lo: int, hi: int) -> list[tuple[int, int]]:
+    """Beginnings that end with a word: of the country's length, else the whole find; for an
+    unknown country the longest first."""
+    ends = [e for e in range(hi, lo + 14, -1) if e == hi or (text[e] == " " and text[e - 1] != " ")]
+    want = _IBAN_LENGTH.get(text[lo:lo + 2])
+    if want:
+        ends = [e for e in ends if len(text[lo:e].replace(" ", "")) == want] + [hi]
+    return [(lo, e) for e in ends]
+
+
+def _phone_spans(text: str, lo: int, hi: int) -> list[tuple[int, int]]:
+    """Beginnings that end with a group, of more than one digit if possible, the longest first;
+    only numbers with '+' can be taken too long."""
+    if text[lo] != "+":
+        return [(lo, hi)]
+    ends = [e for e in range(hi, lo + 7, -1) if text[e - 1].isdigit() and (e == len(text) or not text[e].isalnum())]
+    return [(lo, e) for e in sorted(ends, key=lambda e: text[e - 2] == " ")]
+
+
+_SPANS = {"card": _card_spans, "iban": _iban_spans, "phone": _phone_spans}
 _DIGIT = re.compile("[0-9]")
 
 
@@ -250,13 +342,14 @@ def find(text: str, names: Pseudonyms) -> list[tuple[int, int, str, str]]:
         if (hint and hint not in text) or (not hint and not digit):
             continue
         for m in pattern.finditer(text):
-            lo, hi = m.span(1) if kind == "secret" else m.span()
-            if any(lo < e and s < hi for s, e in taken):
-                continue
-            new = getattr(names, kind)(text[lo:hi])
-            if new is not None:
-                taken.append((lo, hi))
-                out.append((lo, hi, kind, new))
+            whole = m.span(1) if kind in ("secret", "iban") else m.span()
+            for lo, hi in _SPANS[kind](text, *whole) if kind in _SPANS else [whole]:
+                if any(lo < e and s < hi for s, e in taken):
+                    continue
+                new = getattr(names, kind)(text[lo:hi])
+                if new is not None:
+                    taken.append((lo, hi))
+                    out.append((lo, hi, kind, new))
     return sorted(out)
 
 

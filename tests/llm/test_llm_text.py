@@ -60,6 +60,39 @@ def test_pseudonyms_keep_the_format_and_can_be_undone(kind, value):
         assert pii._day(new)[1] == pii._day(value)[1]
 
 
+BESIDE = {
+    "card": ["4111 1111 1111 1111", "4111111111111111", "5500-0000-0000-0004", "3782 822463 10005", "4222 2222 2222 2"],
+    "iban": ["BE68 5390 0754 7034", "BE68539007547034", "NO93 8601 1117 947", "GB82 WEST 1234 5698 7654 32"],
+    "phone": ["+44 20 7946 0958", "+442079460958", "+49 30 90182000", "+33 1 23 45 67 89", "+1 (276) 555-5999", "+14155550134", "415-555-0134"],
+    "date": ["3/4/1985", "13/4/1985", "1985-3-4", "1985-03-04", "3.4.1985"], "ssn": ["123-45-6789"], "ip": ["84.190.143.79"]}
+
+
+@pytest.mark.parametrize("kind,value", [(k, v) for k, vs in BESIDE.items() for v in vs])
+@pytest.mark.parametrize("before,after", [("", " 12/25"), ("", " 123"), ("17 ", ""), ("17 ", " 5"), ("", " EUR 500"), ("XX12 ", " 123456"),
+                                          ("2024-05-06 ", " 7"), ("415-555-0134 ", ""), ("", " 4077 6013 6971 0178")])
+def test_values_beside_other_numbers(kind, value, before, after):
+    text = before + value + after
+    found = find(text, Pseudonyms(KEY))
+    here = [f for f in found if f[0] == len(before)]
+    assert [(f[1], f[2]) for f in here] == [(len(before) + len(value), kind)], found
+    new = text[:here[0][0]] + here[0][3] + text[here[0][1]:]
+    assert here[0][3] != value and getattr(Pseudonyms(KEY, back=True), kind)(here[0][3]) == value
+    if kind != "ip":
+        assert len(new) == len(text)
+
+
+def test_dates_before_a_time_and_two_cards_in_a_run():
+    names = Pseudonyms(KEY)
+    for text in ["1985-03-04T10:00", "at 1985-03-04T10:00:00Z", "1985-03-04T10"]:
+        assert [text[a:b] for a, b, *_ in find(text, names)] == ["1985-03-04"]
+    assert find("1985-03-04Total", names) == [] == find("13/13/1985", names)
+    text = "4111 1111 1111 1111 5500 0000 0000 0004"
+    assert [text[a:b] for a, b, *_ in find(text, names)] == [text[:19], text[20:]]
+    # a phone and a social-security number are no card, whatever their digits' sum
+    kinds = {f"415-555-{i:04d} 123-45-6789": "phone ssn" for i in range(1000, 1040)}
+    assert all(" ".join(k for *_, k, _ in find(t, names)) == want for t, want in kinds.items())
+
+
 def test_invalid_values_and_plain_text_stay():
     names = Pseudonyms(KEY)
     for text in ["order 4111111111111112 shipped", "version 1.2.3.4.5", "300.1.2.3", "2023-02-30", "DE89370400440532013001",
