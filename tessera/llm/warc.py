@@ -128,10 +128,12 @@ def _with_response(pages: DataFrame, least: int) -> DataFrame:
     # Fewer than 1000 payloads can have over a thousandth of all copies: those are broadcast.
     limit = max(1, (sizes.agg(F.sum("n")).first()[0] or 0) // 1000)
     heavy, light = sizes.filter(F.col("n") > limit), sizes.filter(F.col("n") <= limit)
-    hot = rows.join(F.broadcast(heavy), "digest")
-    rest = rows.join(F.broadcast(heavy.select("digest")), "digest", "left_anti").join(light, "digest", "left")
+    # Smaller payloads are always responses: they go past the join, or equal ones would meet in one task.
+    small = F.octet_length("html") < least
+    past = rows.join(F.broadcast(heavy), "digest", "left").filter(small | F.col("n").isNotNull())
+    rest = rows.filter(~small).join(F.broadcast(heavy.select("digest")), "digest", "left_anti").join(light, "digest", "left")
     refers_to = F.when(~F.col("page_id").eqNullSafe(F.col("best")), F.col("best"))
-    return hot.unionByName(rest).select("page_id", "url", "html", "digest", refers_to.alias("refers_to"))
+    return past.unionByName(rest).select("page_id", "url", "html", "digest", refers_to.alias("refers_to"))
 
 
 def write_archives(pages: DataFrame, folder: str, dictionary: bytes | None = None, id_col: str = "page_id",

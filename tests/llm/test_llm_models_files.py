@@ -252,3 +252,17 @@ def test_damage_is_reported(trained):
 
 def test_no_pages_no_archives(spark):
     assert warc.archive_round_trip(spark, spark.createDataFrame([], "page_id bigint, url string, html string")).count() == 0
+
+
+def test_equal_small_payloads_do_not_meet_in_one_task(spark):
+    rows = [(i, f"http://a.b/{i}", None if i % 2 else "") for i in range(1200)]
+    rows += [(2000 + i, f"http://c.d/{i}", f"{i // 2:04d}" * 300) for i in range(2000)]  # pairs, joined by shuffle
+    pages = spark.createDataFrame(rows, "page_id bigint, url string, html string").repartition(6)
+    threshold = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        got = warc._with_response(pages, 1000).withColumn("task", F.spark_partition_id()).collect()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
+    assert {r["page_id"]: r["refers_to"] for r in got} == {i: i + 1 if i >= 2000 and i % 2 == 0 else None for i, *_ in rows}
+    assert max(Counter(r["task"] for r in got if r["page_id"] < 2000).values()) < 400
