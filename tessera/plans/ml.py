@@ -206,11 +206,11 @@ def quantity_ratings(spark, sf):
             .agg((F.avg("l_quantity") / 10.0 - 2.5).alias("rating")))
 
 
-def _factored(ratings):
+def _factored(ratings, max_iter):
     """Exact ratings, and flags from the model: each prediction is the product of its
     factors, and the error over all ratings is below their standard deviation (the error
     of predicting the mean)."""
-    model, out = CL.als(ratings, rank=10, max_iter=10, reg=0.01, seed=42)
+    model, out = CL.als(ratings, rank=10, max_iter=max_iter, reg=0.01, seed=42)
     fits = CL.rmse(out) <= out.agg(F.stddev_pop("rating")).first()[0]
     return CL.factor_product(out, model).select("user_id", "item_id", F.round("rating", 6).alias("rating"),
                                                 "is_product", F.lit(fits).alias("fits"))
@@ -221,7 +221,7 @@ def _factored(ratings):
          true AS is_product, true AS fits
   FROM lineitem JOIN orders ON l_orderkey = o_orderkey GROUP BY 1, 2""")
 def als_ratings(spark, sf):
-    return _factored(quantity_ratings(spark, sf))
+    return _factored(quantity_ratings(spark, sf), max_iter=10)
 
 
 @register("als_dense", sql="""
@@ -230,7 +230,7 @@ def als_ratings(spark, sf):
   FROM lineitem JOIN orders ON l_orderkey = o_orderkey JOIN customer ON o_custkey = c_custkey
        JOIN supplier ON l_suppkey = s_suppkey GROUP BY 1, 2""")
 def als_dense(spark, sf):
-    """Customer nation x supplier nation mean quantity (a full 25 x 25 matrix)."""
+    """Customer nation x supplier nation mean quantity (a full 25 x 25 matrix), five iterations."""
     li = spread(table(spark, sf, "lineitem", "l_orderkey", "l_suppkey", "l_quantity"))
     od = table(spark, sf, "orders", "o_orderkey", "o_custkey")
     cu = table(spark, sf, "customer", "c_custkey", "c_nationkey")
@@ -239,7 +239,7 @@ def als_dense(spark, sf):
          .join(su, F.col("l_suppkey") == F.col("s_suppkey"))
          .groupBy(F.col("c_nationkey").alias("user_id"), F.col("s_nationkey").alias("item_id"))
          .agg((F.avg("l_quantity") / 10.0).alias("rating")))
-    return _factored(m)
+    return _factored(m, max_iter=5)
 
 
 def _itemsets_sql(max_size: int = 4) -> str:

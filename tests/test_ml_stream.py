@@ -1,3 +1,4 @@
+import pytest
 from pyspark.sql import functions as F
 
 from tessera.operators import classify as CL
@@ -104,3 +105,12 @@ def test_als_ratings_fit_known_pairs_far_better_than_the_mean(spark):
     from tessera.plans import ml
     m = S.regression_metrics(ml.als_ratings(spark, SF_SMALL), "prediction", "rating").first()
     assert m["n"] > 0 and m["r2"] > 0.5
+
+
+@pytest.mark.parametrize("key,iterations", [("als_ratings", 10), ("als_dense", 5)])
+def test_als_keys_keep_their_iterations(spark, monkeypatch, key, iterations):
+    from tessera.plans import ml
+    seen, fit = [], CL.als
+    monkeypatch.setattr(CL, "als", lambda *args, **given: seen.append(given["max_iter"]) or fit(*args, **given))
+    assert all(r["fits"] and r["is_product"] for r in getattr(ml, key)(spark, SF_SMALL).collect())
+    assert seen == [iterations]
