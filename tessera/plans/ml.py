@@ -230,16 +230,20 @@ def als_ratings(spark, sf):
   FROM lineitem JOIN orders ON l_orderkey = o_orderkey JOIN customer ON o_custkey = c_custkey
        JOIN supplier ON l_suppkey = s_suppkey GROUP BY 1, 2""")
 def als_dense(spark, sf):
-    """Customer nation x supplier nation mean quantity (a full 25 x 25 matrix), five iterations."""
+    """Five iterations over ``nation_ratings``."""
+    return _factored(nation_ratings(spark, sf), max_iter=5)
+
+
+def nation_ratings(spark, sf):
+    """Customer nation x supplier nation mean quantity / 10 (a full 25 x 25 matrix)."""
     li = spread(table(spark, sf, "lineitem", "l_orderkey", "l_suppkey", "l_quantity"))
     od = table(spark, sf, "orders", "o_orderkey", "o_custkey")
     cu = table(spark, sf, "customer", "c_custkey", "c_nationkey")
     su = table(spark, sf, "supplier", "s_suppkey", "s_nationkey")
-    m = (li.join(od, li.l_orderkey == od.o_orderkey).join(cu, F.col("o_custkey") == F.col("c_custkey"))
-         .join(su, F.col("l_suppkey") == F.col("s_suppkey"))
-         .groupBy(F.col("c_nationkey").alias("user_id"), F.col("s_nationkey").alias("item_id"))
-         .agg((F.avg("l_quantity") / 10.0).alias("rating")))
-    return _factored(m, max_iter=5)
+    return (li.join(od, li.l_orderkey == od.o_orderkey).join(cu, F.col("o_custkey") == F.col("c_custkey"))
+            .join(su, F.col("l_suppkey") == F.col("s_suppkey"))
+            .groupBy(F.col("c_nationkey").alias("user_id"), F.col("s_nationkey").alias("item_id"))
+            .agg((F.avg("l_quantity") / 10.0).alias("rating")))
 
 
 def _itemsets_sql(max_size: int = 4) -> str:
