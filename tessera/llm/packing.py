@@ -10,6 +10,7 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -19,31 +20,40 @@ CAPACITY, END_ID = 4096, 1
 #: Sequences a task packs at a time, and the smallest such batch when that gives fewer than
 #: ``PARALLEL`` batches. A batch ends with a few part-filled sequences.
 BATCH_SEQUENCES, LEAST_SEQUENCES, PARALLEL = 1024, 128, 48
-#: Words whose ids a Python worker remembers (about 150 MB).
+#: Words whose ids a Python worker remembers (about 150 MB), in two generations.
 CACHE_WORDS = 800_000
 _SLICE = 64
 # Beyond these characters lower-casing is left to the tokenizer itself.
 _NOT_LATIN = re.compile("[^\x00-ɏ]|İ")
-# Fixed value: the suffix of tokens that end a word in the tokenizer's vocabulary.
-_WORD_END = "</w>"
+# Words of these characters alone (no special tokens, no white space of any kind) are cut into
+# pieces here; the rest goes through the whole tokenizer.
+_LATIN_WORD = re.compile("[!-~\xa1-\xac\xae-įı-ɏ]+")
+# How the tokenizer cuts a word into pieces, and how it writes bytes as characters.
+_PIECES = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+")
+_SPECIAL, _STOPS = "<|", (b".", b",", b";", b":", b"!", b"?")
+_AS_THEMSELVES = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
+_BYTE_CHARS = {b: 256 + i for i, b in enumerate(b for b in range(256) if b not in set(_AS_THEMSELVES))}
 _ENCODERS: dict[str, Encoder] = {}
 
 
-class Encoder:
-    """Token ids of texts as little-endian unsigned 32-bit bytes.
+class Encoder(dict):
+    """Token ids of words, and of texts, as little-endian unsigned 32-bit bytes.
 
     The tokenizer never merges across white space, so a text's ids are its words' ids one
-    after the other and each distinct word is encoded once per worker while remembered."""
+    after the other. The mapping holds the words of the younger generation and works out a
+    missing one on the way. When it holds half of ``cache_words`` it becomes the older
+    generation, which is looked into before a word is encoded again, so words in use move
+    on and rare ones are forgotten; memory is bounded and nothing is ever cleared at once."""
 
-    def __init__(self, path: str):
+    def __init__(self, path: str, cache_words: int = CACHE_WORDS):
+        super().__init__()
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.known: dict[bytes, bytes] = {}
-        vocabulary = self.tokenizer.get_vocab()
-        self.ends = np.zeros(max(vocabulary.values()) + 1, bool)  # ids that end a word
-        self.ends[[i for token, i in vocabulary.items() if token.endswith(_WORD_END)]] = True
+        self.model = self.tokenizer.model
+        self.bytes_of = [i.to_bytes(4, "little") for i in range(self.tokenizer.get_vocab_size())]
+        self.half, self.older = cache_words // 2, {}
 
     @staticmethod
     def of(path: str) -> Encoder:
@@ -51,46 +61,38 @@ class Encoder:
             _ENCODERS[path] = Encoder(path)
         return _ENCODERS[path]
 
-    def words(self, text: str) -> list[bytes]:
-        return (text if _NOT_LATIN.search(text) else text.lower()).encode().split()
-
-    def learn(self, words: set[bytes]) -> None:
-        """Encode the words not yet known. A Latin letter followed by one full stop or comma
-        at the end is two independent pieces, so the word before it is looked up on its own."""
-        known, tails, plain = self.known, [], set()
-        for w in words:
-            if w in known:
-                continue
-            stem = w[:-1].decode() if w[-1:] in (b".", b",") else ""
-            if stem and stem[-1].isalpha() and not _NOT_LATIN.search(stem):
-                tails.append(w)
-                plain.update((w[:-1], w[-1:]))
-            else:
-                plain.add(w)
-        new = {w: w.decode() for w in plain if w not in known}
-        # Latin letters only: one piece each, so many are encoded as one text and cut at the word ends
-        letters = [w for w, t in new.items() if t.isalpha() and not _NOT_LATIN.search(t)]
-        if letters:
-            text = b" ".join(letters).decode()
-            ids = np.array(self.tokenizer.encode_batch_fast([text], add_special_tokens=False)[0].ids, "<u4")
-            cuts = (np.flatnonzero(self.ends[ids]) + 1) * 4
-            if len(cuts) == len(letters):
-                raw, lo = ids.tobytes(), 0
-                for w, hi in zip(letters, cuts.tolist()):
-                    known[w] = raw[lo:hi]
-                    lo = hi
-        rest = [w for w in new if w not in known]
-        for w, e in zip(rest, self.tokenizer.encode_batch_fast([new[w] for w in rest], add_special_tokens=False)):
-            known[w] = np.array(e.ids, "<u4").tobytes()
-        for w in tails:
-            known[w] = known[w[:-1]] + known[w[-1:]]
+    def __missing__(self, word: bytes) -> bytes:
+        ids = self.older.get(word)
+        if ids is None:
+            ids = self.word_ids(word)
+        self[word] = ids
+        return ids
+
+    def word_ids(self, word: bytes) -> bytes:
+        if word.isalpha():  # ASCII letters
+            return self.piece_ids(word.decode().lower())
+        if word[:-1].isalpha() and word[-1:] in _STOPS:
+            return self[word[:-1]] + self[word[-1:]]
+        text = word.decode()
+        if not _LATIN_WORD.fullmatch(text) or _SPECIAL in text:
+            return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
+        pieces = _PIECES.findall(text.lower())
+        if len(pieces) == 1:
+            return self.piece_ids(pieces[0])
+        return b"".join([self[p.encode()] for p in pieces])
+
+    def piece_ids(self, piece: str) -> bytes:
+        if not piece.isascii():
+            piece = piece.encode().decode("latin-1").translate(_BYTE_CHARS)
+        return b"".join([self.bytes_of[t.id] for t in self.model.tokenize(piece)])
 
     def encode(self, texts: list[str | None]) -> list[bytes]:
-        if len(self.known) > CACHE_WORDS:
-            self.known.clear()
-        split = [self.words(t) if t else [] for t in texts]
-        self.learn(set().union(*split))
-        return [b"".join(map(self.known.__getitem__, words)) for words in split]
+        if len(self) > self.half:
+            self.older = dict(self)
+            self.clear()
+        known = self.__getitem__
+        return [b"".join(map(known, (t if _NOT_LATIN.search(t) else t.lower()).encode().split())) if t else b""
+                for t in texts]
 
 
 def token_pieces(docs: DataFrame, tokenizer_path: str, id_col: str = "doc_id", text_col: str = "text",
@@ -158,8 +160,9 @@ def sum_of_squares(lengths: np.ndarray, capacity: int = CAPACITY) -> tuple[np.nd
 
 def pack(pieces: DataFrame, capacity: int = CAPACITY) -> DataFrame:
     """``pieces`` plus sequence_id and offset (gapless from 0 in each sequence). Pieces are
-    dealt by hash to batches of bounded size, each packed on its own. Read twice: pass a
-    stored table."""
+    dealt by hash to batches of bounded size, each packed on its own; their number ``row``,
+    which the result drops, deals identical pieces to all batches too. Read twice: pass a stored
+    table."""
     tokens = pieces.agg(F.sum("length").alias("n")).first()["n"] or 0
     sequences = -(-tokens // capacity)
     batches = max(1, -(-sequences // BATCH_SEQUENCES), min(PARALLEL, sequences // LEAST_SEQUENCES))
@@ -170,16 +173,17 @@ def pack(pieces: DataFrame, capacity: int = CAPACITY) -> DataFrame:
         bins, offsets = sum_of_squares(rows["length"].to_numpy(), capacity)
         return rows.assign(sequence_id=(int(batch) << 32) + bins, offset=offsets)
 
-    dealt = pieces.withColumn("__batch", F.pmod(F.xxhash64("doc_id", "piece", "ids_crc32"), F.lit(batches)))
+    dealt = pieces.withColumn("__batch", F.pmod(F.xxhash64("doc_id", "piece", "ids_crc32", "row"), F.lit(batches)))
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in pieces.schema)
-    return dealt.groupBy("__batch").applyInPandas(run, f"{schema}, sequence_id bigint, offset bigint")
+    return dealt.groupBy("__batch").applyInPandas(run, f"{schema}, sequence_id bigint, offset bigint").drop("row")
 
 
 def pack_documents(docs: DataFrame, tokenizer_path: str, id_col: str = "doc_id", text_col: str = "text",
                    capacity: int = CAPACITY, with_ids: bool = False) -> DataFrame:
     """All documents packed: one row per piece with its sequence and offset.
 
-    Null and empty texts are one token (the end id). Repeated rows are packed once each.
-    Null ids are carried. Empty table: empty result. Other columns are not read."""
+    Null and empty texts are one token (the end id). Repeated rows are packed once each and
+    dealt to all batches; equal lengths go by their checksum, id and start. A very long text is
+    encoded whole and cut into as many pieces as it fills. Null ids are carried. Empty table: empty result. Other columns are not read."""
     pieces = token_pieces(docs, tokenizer_path, id_col, text_col, capacity, with_ids=with_ids)
-    return pack(materialise(pieces, "pieces"), capacity)
+    return pack(materialise(pieces.withColumn("row", F.monotonically_increasing_id()), "pieces"), capacity)

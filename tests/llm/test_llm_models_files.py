@@ -83,6 +83,26 @@ def test_ids_are_those_of_the_tokenizer():
             assert np.frombuffer(ids, "<u4").tolist() == tokenizer.encode(text, add_special_tokens=False).ids, text
 
 
+def test_a_small_cache_forgets_rare_words_only_and_changes_no_id(spark):
+    encoder, plain = packing.Encoder(PATH, cache_words=40), packing.Encoder(PATH)
+    rng = random.Random(4)
+    for lo in range(300):
+        texts = [" ".join(["common", "Words,", *(rng.choice("abcdefgh") * rng.randint(1, 9) + str(lo) for _ in range(12))])]
+        assert encoder.encode(texts) == plain.encode(texts)
+        assert b"common" in encoder and len(encoder) + len(encoder.older) <= 40 + 2 * 40
+
+
+def test_a_third_of_identical_rows_is_dealt_to_all_batches(spark, monkeypatch):
+    monkeypatch.setattr(packing, "LEAST_SEQUENCES", 1)
+    rng = random.Random(3)
+    rows = [(None, "the same text " * 40)] * 1000 + [(i, " ".join(rng.choice(["a", "bc", "def"]) for _ in range(150))) for i in range(2000)]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string").repartition(3)
+    out = packing.pack_documents(docs, PATH).collect()
+    check_packing(out, 4096)
+    batches = Counter(r["sequence_id"] >> 32 for r in out)
+    assert len(out) == 3000 and len(batches) == 48 and max(batches.values()) < 2 * 3000 / 48
+
+
 def squares_brute(lengths, capacity):
     """Sum of squares over gaps of partly filled bins, every choice tried."""
     bins, out = [], {}
