@@ -11,7 +11,8 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from tessera.llm import exact_dedup, html_text, mixing, packing, pii, quality, sharding, simhash, toxicity, warc
+from tessera.llm import (exact_dedup, html_text, mixing, packing, pii, quality, sharding, simhash, toxicity, variants, warc,
+                         whitening)
 from tessera.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -110,3 +111,46 @@ def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op10_warc")
 def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.archive_round_trip(spark, table(spark, sf_dir, "pages"))
+
+
+@query("op12_whitening")
+def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitening.whiten_vectors(table(spark, sf_dir, "embeddings"))
+
+
+@query("op13_variants", r"""
+WITH RECURSIVE t AS (
+  SELECT list(list_reduce([i, 0, 0, 0, 0, 0, 0, 0, 0], lambda c, k: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END)
+              ORDER BY i) AS crc FROM range(256) r(i)),
+r AS (
+  SELECT doc_id, unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                           '[A-Za-z\x{C0}-\x{FF}]{5,}')) AS run
+  FROM documents),
+k AS (SELECT run, doc_id, hex(encode(coalesce(doc_id::VARCHAR, '') || ':' || run)) AS x, count(*) AS c FROM r GROUP BY doc_id, run),
+h AS (
+  SELECT run, c, xor(list_reduce(list_prepend(4294967295::BIGINT, list_transform(range(len(x) // 2),
+                                   lambda i: ('0x' || substr(x, 2 * i + 1, 2))::BIGINT)),
+                                 lambda a, b: xor(a >> 8, crc[(xor(a, b) & 255) + 1])), 4294967295) AS h
+  FROM k, t),
+o AS (
+  SELECT CASE WHEN h % 97 = 0 THEN substr(run, 1, (h % length(run))::INT) || substr(run, (h % length(run))::INT + 2)
+              ELSE run END AS word, c FROM h),
+w AS (SELECT word, sum(c)::BIGINT AS n FROM o WHERE length(word) >= 5 GROUP BY word HAVING sum(c) >= 3),
+p AS (SELECT word, n, i, substr(word, 1, i - 1) || substr(word, i + 1) AS rest
+      FROM (SELECT word, n, unnest(range(1, length(word) + 1)) AS i FROM w)),
+e AS (
+  SELECT a.word, b.word AS other, b.n AS other_n FROM p a JOIN p b ON a.rest = b.rest AND a.i = b.i AND a.word <> b.word
+  UNION SELECT p.word, w.word, w.n FROM p JOIN w ON p.rest = w.word
+  UNION SELECT w.word, p.word, p.n FROM p JOIN w ON p.rest = w.word),
+b AS (SELECT word, count(*) AS n_near, max(other_n) AS top FROM e GROUP BY word),
+f AS (
+  SELECT w.word, w.n, coalesce(b.n_near, 0)::BIGINT AS n_near, CASE WHEN b.top >= 2 * w.n THEN b.top END AS form_n,
+         CASE WHEN b.top >= 2 * w.n THEN (SELECT min(e.other) FROM e WHERE e.word = w.word AND e.other_n = b.top) END AS form
+  FROM w LEFT JOIN b ON w.word = b.word),
+c AS (
+  SELECT word, word AS root, form AS next FROM f
+  UNION ALL SELECT c.word, f.word, f.form FROM c JOIN f ON c.next = f.word)
+SELECT f.word, f.form, c.root, f.n, f.n_near, f.form_n FROM f JOIN c ON c.word = f.word AND c.next IS NULL
+""")
+def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return variants.group_variants(table(spark, sf_dir, "documents"))
