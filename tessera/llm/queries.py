@@ -11,8 +11,8 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from tessera.llm import (exact_dedup, html_text, mixing, packing, pii, quality, sharding, simhash, toxicity, variants, warc,
-                         whitening)
+from tessera.llm import (exact_dedup, html_text, language_id, mixing, packing, pii, quality, sharding, simhash, toxicity,
+                         variants, warc, whitening)
 from tessera.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -113,6 +113,11 @@ def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.archive_round_trip(spark, table(spark, sf_dir, "pages"))
 
 
+@query("op11_language_id")
+def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return language_id.identify_languages(table(spark, sf_dir, "documents"))
+
+
 @query("op12_whitening")
 def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
     return whitening.whiten_vectors(table(spark, sf_dir, "embeddings"))
