@@ -6,11 +6,12 @@ exact part and expects every flag to be true."""
 from __future__ import annotations
 
 from pyspark.ml.feature import StringIndexer, VectorAssembler
-from pyspark.ml.functions import array_to_vector
+from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.sql import functions as F
 
 from tessera.functions.text import letter_shares
 from tessera.operators import classify as CL
+from tessera.operators import trees as TR
 from tessera.plans.registry import register
 from tessera.plans.stats import TRAIN_BUCKETS, split_flag
 from tessera.session import checkpoint, scratch_path, spread
@@ -111,20 +112,24 @@ def _tree(spark, sf, kind):
     if kind == "gbt":  # binary only
         train, test = [d.withColumn("label", F.when(F.col("label") == "en", "en").otherwise("other"))
                        for d in (train, test)]
-    _, out = CL.tree_models(train, test, kind)
-    return _judged(out, CL.follows_votes(), "indexedLabel")
+    model, out = CL.tree_models(train, test, kind)
+    table = TR.node_table(spark, model.stages[2])
+    x = vector_to_array("indexedFeatures")
+    by_table = TR.predict_margin(table, x) if kind == "gbt" else TR.predict_votes(table, x)
+    return _judged(out.withColumn("by_table", by_table == F.col("prediction")), CL.follows_votes(), "indexedLabel")
 
 
 def _tree_sql(label: str = "lang", extra: str = "") -> str:
     return f"""
   WITH {_lang_index_sql(label)}
-  SELECT doc_id, label, pos AS "indexedLabel", true AS follows, true AS beats_majority{extra}
+  SELECT doc_id, label, pos AS "indexedLabel", true AS follows, true AS beats_majority, true AS by_table{extra}
   FROM documents JOIN idx ON {label} = label WHERE {TEST}"""
 
 
 @register("tree_classifier", sql=_tree_sql())
 def tree_classifier(spark, sf):
-    return _tree(spark, sf, "tree").select("doc_id", "label", "indexedLabel", "follows", "beats_majority")
+    """``by_table``: the nodes as a table, compiled to an expression, predict what the model does."""
+    return _tree(spark, sf, "tree").select("doc_id", "label", "indexedLabel", "follows", "beats_majority", "by_table")
 
 
 @register("forest_classifier", sql=_tree_sql(extra=", true AS label_restored"))
@@ -132,12 +137,13 @@ def forest_classifier(spark, sf):
     """``label_restored``: the predicted label is the one its index stands for."""
     out = _tree(spark, sf, "forest")
     restored = (F.col("predictedLabel") == F.col("label")) == (F.col("prediction") == F.col("indexedLabel"))
-    return out.select("doc_id", "label", "indexedLabel", "follows", "beats_majority", restored.alias("label_restored"))
+    return out.select("doc_id", "label", "indexedLabel", "follows", "beats_majority", "by_table",
+                      restored.alias("label_restored"))
 
 
 @register("gbt_classifier", sql=_tree_sql("CASE WHEN lang = 'en' THEN 'en' ELSE 'other' END"))
 def gbt_classifier(spark, sf):
-    return _tree(spark, sf, "gbt").select("doc_id", "label", "indexedLabel", "follows", "beats_majority")
+    return _tree(spark, sf, "gbt").select("doc_id", "label", "indexedLabel", "follows", "beats_majority", "by_table")
 
 
 def labelled_texts(spark, sf):
