@@ -5,6 +5,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from tessera.operators import bisecting as BI
 from tessera.operators import cluster as KM
 from tessera.operators import graph as G
 from tessera.plans.registry import register
@@ -200,3 +201,54 @@ def silhouette(spark, sf):
     finally:
         fit.release()
     return s.select(F.col(KM.GROUP).alias("grp"), F.round("silhouette", 6).alias("silhouette"), "n")
+
+
+#: Leaves and rounds of two-means per level of the cluster tree.
+TREE_LEAVES, TREE_ITERATIONS = 4, 5
+
+
+def _cluster_tree_sql(levels: int = 2, rounds: int = TREE_ITERATIONS) -> str:
+    """All leaves are divided on each level: TREE_LEAVES is 2 to the power of ``levels``."""
+    dims = len(FEATURES)
+    every = range(dims)
+    feats = ", ".join(f"{e} AS i{d}, CAST({e} AS DOUBLE) / CAST({SCALES[d]} AS DOUBLE) AS x{d}" for d, e in enumerate(INT_SQL))
+    keep = ", ".join(f"x{d}, i{d}" for d in every)
+    mean = ", ".join(f"(CAST(sum(i{d}) AS DOUBLE) / CAST(count(*) AS DOUBLE)) / CAST({SCALES[d]} AS DOUBLE) AS c{d}" for d in every)
+    ctes, nodes = [f"p0 AS (SELECT CAST(1 AS BIGINT) AS node, {feats} FROM lineitem)"], []
+
+    def dist(side):
+        total = "(x0 - {s}0) * (x0 - {s}0)".format(s=side)
+        for d in range(1, dims):
+            total = f"({total} + (x{d} - {side}{d}) * (x{d} - {side}{d}))"
+        return total
+
+    def stats(level, leaf):
+        away = dist("s.c")
+        ctes.append(f"s{level} AS (SELECT node, count(*) AS size, {mean} FROM p{level} GROUP BY node)")
+        nodes.append(f"SELECT node, any_value(size) AS size, {', '.join(f'any_value(c{d}) AS x{d}' for d in every)}, "
+                     f"sum({away}) AS cost, {leaf} AS leaf FROM p{level} JOIN s{level} s USING (node) GROUP BY node")
+
+    for level in range(levels):
+        stats(level, "false")
+        low = ", ".join([f"min(x{d}) AS a{d}" for d in every] + [f"max(x{d}) AS b{d}" for d in every])
+        ctes.append(f"k{level}_0 AS (SELECT node, {low} FROM p{level} GROUP BY node)")
+        side = f"CASE WHEN {dist('a')} <= {dist('b')} THEN 0 ELSE 1 END"
+        for r in range(rounds):
+            half = ", ".join(f"(CAST(sum(i{d}) FILTER (side = {s}) AS DOUBLE) / CAST(count(*) FILTER (side = {s}) AS DOUBLE)) "
+                             f"/ CAST({SCALES[d]} AS DOUBLE) AS n{n}{d}" for s, n in ((0, "a"), (1, "b")) for d in every)
+            new = ", ".join(f"coalesce(n{n}{d}, {n}{d}) AS {n}{d}" for n in "ab" for d in every)
+            ctes.append(f"k{level}_{r + 1} AS (SELECT node, {new} FROM k{level}_{r} JOIN (SELECT node, {half} FROM "
+                        f"(SELECT node, {keep}, {side} AS side FROM p{level} JOIN k{level}_{r} USING (node)) GROUP BY node) USING (node))")
+        ctes.append(f"p{level + 1} AS (SELECT 2 * node + {side} AS node, {keep} FROM p{level} JOIN k{level}_{rounds} USING (node))")
+    stats(levels, "true")
+    cols = ", ".join(f"round(x{d}, 9) AS x{d}" for d in every)
+    return (f"WITH {', '.join(ctes)} SELECT node, CAST(size AS BIGINT) AS size, {cols}, round(cost, 3) AS cost, leaf "
+            f"FROM ({' UNION ALL '.join(nodes)})")
+
+
+@register("cluster_tree", sql=_cluster_tree_sql())
+def cluster_tree(spark, sf):
+    """Line items divided twice: size, centre and cost of every node of the tree."""
+    nodes, _ = BI.bisecting_tree(kmeans_points(spark, sf, False), FEATURES, TREE_LEAVES, TREE_ITERATIONS, SCALES)
+    return nodes.select("node", "size", *[F.round(F.col("centre")[d], 9).alias(f"x{d}") for d in range(len(FEATURES))],
+                        F.round("cost", 3).alias("cost"), "leaf")

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from tessera.functions.text import letter_shares
 from tessera.operators import classify as CL
+from tessera.operators import factorise as FA
 from tessera.operators import trees as TR
 from tessera.plans.registry import register
 from tessera.plans.stats import TRAIN_BUCKETS, split_flag
@@ -252,6 +253,56 @@ def nation_ratings(spark, sf):
             .agg((F.avg("l_quantity") / 10.0).alias("rating")))
 
 
+#: Factors and iterations of ``als_dense_errors``, and the penalty per rating.
+ERROR_RANK, ERROR_ITERATIONS, ERROR_REG = 3, 5, 0.01
+
+
+def _solve_sql(sums: str, rank: int) -> str:
+    """(key, x0, ...) from (key, a<i><j>, b<i>): Gauss-Jordan elimination, a column a subquery."""
+    cells = [f"a{i}{j}" for i in range(rank) for j in range(rank)] + [f"b{i}" for i in range(rank)]
+    for k in range(rank):
+        def cell(name, i, right):
+            pivot = f"{right} / a{k}{k}"
+            return f"{pivot} AS {name}" if i == k else f"{name} - a{i}{k} * ({pivot}) AS {name}"
+        cols = [cell(c, int(c[1]), f"a{k}{c[2]}" if c[0] == "a" else f"b{k}") for c in cells]
+        sums = f"SELECT key, {', '.join(cols)} FROM ({sums})"
+    return f"SELECT key, {', '.join(f'b{i} AS x{i}' for i in range(rank))} FROM ({sums})"
+
+
+def _als_errors_sql(rank: int, iterations: int, reg: float) -> str:
+    start = ", ".join(f"((key % {FA.PRIME} * {rank} + {f + 1}) * {FA.MULTIPLIER}) % {FA.PRIME} / {FA.PRIME}.0::DOUBLE AS x{f}"
+                      for f in range(rank))
+    ctes = [f"u0 AS (SELECT key, {start} FROM (SELECT DISTINCT u::BIGINT AS key FROM m))"]
+
+    def half(name, target, source, factors):
+        a = ", ".join(f"sum(x{i} * x{j}) + {f'{reg} * count(*)' if i == j else '0'} AS a{i}{j}"
+                      for i in range(rank) for j in range(rank))
+        b = ", ".join(f"sum(x{i} * rating) AS b{i}" for i in range(rank))
+        sums = f"SELECT {target} AS key, {a}, {b} FROM m JOIN {factors} f ON f.key = m.{source} GROUP BY {target}"
+        ctes.append(f"{name} AS ({_solve_sql(sums, rank)})")
+
+    parts = []
+    for t in range(1, iterations + 1):
+        half(f"i{t}", "i", "u", f"u{t - 1}")
+        half(f"u{t}", "u", "i", f"i{t}")
+        dot = " + ".join(f"p.x{f} * q.x{f}" for f in range(rank))
+        parts.append(f"SELECT {t} AS iteration, round(sqrt(avg((rating - ({dot})) ** 2)), 6) AS rmse "
+                     f"FROM m JOIN u{t} p ON p.key = m.u JOIN i{t} q ON q.key = m.i")
+    return f"""
+  WITH m AS (SELECT c_nationkey AS u, s_nationkey AS i, avg(l_quantity) / 10.0 AS rating
+             FROM lineitem JOIN orders ON l_orderkey = o_orderkey JOIN customer ON o_custkey = c_custkey
+                  JOIN supplier ON l_suppkey = s_suppkey GROUP BY 1, 2),
+  {", ".join(ctes)}
+  {" UNION ALL ".join(parts)}"""
+
+
+@register("als_dense_errors", sql=_als_errors_sql(ERROR_RANK, ERROR_ITERATIONS, ERROR_REG))
+def als_dense_errors(spark, sf):
+    """The error of every iteration from a fixed start, by normal equations."""
+    _, _, errors = FA.als_errors(nation_ratings(spark, sf), ERROR_RANK, ERROR_ITERATIONS, ERROR_REG)
+    return spark.createDataFrame([(i, round(e, 6)) for i, e in errors], "iteration int, rmse double")
+
+
 def _itemsets_sql(max_size: int = 4) -> str:
     parts = []
     for n in range(1, max_size + 1):
