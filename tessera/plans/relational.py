@@ -5,8 +5,9 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from tessera.operators import relational as R
-from tessera.operators.sorting import with_position
+from tessera.operators.sorted_store import order_by, write_sorted
 from tessera.plans.registry import register
+from tessera.session import scratch_path
 from tessera.sources.tables import table
 
 # Predicate bounds used by the keys below.
@@ -63,13 +64,22 @@ def group_count(spark, sf):
     return R.group_count(activity(spark, sf), "n_orders")
 
 
+def sorted_rows(df, *order):
+    """``df`` as a sorted table; ``pos`` is each row's place in it, from the manifest. A
+    manifest out of order fails the key."""
+    store = write_sorted(df, order_by(*order), scratch_path(df.sparkSession, "sorted"))
+    if not store.is_ordered():
+        raise RuntimeError(f"files out of order in {store.path}")
+    return store.read("pos")
+
+
 @register("filter_order", sql=f"""
   SELECT CAST(row_number() OVER (ORDER BY l_quantity, l_orderkey, l_linenumber) AS BIGINT) AS pos,
          l_quantity, l_orderkey, l_linenumber
   FROM lineitem WHERE l_quantity < {QTY_LT}""")
 def filter_order(spark, sf):
     li = table(spark, sf, "lineitem", "l_quantity", "l_orderkey", "l_linenumber")
-    return with_position(li.filter(F.col("l_quantity") < QTY_LT), ["l_quantity", "l_orderkey", "l_linenumber"]) \
+    return sorted_rows(li.filter(F.col("l_quantity") < QTY_LT), "l_quantity", "l_orderkey", "l_linenumber") \
         .select("pos", "l_quantity", "l_orderkey", "l_linenumber")
 
 
@@ -156,7 +166,7 @@ def group_struct_list(spark, sf):
   SELECT CAST(row_number() OVER (ORDER BY p_size, p_partkey) AS BIGINT) AS pos, p_size, p_partkey FROM part""")
 def sort_ints(spark, sf):
     """The key breaks ties: equal sizes alone could not be spread over partitions."""
-    return with_position(table(spark, sf, "part", "p_size", "p_partkey"), ["p_size", "p_partkey"]) \
+    return sorted_rows(table(spark, sf, "part", "p_size", "p_partkey"), "p_size", "p_partkey") \
         .select("pos", "p_size", "p_partkey")
 
 
@@ -165,8 +175,7 @@ def sort_ints(spark, sf):
          p_size, p_retailprice, p_partkey FROM part""")
 def sort_composite(spark, sf):
     p = table(spark, sf, "part", "p_size", "p_retailprice", "p_partkey")
-    return with_position(p, ["p_size", "p_retailprice", "p_partkey"]).select("pos", "p_size", "p_retailprice",
-                                                                              "p_partkey")
+    return sorted_rows(p, "p_size", "p_retailprice", "p_partkey").select("pos", "p_size", "p_retailprice", "p_partkey")
 
 
 @register("inline_rows", sql="""

@@ -158,6 +158,76 @@ def join_view_table(spark, sf):
     return spark.sql(f"SELECT s.key, s.value, r.total FROM {view} r JOIN {stored} s ON r.key = s.key")
 
 
+@register("join_bucketed", sql="""
+  SELECT l_orderkey AS key, o_orderpriority AS value, sum(l_quantity) AS total
+  FROM lineitem JOIN orders ON l_orderkey = o_orderkey GROUP BY 1, 2""")
+def join_bucketed(spark, sf):
+    """Stored table x records, the table bucketed by its key: only the records are shuffled."""
+    C.drop_tables(spark, "src_")
+    orders = table(spark, sf, "orders").select(F.col("o_orderkey").alias("key"), F.col("o_orderpriority").alias("value"))
+    stored = C.store_bucketed(orders, f"src_bucketed_{_uid()}", ["key"], scratch_path(spark, "table-bucketed"))
+    records = (table(spark, sf, "lineitem", "l_orderkey", "l_quantity").groupBy(F.col("l_orderkey").alias("key"))
+               .agg(F.sum("l_quantity").alias("total")))
+    return records.join(spark.table(stored).hint("merge"), "key").select("key", "value", "total")
+
+
+def _both(checked, *names):
+    """Good rows and rejects in one table: the columns of the other kind are null."""
+    return checked.good.select(*names, F.lit(None).cast("string").alias("line"), F.lit(None).cast("string").alias("reason")) \
+        .unionByName(checked.rejects, allowMissingColumns=True)
+
+
+_RATING_LINES_SQL = f"""
+  SELECT l_linenumber AS k, l_suppkey AS u, l_partkey AS i, l_quantity AS r, l_returnflag AS flag,
+         concat_ws('{RATING_SEP}', CASE WHEN l_linenumber = 7 THEN '' ELSE CAST(l_suppkey AS VARCHAR) END, CAST(l_partkey AS VARCHAR),
+           CASE l_linenumber WHEN 5 THEN NULL WHEN 6 THEN l_returnflag ELSE CAST(l_quantity AS VARCHAR) END) AS line
+  FROM lineitem"""
+
+
+@register("parse_checked", sql=f"""
+  WITH l AS ({_RATING_LINES_SQL})
+  SELECT u AS user, i AS item, r AS rating, NULL AS line, NULL AS reason FROM l WHERE k < 5
+  UNION ALL SELECT NULL, NULL, NULL, line, CASE k WHEN 5 THEN 'fields: 2 of 3' WHEN 6 THEN 'rating: not a double'
+                                                  ELSE 'user: missing' END FROM l WHERE k >= 5""")
+def parse_checked(spark, sf):
+    """Delimited ratings with a reject channel. Staged lines of some line numbers lack a field, hold
+    a return flag for the rating, or no user."""
+    li = spread(table(spark, sf, "lineitem", "l_suppkey", "l_partkey", "l_quantity", "l_linenumber", "l_returnflag"))
+    k = F.col("l_linenumber")
+    line = F.concat_ws(RATING_SEP, F.when(k == 7, F.lit("")).otherwise(F.col("l_suppkey").cast("string")),
+                       F.col("l_partkey").cast("string"),
+                       F.when(k == 6, F.col("l_returnflag")).when(k != 5, F.col("l_quantity").cast("string")))
+    lines = FS.read_text(spark, FS.write_text(li, scratch_path(spark, "ratings-text"), line))
+    checked = FS.check_delimited(lines, RATING_SEP, [("user", "bigint"), ("item", "bigint"), ("rating", "double")],
+                                 scratch_path(spark, "ratings-checked"), required=("user", "item"))
+    return _both(checked, "user", "item", "rating")
+
+
+@register("json_checked", sql="""
+  WITH l AS (
+    SELECT event_id, CAST(json_extract(props, '$.k') AS BIGINT) AS k,
+           CASE WHEN event_id % 11 = 0 THEN '{"event_id": ' || event_id || ', "k": '
+                WHEN event_id % 13 = 0 THEN '{"event_id": ' || event_id || ', "k": "n/a"}'
+                WHEN event_id % 17 = 0 THEN '{"k": ' || json_extract(props, '$.k') || '}'
+                ELSE '{"event_id": ' || event_id || ', "k": ' || json_extract(props, '$.k') || '}' END AS line
+    FROM events)
+  SELECT event_id, k, NULL AS line, NULL AS reason FROM l WHERE event_id % 11 > 0 AND event_id % 13 > 0 AND event_id % 17 > 0
+  UNION ALL SELECT NULL, NULL, line, CASE WHEN event_id % 11 = 0 THEN 'not JSON' WHEN event_id % 13 = 0 THEN 'k: not a bigint'
+                                          ELSE 'event_id: missing' END
+  FROM l WHERE event_id % 11 = 0 OR event_id % 13 = 0 OR event_id % 17 = 0""")
+def json_checked(spark, sf):
+    """JSON lines with a reject channel. Staged lines of some events are cut off, hold a text for
+    the number, or no event."""
+    ev = table(spark, sf, "events", "event_id", "props")
+    i, k = F.col("event_id"), F.get_json_object("props", "$.k")
+    head, close = F.concat(F.lit('{"event_id": '), i.cast("string"), F.lit(', "k": ')), F.lit("}")
+    line = (F.when(i % 11 == 0, head).when(i % 13 == 0, F.concat(head, F.lit('"n/a"}')))
+            .when(i % 17 == 0, F.concat(F.lit('{"k": '), k, close)).otherwise(F.concat(head, k, close)))
+    lines = FS.read_text(spark, FS.write_text(ev, scratch_path(spark, "events-json"), line))
+    checked = FS.check_json(lines, "event_id bigint, k bigint", scratch_path(spark, "events-checked"), required=("event_id",))
+    return _both(checked, "event_id", "k")
+
+
 @register("libsvm_scan", sql="""
   SELECT label, pos, CAST(count(*) AS BIGINT) AS n, round(sum(v), 4) AS total, round(max(v), 6) AS most
   FROM (SELECT CAST(label AS DOUBLE) AS label, UNNEST(range(len(embedding)))::INTEGER AS pos,

@@ -5,8 +5,8 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from tessera.operators import text as T
-from tessera.operators.sorting import with_position
 from tessera.plans.registry import register
+from tessera.plans.relational import sorted_rows
 from tessera.sources.tables import table
 
 # Search terms. The LIKE keyword holds a '_' wildcard on purpose.
@@ -45,7 +45,7 @@ def wordcount(spark, sf):
   FROM (SELECT word, CAST(count(*) AS BIGINT) AS n FROM ({WORDS_SQL}) w GROUP BY word) c""")
 def wordcount_sorted(spark, sf):
     counts = T.wordcount(table(spark, sf, "documents", "text"))
-    return with_position(counts, [F.desc("n"), F.asc("word")]).select("pos", "word", "n")
+    return sorted_rows(counts, "-n", "word").select("pos", "word", "n")
 
 
 @register("count_rows", sql=f"SELECT CAST(count(*) AS BIGINT) AS n FROM ({LINES_SQL}) l")
