@@ -10,6 +10,9 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tessera.operators.sorted_store import order_by, write_sorted
+from tessera.session import checkpoint
+
 
 def select_cols(df: DataFrame, *cols: str) -> DataFrame:
     return df.select(*cols)
@@ -99,6 +102,24 @@ def group_lists(df: DataFrame, key: str, value: str, name: str = "items") -> Dat
                     F.concat_ws(",", F.transform("_l", lambda s: s["e"])).alias(name)))
 
 
+def group_list_chunks(df: DataFrame, key: str, value: str, size: int, path: str) -> DataFrame:
+    """``(key, chunk, values, counts)``: the sorted distinct values of each key with their number, in lists of at
+    most ``size``, chunks from 0. No key is one row or one task, however many values it has.
+
+    The counted pairs are sorted into a table at ``path`` (``sorted_store``); a row's place in it divided
+    by ``size`` is its block, so a list is one key's rows of one block."""
+    pairs = group_value_counts(df, key, value, "_n")
+    placed = write_sorted(pairs, order_by(key, value), path).read("_pos")
+    block = F.floor((F.col("_pos") - 1) / size).cast("bigint")
+    entry = F.array_sort(F.collect_list(F.struct(F.col(value).alias("v"), F.col("_n").alias("c"))))
+    lists = checkpoint(placed.groupBy(F.col(key), block.alias("_block")).agg(entry.alias("_l")))
+    starts = lists.groupBy(F.col(key).alias("_key")).agg(F.min("_block").alias("_first"), F.count(F.lit(1)).alias("_m"))
+    first = F.col("_key").eqNullSafe(F.col(key))  # a null key is a key
+    return lists.join(starts, first).select(key, (F.col("_block") - F.col("_first")).alias("chunk"),
+                                            F.transform("_l", lambda s: s["v"]).alias("values"),
+                                            F.transform("_l", lambda s: s["c"]).alias("counts"))
+
+
 def group_struct_list(df: DataFrame, key: str, sub_key: str, value: str, name: str = "summary") -> DataFrame:
     """Per key, an ``array<struct<sub_key, n, total>>`` summary (one struct per
     distinct ``sub_key``, sorted), built from a partial aggregate; also rendered

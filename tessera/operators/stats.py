@@ -113,6 +113,35 @@ def kernel_density(df: DataFrame, col: str, points: list[float], bandwidth: floa
     return each.groupBy("point").agg((F.avg(kernel) / norm).alias("density"))
 
 
+def kernel_density_at(df: DataFrame, col: str, points: DataFrame, point_col: str, bandwidth: float, tail: float = 1e-9,
+                      salts: int = 8) -> DataFrame:
+    """Gaussian kernel density of ``df[col]`` at every distinct value of ``points[point_col]``, a table of
+    any size: ``(point, density, error_bound)``.
+
+    A band join: the kernel is below ``tail`` (of its peak) beyond the radius ``h sqrt(2 ln(1/tail))``, so
+    values lie in buckets as wide as that and a point meets its own bucket and the two beside it by an
+    equi-join. What is left out adds less than ``error_bound`` = ``tail`` x peak to a density. Equal
+    values are counted first and a bucket's values are dealt to ``salts`` parts, each of which every
+    point of the bucket meets once, so a bucket with most of the values is not one task. Nulls are
+    left out on both sides; an empty sample has no rows."""
+    h = float(bandwidth)
+    peak, radius = 1.0 / (h * math.sqrt(2.0 * math.pi)), h * math.sqrt(2.0 * math.log(1.0 / tail))
+    sample = df.select(F.col(col).cast("double").alias("_x")).filter(F.col("_x").isNotNull()).groupBy("_x").agg(
+        F.count(F.lit(1)).alias("_c"))
+    values = sample.select("_x", "_c", F.floor(F.col("_x") / radius).alias("_b"), F.pmod(F.xxhash64("_x"), F.lit(salts)).alias("_s"))
+    asked = points.select(F.col(point_col).cast("double").alias("point")).filter(F.col("point").isNotNull()).distinct()
+    at = F.floor(F.col("point") / radius)
+    near = (asked.select("point", F.explode(F.array(at - 1, at, at + 1)).alias("_b"))
+            .withColumn("_s", F.explode(F.sequence(F.lit(0).cast("bigint"), F.lit(salts - 1).cast("bigint")))))
+    kernel = F.exp(-0.5 * ((F.col("point") - F.col("_x")) / h) ** 2)
+    sums = near.join(values, ["_b", "_s"]).groupBy("point").agg(F.sum(F.col("_c") * kernel).alias("_k"))
+    total = df.filter(F.col(col).cast("double").isNotNull()).agg(F.count(F.lit(1)).alias("n")).first()["n"]
+    if not total:
+        return asked.limit(0).select("point", F.lit(0.0).alias("density"), F.lit(0.0).alias("error_bound"))
+    return asked.join(sums, "point", "left").select("point", (F.coalesce("_k", F.lit(0.0)) / total * peak).alias("density"),
+                                                    F.lit(tail * peak).alias("error_bound"))
+
+
 def regression_metrics(df: DataFrame, prediction: str, label: str) -> DataFrame:
     """``(n, rmse, r2, mae)`` in one aggregate; R^2 = 1 - SSE / (n * var_pop(label)), NaN
     for a constant label."""

@@ -150,6 +150,24 @@ def group_lists(spark, sf):
         .select("l_orderkey", "items")
 
 
+#: Entries of a list chunk.
+CHUNK = 100
+
+
+@register("group_list_chunks", sql=f"""
+  WITH p AS (SELECT l_returnflag, l_partkey, count(*) AS c FROM lineitem GROUP BY 1, 2),
+  b AS (SELECT *, (row_number() OVER (ORDER BY l_returnflag, l_partkey) - 1) // {CHUNK} AS block FROM p)
+  SELECT l_returnflag, CAST(block - min(min(block)) OVER (PARTITION BY l_returnflag) AS BIGINT) AS chunk,
+         string_agg(l_partkey || 'x' || c, ',' ORDER BY l_partkey) AS items
+  FROM b GROUP BY l_returnflag, block""")
+def group_list_chunks(spark, sf):
+    """Three hot keys with very many distinct values each, in lists of at most CHUNK."""
+    li = table(spark, sf, "lineitem", "l_returnflag", "l_partkey")
+    chunks = R.group_list_chunks(li, "l_returnflag", "l_partkey", CHUNK, scratch_path(spark, "chunks"))
+    items = F.zip_with("values", "counts", lambda v, c: F.concat(v.cast("string"), F.lit("x"), c.cast("string")))
+    return chunks.select("l_returnflag", "chunk", F.concat_ws(",", items).alias("items"))
+
+
 @register("group_struct_list", sql="""
   SELECT l_orderkey, string_agg(l_returnflag || ':' || CAST(n AS VARCHAR) || ':' || CAST(total AS VARCHAR), ';'
                                 ORDER BY l_returnflag) AS summary

@@ -63,6 +63,21 @@ def kernel_density(spark, sf):
     return d.select("point", F.round("density", 6).alias("density"))
 
 
+#: Bandwidth of the density of prices at the parts' prices, and the kernel's tail.
+PRICE_BANDWIDTH, PRICE_TAIL = 200.0, 1e-9
+
+
+@register("kernel_density_points", sql=f"""
+  SELECT point, round(avg(exp(-0.5 * pow((point - l_extendedprice) / {PRICE_BANDWIDTH}, 2))) / ({PRICE_BANDWIDTH} * sqrt(2 * pi())), 9) AS density,
+         {PRICE_TAIL} / ({PRICE_BANDWIDTH} * sqrt(2 * pi())) AS error_bound
+  FROM lineitem, (SELECT DISTINCT CAST(p_retailprice AS DOUBLE) AS point FROM part) p GROUP BY point""")
+def kernel_density_points(spark, sf):
+    """The points are a table: the distinct prices of the parts."""
+    d = S.kernel_density_at(table(spark, sf, "lineitem", "l_extendedprice"), "l_extendedprice",
+                            table(spark, sf, "part", "p_retailprice"), "p_retailprice", PRICE_BANDWIDTH, PRICE_TAIL)
+    return d.select("point", F.round("density", 9).alias("density"), "error_bound")
+
+
 @register("mc_ratio", sql=f"""
   SELECT CAST(count(*) AS BIGINT) AS n,
          round(CAST(4.0 AS DOUBLE) * sum(CASE WHEN x * x + y * y <= 1.0 THEN 1 ELSE 0 END) / count(*), 6) AS estimate

@@ -6,6 +6,10 @@ A Structured Streaming ``groupBy().count()`` keeps running totals across batches
 written to ``<sink>/batch_id=<n>`` with overwrite: a batch replayed after a
 failure rewrites the same folder (idempotent), and the stream checkpoint records
 which files every batch consumed.
+
+A finished batch is entered in a commit log next to the sink, ``<sink>/_commits/<n>``. Readers see
+the batches of the log only, so a folder that a lost batch left half written is never read,
+and a batch that is in the log is not written again when the stream replays it.
 """
 
 from __future__ import annotations
@@ -37,8 +41,9 @@ def per_batch_counts(stream: DataFrame, keys: list, sink: str, checkpoint: str,
     an interrupted batch is counted again from its start and overwrites its folder."""
 
     def count_batch(batch: DataFrame, batch_id: int) -> None:
-        (batch.groupBy(*keys).agg(F.count(F.lit(1)).alias("n"))
-         .write.mode("overwrite").parquet(f"{sink}/batch_id={batch_id}"))
+        if batch_id not in committed_batches(batch.sparkSession, sink):
+            write_batch(batch.groupBy(*keys).agg(F.count(F.lit(1)).alias("n")), sink, batch_id)
+            commit_batch(batch.sparkSession, sink, batch_id)
 
     w = stream.writeStream.foreachBatch(count_batch).option("checkpointLocation", checkpoint)
     w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime=interval)
@@ -77,12 +82,32 @@ def replay_queue(batches: DataFrame, batch_col: str, n_batches: int, folder: str
         staged.unpersist()
 
 
+def write_batch(counts: DataFrame, sink: str, batch_id: int) -> None:
+    counts.write.mode("overwrite").parquet(f"{sink}/batch_id={batch_id}")
+
+
+def _log(spark: SparkSession, sink: str):
+    folder = spark._jvm.org.apache.hadoop.fs.Path(f"{sink}/_commits")
+    return folder, folder.getFileSystem(spark._jsc.hadoopConfiguration())
+
+
+def commit_batch(spark: SparkSession, sink: str, batch_id: int) -> None:
+    """Enter a batch in the log: an empty file, made at once."""
+    folder, store = _log(spark, sink)
+    store.create(spark._jvm.org.apache.hadoop.fs.Path(folder, str(batch_id)), True).close()
+
+
+def committed_batches(spark: SparkSession, sink: str) -> set[int]:
+    folder, store = _log(spark, sink)
+    return {int(f.getPath().getName()) for f in store.listStatus(folder)} if store.exists(folder) else set()
+
+
 def read_batches(spark: SparkSession, sink: str, schema: str) -> DataFrame:
-    """All per-batch results, with their ``batch_id``; no rows if no batch ever ran."""
-    folder = spark._jvm.org.apache.hadoop.fs.Path(sink)
-    if not folder.getFileSystem(spark._jsc.hadoopConfiguration()).exists(folder):
+    """The results of all committed batches, with their ``batch_id``; no rows if no batch ever was."""
+    done = committed_batches(spark, sink)
+    if not done:
         return spark.createDataFrame([], schema)
-    return spark.read.schema(schema).parquet(sink)
+    return spark.read.schema(schema).parquet(sink).filter(F.col("batch_id").isin(sorted(done)))  # folders are pruned
 
 
 def words_stream(stream: DataFrame, text_col: str = "text", keep: tuple = ()) -> DataFrame:
