@@ -13,6 +13,9 @@ from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tessera.operators.skew import hot_keys, join_by_key
+from tessera.operators.sorted_store import order_by, write_sorted
+
 from tessera.functions.text import tokens_of
 from tessera.session import spread
 
@@ -53,6 +56,30 @@ def string_index(df: DataFrame, col: str, out: str = "idx", order: str = "freque
     return model.transform(df), model
 
 
+def label_dictionary(df: DataFrame, col: str, path: str) -> DataFrame:
+    """``(label, idx)``: every label with its place by falling frequency, ties alphabetical -- the order of
+    ``string_index``, as a table of any size: counts are sorted into a table at ``path``
+    (``sorted_store``) and a label's index is its place there. Nulls have no index; no label passes
+    the driver."""
+    counts = df.filter(F.col(col).isNotNull()).groupBy(F.col(col).cast("string").alias("label")).agg(F.count(F.lit(1)).alias("_n"))
+    return write_sorted(counts, order_by("-_n", "label"), path).read("_pos").select("label", (F.col("_pos") - 1).cast("double").alias("idx"))
+
+
+def index_by_dictionary(df: DataFrame, col: str, dictionary: DataFrame, out: str = "idx") -> DataFrame:
+    """``df`` plus ``out`` from a ``label_dictionary``; rows whose label is null or unknown are left out. Frequent
+    labels are joined by broadcast, the others by a shuffle (``skew``). Pass a stored or cached ``df``."""
+    names = dictionary.select(F.col("label").alias("_label"), F.col("idx").alias(out))
+    rows = df.withColumn("_label", F.col(col).cast("string"))
+    return join_by_key(rows, names, "_label", hot_keys(rows, "_label")).select(*df.columns, out)
+
+
+def labels_by_dictionary(df: DataFrame, idx_col: str, dictionary: DataFrame, out: str = "label") -> DataFrame:
+    """The way back: ``df`` plus the label of its index; an index that is null or not in the dictionary is left out."""
+    names = dictionary.select(F.col("idx").alias("_idx"), F.col("label").alias(out))
+    rows = df.withColumn("_idx", F.col(idx_col).cast("double"))
+    return join_by_key(rows, names, "_idx", hot_keys(rows, "_idx")).select(*df.columns, out)
+
+
 def index_to_string(df: DataFrame, idx_col: str, labels: list[str], out: str = "label") -> DataFrame:
     return IndexToString(inputCol=idx_col, outputCol=out, labels=labels).transform(df)
 

@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from tessera.operators import features as FE
 from tessera.plans.registry import register
+from tessera.session import checkpoint, scratch_path
 from tessera.sources.tables import table
 
 # Inputs of the feature keys.
@@ -117,3 +118,14 @@ def hashing_tf(spark, sf):
     tf = FE.hashing_tf(toks, "tokens", HASH_BUCKETS)
     from pyspark.ml.functions import vector_to_array
     return tf.select("doc_id", F.aggregate(vector_to_array("tf"), F.lit(0.0), lambda a, x: a + x).alias("n_tokens"))
+
+
+@register("label_dictionary", sql="""
+  WITH d AS (SELECT p_name AS label, row_number() OVER (ORDER BY count(*) DESC, p_name) - 1 AS idx FROM part GROUP BY p_name)
+  SELECT p_partkey, p_name, CAST(idx AS DOUBLE) AS idx, label AS restored FROM part JOIN d ON p_name = label""")
+def label_dictionary(spark, sf):
+    """Part names indexed by a dictionary table and turned back: as many labels as the table has."""
+    parts = checkpoint(table(spark, sf, "part", "p_partkey", "p_name"))
+    words = checkpoint(FE.label_dictionary(parts, "p_name", scratch_path(spark, "dictionary")))
+    indexed = checkpoint(FE.index_by_dictionary(parts, "p_name", words))
+    return FE.labels_by_dictionary(indexed, "idx", words, "restored")

@@ -3,6 +3,7 @@ metrics on a composite-key join, sampling, a deterministic split and accuracy.""
 
 from __future__ import annotations
 
+from pyspark.ml.functions import array_to_vector
 from pyspark.sql import functions as F
 
 from tessera.operators import stats as S
@@ -42,6 +43,15 @@ def corr_matrix(spark, sf):
     return m.select("i", "j", F.round("r", 6).alias("r"))
 
 
+@register("corr_vector", sql="""
+  SELECT CAST(i AS INTEGER) AS i, CAST(j AS INTEGER) AS j, round(CASE WHEN i = j THEN 1.0 ELSE corr(a, b) END, 6) AS r
+  FROM (SELECT i, j, CAST(embedding[i + 1] AS DOUBLE) AS a, CAST(embedding[j + 1] AS DOUBLE) AS b
+        FROM embeddings, range(64) x(i), range(64) y(j)) GROUP BY i, j""")
+def corr_vector(spark, sf):
+    vectors = table(spark, sf, "embeddings", "embedding").select(array_to_vector("embedding").alias("features"))
+    return S.corr_vector(vectors).select("i", "j", F.round("r", 6).alias("r"))
+
+
 @register("corr_spearman", sql="""
   SELECT round(corr(ra, rb), 6) AS r FROM (
     SELECT rank() OVER (ORDER BY l_quantity) + (count(*) OVER (PARTITION BY l_quantity) - 1) / 2.0 AS ra,

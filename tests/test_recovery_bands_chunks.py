@@ -1,4 +1,5 @@
-"""Recovery of a stream from a lost batch, the band join of the kernel density, and lists in chunks."""
+"""Recovery of a stream from a lost batch, the band join of the kernel density, lists in chunks and
+label dictionaries."""
 
 import math
 import random
@@ -8,6 +9,7 @@ import pytest
 from pyspark.errors import StreamingQueryException
 from pyspark.sql import functions as F
 
+from tessera.operators import features as FE
 from tessera.operators import relational as R
 from tessera.operators import stats as S
 from tessera.session import scratch_path
@@ -127,3 +129,16 @@ def test_lists_in_chunks(spark):
         want[k] = [(v, mine.count(v)) for v in sorted(set(mine), key=lambda v: (v is not None, v))]
     assert {k: v for k, v in got.items() if k != "n"} == {k: v for k, v in want.items() if k != "n"}
     assert got["n"] == [(None, 1)] and sum(r["k"] == "hot" for r in out) >= 18
+
+
+def test_label_dictionary_agrees_with_the_indexer(spark):
+    rng = random.Random(6)
+    labels = ["hot"] * 900 + [f"v{rng.randint(0, 60):02d}" for _ in range(700)] + [None, "", "é"]
+    df = spark.createDataFrame(list(enumerate(labels)), "id int, s string").repartition(3).cache()
+    words = FE.label_dictionary(df, "s", scratch_path(spark, "dictionary"))
+    model = FE.string_index(df.dropna(), "s")[1]
+    assert [r["label"] for r in words.orderBy("idx").collect()] == list(model.labels)
+    indexed = FE.index_by_dictionary(df, "s", words).cache()
+    back = FE.labels_by_dictionary(indexed, "idx", words, "again").collect()
+    assert len(back) == len(labels) - 1 and all(r["s"] == r["again"] for r in back)
+    assert FE.labels_by_dictionary(spark.createDataFrame([(99999.0,)], "idx double"), "idx", words).count() == 0
