@@ -21,18 +21,24 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def drop_exact_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Of texts equal but for the case of A-Z (null as empty) the document with the largest id; of rows equal in
+    id and text one."""
     return exact_dedup.drop_duplicates(docs)
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Of documents linked by fingerprints at most three bits apart, directly or over others, the one with the
+    smallest id; shingles of three words."""
     return simhash.keep_one_per_group(docs)
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Each document as often as its source's weight asks for: none to three times."""
     return mixing.mix_documents(docs)
 
 
 def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Every document's tokens in sequences of 4096; a row per piece."""
     return packing.pack_documents(docs, public_tokenizers.path("word_bpe_49k.json"))
 
 
