@@ -4,8 +4,8 @@ Pass 1 sets ``hashes`` slots per text hash and keeps the slots that were hit twi
 more: the bitmap of repeated slots. Pass 2 probes each row against that broadcast
 bitmap. A text that occurs twice hits all its slots twice, so it is always found; a
 unique one is found only if each of its slots collides with some other text. Found
-rows alone are shuffled and compared by their full SHA-256; all others pass straight
-through their task.
+rows alone are shuffled, by their full SHA-256; all others pass straight through their
+task. Texts never leave theirs.
 """
 
 from __future__ import annotations
@@ -13,14 +13,15 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tessera.llm.common import ascii_lower, attach_group, materialise, text_or_empty
+from tessera.llm.common import (SEGMENT, ascii_lower, attach_group, bit_is_set, drop_marked, materialise, text_or_empty,
+                                with_place)
+from tessera.session import scratch_path
 
 #: Slots per row (1.4 % of unique rows found in vain) and slots set per hash.
 SLOTS_PER_ROW, HASHES = 16, 2
 #: Largest bitmap sent to the executors; with more rows than it serves, the hashes are
 #: dealt to several filters by range of their own, each of this size at most.
 MAX_FILTER_BYTES = 64 << 20
-_SEGMENT = 8 * 4096  # bits of one bitmap_construct_agg value
 
 
 def text_digest(text: Column) -> Column:
@@ -34,8 +35,8 @@ def _slots(sha: Column, bits: int) -> list[Column]:
 
 def _filter_plan(n_rows: int, max_bytes: int) -> tuple[int, int]:
     """(number of filters, slots of each): a power of two of slots, within ``max_bytes``."""
-    bits = max(_SEGMENT, 1 << (max(1, n_rows * SLOTS_PER_ROW) - 1).bit_length())
-    most = max(_SEGMENT, 1 << ((max_bytes * 8).bit_length() - 1))
+    bits = max(SEGMENT, 1 << (max(1, n_rows * SLOTS_PER_ROW) - 1).bit_length())
+    most = max(SEGMENT, 1 << ((max_bytes * 8).bit_length() - 1))
     return (max(1, bits // most), min(bits, most))
 
 
@@ -45,8 +46,8 @@ def repeated_slots(hashes: DataFrame, bits: int) -> DataFrame:
     count per task."""
     return (hashes.select(F.explode(F.array(*_slots(F.col("sha"), bits))).alias("slot"))
             .groupBy("slot").agg(F.count(F.lit(1)).alias("n")).filter("n > 1")
-            .groupBy(F.floor(F.col("slot") / _SEGMENT).cast("bigint").alias("segment"))
-            .agg(F.expr(f"bitmap_construct_agg(slot % {_SEGMENT})").alias("bitmap")))
+            .groupBy(F.floor(F.col("slot") / SEGMENT).cast("bigint").alias("segment"))
+            .agg(F.expr(f"bitmap_construct_agg(slot % {SEGMENT})").alias("bitmap")))
 
 
 def _probe(rows: DataFrame, slots: DataFrame, bits: int) -> DataFrame:
@@ -55,26 +56,38 @@ def _probe(rows: DataFrame, slots: DataFrame, bits: int) -> DataFrame:
     for i, slot in enumerate(_slots(F.col("sha"), bits)):
         side = slots.select(F.col("segment").alias(f"__seg{i}"), F.col("bitmap").alias(f"__map{i}"))
         rows = (rows.withColumn(f"__slot{i}", slot)
-                .withColumn(f"__at{i}", F.floor(F.col(f"__slot{i}") / _SEGMENT).cast("bigint")))
+                .withColumn(f"__at{i}", F.floor(F.col(f"__slot{i}") / SEGMENT).cast("bigint")))
         rows = rows.join(F.broadcast(side), F.col(f"__at{i}") == F.col(f"__seg{i}"), "left")
-        bit = F.expr(f"(CAST(CONV(HEX(SUBSTRING(__map{i}, CAST((__slot{i} % {_SEGMENT}) DIV 8 AS INT) + 1, 1)), 16, 10) AS INT)"
-                     f" >> CAST(__slot{i} % 8 AS INT)) & 1")
-        found = found & F.coalesce(bit == 1, F.lit(False))
+        found = found & bit_is_set(f"__map{i}", f"__slot{i}")
     drop = [f"__{c}{i}" for i in range(HASHES) for c in ("slot", "at", "seg", "map")]
     return rows.withColumn("maybe", found).drop(*drop)
 
 
-def probe_all(rows: DataFrame, hashes: DataFrame, max_filter_bytes: int = MAX_FILTER_BYTES) -> DataFrame:
-    """``rows`` (with ``sha``) plus ``maybe``, from filters built over ``hashes``."""
-    filters, bits = _filter_plan(hashes.count(), max_filter_bytes)
+def probe_all(digests: DataFrame, max_filter_bytes: int = MAX_FILTER_BYTES) -> DataFrame:
+    """``digests`` (a stored table with ``sha``) plus ``maybe``.
+
+    Where one filter of ``max_filter_bytes`` serves, that is one pass. With more rows the digests
+    (never the texts) are dealt by filter once, and each filter is built from its own part and
+    probes its own part: every digest is read the same number of times however many filters
+    there are."""
+    filters, bits = _filter_plan(digests.count(), max_filter_bytes)
     if filters == 1:
-        return _probe(rows, materialise(repeated_slots(hashes, bits), "bloom"), bits)
-    out = None
+        return _probe(digests, materialise(repeated_slots(digests, bits), "bloom"), bits)
+    spark = digests.sparkSession
+    dealt, probed = scratch_path(spark, "dealt"), scratch_path(spark, "probed")
+    own = F.pmod(F.xxhash64(F.col("sha"), F.lit(-1)), F.lit(filters)).cast("int")
+    digests.withColumn("__filter", own).repartition("__filter").write.partitionBy("__filter").parquet(dealt)
     for f in range(filters):
-        mine = F.pmod(F.xxhash64(F.col("sha"), F.lit(-1)), F.lit(filters)) == f
-        part = _probe(rows.filter(mine), materialise(repeated_slots(hashes.filter(mine), bits), "bloom"), bits)
-        out = part if out is None else out.unionByName(part)
-    return out
+        mine = spark.read.schema(digests.schema).parquet(f"{dealt}/__filter={f}") if _exists(spark, f"{dealt}/__filter={f}") else None
+        if mine is not None:
+            bloom = materialise(repeated_slots(mine, bits), "bloom")
+            _probe(mine, bloom, bits).write.mode("append").parquet(probed)
+    return spark.read.parquet(probed)
+
+
+def _exists(spark, path: str) -> bool:
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return folder.getFileSystem(spark._jsc.hadoopConfiguration()).exists(folder)
 
 
 def duplicate_report(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
@@ -82,37 +95,42 @@ def duplicate_report(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
     """One row per row of ``docs``: doc_id, keep_id (largest id with an equal text),
     group_size, kept, text_sha256.
 
-    Null and empty texts are one group. Of rows that share id and text exactly one is
-    kept. A null id is smaller than any other; where all ids of a group are null one
-    row is kept and keep_id is null. Empty table: empty result. Other columns are not
-    read, so their names cannot clash."""
+    Null and empty texts are one group; a very long text is one digest like any other. Of rows that
+    share id and text exactly one is kept. A null id is smaller than any other; where all ids
+    of a group are null one row is kept and keep_id is null. Empty table: empty result. Other
+    columns are not read, so their names cannot clash."""
     hashed = materialise(docs.select(docs[id_col].alias("doc_id"), text_digest(docs[text_col]).alias("sha"),
                                      F.monotonically_increasing_id().alias("row")), "hashes")
-    probed = materialise(probe_all(hashed, hashed.select("sha"), max_filter_bytes), "probed")
+    probed = materialise(probe_all(hashed, max_filter_bytes), "probed")
     straight = probed.filter(~F.col("maybe")).select(
         "doc_id", F.col("doc_id").alias("keep_id"), F.lit(1).cast("bigint").alias("group_size"),
         F.lit(True).alias("kept"), F.col("sha").alias("text_sha256"))
-    suspects = probed.filter("maybe").drop("maybe")
-    groups = suspects.groupBy("sha").agg(F.max(F.struct("doc_id", "row")).alias("best"),
-                                         F.count(F.lit(1)).alias("group_size"))
-    groups = materialise(groups, "groups")
-    joined = attach_group(suspects, groups, "sha", "group_size", hashed.count())
+    joined = _with_groups(probed, F.struct("doc_id", "row"))
     return straight.unionByName(joined.select(
         "doc_id", F.col("best.doc_id").alias("keep_id"), "group_size",
         (F.col("row") == F.col("best.row")).alias("kept"), F.col("sha").alias("text_sha256")))
 
 
+def _with_groups(probed: DataFrame, rank: Column) -> DataFrame:
+    """The found rows with their group's ``best`` (largest ``rank``) and ``group_size``."""
+    suspects = probed.filter("maybe").drop("maybe")
+    groups = materialise(suspects.groupBy("sha").agg(F.max(rank).alias("best"), F.count(F.lit(1)).alias("group_size")), "groups")
+    return attach_group(suspects, groups, "sha", "group_size", probed.count())
+
+
 def drop_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                     max_filter_bytes: int = MAX_FILTER_BYTES) -> DataFrame:
-    """The rows of ``docs`` that stay, all columns: of equal texts the one with the
-    largest id. Rows the filter does not find are never shuffled; found ones are
-    aggregated by digest, combined per task first. Of rows with equal id and text the
-    one with the largest hash of all columns stays."""
-    packed = docs.select(text_digest(docs[text_col]).alias("sha"), docs[id_col].alias("id"),
-                         F.struct(*[docs[c] for c in docs.columns]).alias("doc"))
-    hashes = materialise(packed.select("sha"), "hashes")
-    probed = probe_all(packed, hashes, max_filter_bytes)
-    straight = probed.filter(~F.col("maybe")).select("doc.*")
-    best = (probed.filter("maybe").groupBy("sha")
-            .agg(F.max_by("doc", F.struct("id", F.xxhash64("doc"))).alias("doc")).select("doc.*"))
-    return straight.unionByName(best)
+    """The rows of ``docs`` that stay, all columns: of equal texts the one with the largest id, of
+    rows equal in id and text the one with the largest hash of all columns.
+
+    Null and empty texts are one group, a null id is smaller than any other, and of rows equal in
+    all columns one stays. Empty table: empty result. Texts are read twice and never shuffled: the
+    found rows' digests decide, and what goes is marked by file and row."""
+    docs, file, row = with_place(docs)
+    digests = materialise(docs.select(text_digest(docs[text_col]).alias("sha"), docs[id_col].alias("id"),
+                                      F.xxhash64(*[docs[c] for c in docs.columns]).alias("tie"),
+                                      file.alias("file"), row.alias("row")), "hashes")
+    probed = materialise(probe_all(digests, max_filter_bytes), "probed")
+    joined = _with_groups(probed, F.struct("id", "tie", "file", "row"))
+    gone = joined.filter((F.col("row") != F.col("best.row")) | (F.col("file") != F.col("best.file")))
+    return drop_marked(docs, gone.select("file", "row"), max_filter_bytes)

@@ -48,6 +48,7 @@ def shard_documents(docs: DataFrame, weights: list[float], id_col: str = "doc_id
     text = text_or_empty(docs[text_col])
     rows = docs.select(docs[id_col].alias("doc_id"), (F.octet_length(text) + F.lit(1)).cast("bigint").alias("size"),
                        F.crc32(text).alias("text_crc32"))
-    rows = materialise(shard_rows(rows, "doc_id", weights, grown), "shards")
-    slotted = gapless(rows, "shard", ["doc_id", "size", "text_crc32"], len(weights), rows.count(), "slot")
+    rows = shard_rows(rows, "doc_id", weights, grown).withColumn("row", F.monotonically_increasing_id())
+    rows = materialise(rows, "shards")
+    slotted = gapless(rows, "shard", ["doc_id", "size", "text_crc32", "row"], len(weights), rows.count(), "slot")
     return slotted.select("doc_id", "size", "text_crc32", F.lit("key").alias("law"), "shard", "slot", "grown_shard")

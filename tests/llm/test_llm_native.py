@@ -5,8 +5,10 @@ import zlib
 from collections import Counter, defaultdict
 
 import pytest
+from pyspark.sql import functions as F
 
 from tessera.llm import exact_dedup, mixing, sharding
+from tessera.llm.common import drop_marked, with_place
 from tessera.llm.exact_dedup import _filter_plan
 
 
@@ -84,8 +86,57 @@ def test_exact_dedup_split_filters_find_every_copy(spark, monkeypatch):
 
 def test_unique_rows_are_not_shuffled(odd_docs):
     plan = exact_dedup.drop_duplicates(odd_docs)._jdf.queryExecution().executedPlan().toString()
-    straight = plan.split("Union")[1].split("Aggregate")[0]
-    assert "hashpartitioning" not in straight
+    assert "FileScan parquet" in plan and "hashpartitioning" not in plan and "SinglePartition" not in plan
+
+
+@pytest.mark.parametrize("max_bytes", [64 << 20, 4096])
+def test_scans_of_the_documents_do_not_grow_with_the_filters(spark, tmp_path, monkeypatch, max_bytes):
+    """Every file of the documents is read once for the digests and once for the result."""
+    rows = [(i, f"text {i % 2500}", i) for i in range(9000)]
+    spark.createDataFrame(rows, "doc_id bigint, text string, x int").repartition(40).write.parquet(str(tmp_path / "d"))
+    docs = spark.read.parquet(str(tmp_path / "d"))
+    read, first = [], exact_dedup.materialise
+
+    def watched(df, name):
+        read.append(len([f for f in df.inputFiles() if str(tmp_path / "d") in f]))
+        return first(df, name)
+
+    monkeypatch.setattr(exact_dedup, "materialise", watched)
+    assert (exact_dedup._filter_plan(9000, max_bytes)[0] > 1) == (max_bytes == 4096)
+    kept = exact_dedup.drop_duplicates(docs, max_filter_bytes=max_bytes)
+    assert sum(n > 0 for n in read) == 1  # of all stored steps, the digests alone read the documents
+    got = kept.collect()
+    assert sorted(r["doc_id"] for r in got) == list(range(6500, 9000)) and kept.columns == ["doc_id", "text", "x"]
+    assert "hashpartitioning" not in kept._jdf.queryExecution().executedPlan().toString()
+
+
+def test_identical_rows_are_numbered_in_all_cells(spark):
+    from tessera.llm.common import gapless, materialise
+
+    rows = [(None, "same")] * 10_000 + [(i, "other") for i in range(20_000)]
+    df = spark.createDataFrame(rows, "doc_id bigint, text string").repartition(4)
+    out = sharding.shard_documents(df, [1.0] * 2).collect()
+    for s in (0, 1):
+        assert sorted(r["slot"] for r in out if r["shard"] == s) == list(range(sum(r["shard"] == s for r in out)))
+    stored = materialise(df.select("doc_id", F.lit(0).alias("g"), F.monotonically_increasing_id().alias("row")), "rows")
+    cells = stored.groupBy(F.pmod(F.xxhash64("doc_id", "row"), F.lit(300)).alias("c")).count()
+    assert cells.agg(F.max("count")).first()[0] < 200  # a third of all rows are identical
+    got = gapless(stored, "g", ["doc_id", "row"], 1, 30_000, "slot", cell_rows=100)
+    assert sorted(r["slot"] for r in got.collect()) == list(range(30_000))
+
+
+def test_marked_rows_are_dropped_in_parts(spark, tmp_path):
+    rows = [(i, i % 3) for i in range(5000)]
+    spark.createDataFrame(rows, "doc_id bigint, __row int").repartition(17).write.parquet(str(tmp_path / "d"))
+    docs, file, row = with_place(spark.read.parquet(str(tmp_path / "d")))
+    gone = docs.filter("doc_id % 7 = 3").select(file.alias("file"), row.alias("row"))
+    for max_bytes in (64 << 20, 3 * 4296):
+        kept = drop_marked(docs, gone, max_bytes)
+        assert kept.columns == ["doc_id", "__row"]
+        assert sorted(r["doc_id"] for r in kept.collect()) == [i for i in range(5000) if i % 7 != 3]
+    assert drop_marked(docs, gone.limit(0)).count() == 5000
+    inline, file, row = with_place(spark.createDataFrame(rows, "doc_id bigint, x int"))  # not read from files: stored first
+    assert drop_marked(inline, inline.filter("doc_id < 9").select(file.alias("file"), row.alias("row"))).count() == 4991
 
 
 def test_drop_duplicates_keeps_columns_and_one_row_each(clashing_docs, odd_rows):
