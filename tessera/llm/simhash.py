@@ -26,7 +26,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tessera.llm.common import attach_group, materialise
+from tessera.llm.common import attach_group, drop_marked, materialise, with_place
 from tessera.llm.components import connected_components
 
 SHINGLE, MAX_BITS, SEED = 3, 3, 42
@@ -67,19 +67,20 @@ def fingerprint(text: str | None, shingle: int = SHINGLE) -> int:
     return int(np.packbits(2 * total > n, bitorder="little").view("<i8")[0])
 
 
-def fingerprints(docs: DataFrame, id_col: str, text_col: str, shingle: int = SHINGLE) -> DataFrame:
-    """(doc_id, text_hash, fp) per row, from whole texts."""
+def fingerprints(docs: DataFrame, id_col: str, text_col: str, shingle: int = SHINGLE,
+                 carried: list[Column] | None = None) -> DataFrame:
+    """(doc_id, text_hash, fp and the ``carried`` columns) per row, from whole texts."""
     rows = docs.select(docs[id_col].alias("doc_id"), F.xxhash64(docs[text_col]).alias("text_hash"),
-                       docs[text_col].alias("text"))
+                       docs[text_col].alias("text"), *(carried or []))
+    names = ["doc_id", "text_hash", *rows.columns[3:], "fp"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             fps = [fingerprint(x.as_py(), shingle) for x in b.column(2)]
-            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(fps, pa.int64())],
-                                             names=["doc_id", "text_hash", "fp"])
+            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), *b.columns[3:], pa.array(fps, pa.int64())], names=names)
 
-    id_type = rows.schema["doc_id"].dataType.simpleString()
-    return rows.mapInArrow(run, f"doc_id {id_type}, text_hash bigint, fp bigint")
+    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema if f.name != "text")
+    return rows.mapInArrow(run, f"{schema}, fp bigint")
 
 
 def _distance(fp: Column, reference: int, mask: int) -> Column:
@@ -155,10 +156,10 @@ def links(fps: DataFrame, max_bits: int = MAX_BITS) -> DataFrame:
             .unionByName(_join(dense, ["pair", "u", "v", "part", "bits"], max_bits)))
 
 
-def _grouped(docs: DataFrame, id_col: str, text_col: str, shingle: int, max_bits: int):
-    """(rows, classes): rows (doc_id, text_hash, fp), and per distinct fingerprint (fp, n,
+def _grouped(docs: DataFrame, id_col: str, text_col: str, shingle: int, max_bits: int, carried: list | None = None):
+    """(rows, classes): rows (doc_id, text_hash, fp and the ``carried`` columns), and per distinct fingerprint (fp, n,
     best of its component: the smallest doc_id with its text_hash)."""
-    rows = materialise(fingerprints(docs, id_col, text_col, shingle), "fingerprints")
+    rows = materialise(fingerprints(docs, id_col, text_col, shingle, carried), "fingerprints")
     known = F.col("doc_id").isNull()
     classes = materialise(rows.groupBy("fp").agg(
         F.count(F.lit(1)).alias("n"), F.min(F.struct(known.alias("none"), "doc_id", "text_hash")).alias("best")), "classes")
@@ -188,11 +189,12 @@ def near_duplicate_report(docs: DataFrame, id_col: str = "doc_id", text_col: str
 def keep_one_per_group(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                        shingle: int = SHINGLE, max_bits: int = MAX_BITS) -> DataFrame:
     """The rows of ``docs`` that stay, all columns: of each component the document with
-    the smallest doc_id. Rows equal in id and text count as one document and stay or go
-    together."""
-    _, classes = _grouped(docs, id_col, text_col, shingle, max_bits)
-    stay = classes.select(F.col("best.doc_id").alias("id"), F.col("best.text_hash").alias("hash")).distinct()
-    packed = docs.select(docs[id_col].alias("id"), F.xxhash64(docs[text_col]).alias("hash"),
-                         F.struct(*[docs[c] for c in docs.columns]).alias("doc")).alias("d")
-    same = F.col("d.id").eqNullSafe(F.col("s.id")) & (F.col("d.hash") == F.col("s.hash"))
-    return packed.join(stay.alias("s"), same, "left_semi").select("doc.*")
+    the smallest doc_id, null ids last, of equal ids the smallest hash of its text. Rows equal in
+    id and text count as one document and stay or go together. Null, empty and very long texts
+    are compared like any other. Empty table: empty result. No text is shuffled: what goes is marked
+    by file and row."""
+    docs, file, row = with_place(docs)
+    rows, classes = _grouped(docs, id_col, text_col, shingle, max_bits, [file.alias("file"), row.alias("row")])
+    placed = attach_group(rows, classes, "fp", "n", rows.count())
+    stays = F.col("doc_id").eqNullSafe(F.col("best.doc_id")) & (F.col("text_hash") == F.col("best.text_hash"))
+    return drop_marked(docs, placed.filter(~stays).select("file", "row"))
