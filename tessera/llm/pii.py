@@ -12,6 +12,7 @@ from __future__ import annotations
 import hashlib
 import ipaddress
 import re
+from bisect import bisect
 from collections.abc import Callable, Iterator
 from datetime import date
 from math import isqrt
@@ -174,6 +175,12 @@ def _day(text: str) -> tuple[date, str] | None:
     return None
 
 
+def _day_class(day: date) -> tuple[bool, int]:
+    """Days that every layout writes with as many digits and reads back in the same order: months of one
+    or two digits; days of one, of two that could be a month, and later ones."""
+    return day.month > 9, (day.day > 9) + (day.day > 12)
+
+
 class Pseudonyms:
     """One method per kind: the pseudonym of a value, or None if it is not valid."""
 
@@ -242,15 +249,12 @@ class Pseudonyms:
         sep = next(c for c in text if c in "-/.")
         a, b, c = (len(x) for x in text.split(sep))
         widths = {"ymd": (b, c), "mdy": (a, b), "dmy": (b, a)}[layout]
-
-        def written(x: int) -> str:
-            d = date.fromordinal(FIRST_DAY.toordinal() + x)
-            y, mo, d = f"{d.year:04d}", f"{d.month:0{widths[0]}d}", f"{d.day:0{widths[1]}d}"
-            return sep.join({"ymd": (y, mo, d), "mdy": (mo, d, y), "dmy": (d, mo, y)}[layout])
-
-        # only days that are read back in the same layout and take as many digits
-        return written(self.turn(day.toordinal() - FIRST_DAY.toordinal(), _DAYS, "date",
-                                 lambda x: len(written(x)) == len(text) and _day(written(x))[1] == layout))
+        first, kind = FIRST_DAY.toordinal(), _day_class(day)
+        # the layout has no part in it, so a day has one pseudonym however it is written
+        d = date.fromordinal(first + self.turn(day.toordinal() - first, _DAYS, "date",
+                                               lambda x: _day_class(date.fromordinal(first + x)) == kind))
+        y, mo, d = f"{d.year:04d}", f"{d.month:0{widths[0]}d}", f"{d.day:0{widths[1]}d}"
+        return sep.join({"ymd": (y, mo, d), "mdy": (mo, d, y), "dmy": (d, mo, y)}[layout])
 
     def secret(self, text: str) -> str:
         if _HEX.fullmatch(text):  # stays hexadecimal
@@ -344,11 +348,12 @@ def find(text: str, names: Pseudonyms) -> list[tuple[int, int, str, str]]:
         for m in pattern.finditer(text):
             whole = m.span(1) if kind in ("secret", "iban") else m.span()
             for lo, hi in _SPANS[kind](text, *whole) if kind in _SPANS else [whole]:
-                if any(lo < e and s < hi for s, e in taken):
+                at = bisect(taken, (lo, hi))  # disjoint and sorted: only the two beside it can overlap
+                if (at and taken[at - 1][1] > lo) or (at < len(taken) and taken[at][0] < hi):
                     continue
                 new = getattr(names, kind)(text[lo:hi])
                 if new is not None:
-                    taken.append((lo, hi))
+                    taken.insert(at, (lo, hi))
                     out.append((lo, hi, kind, new))
     return sorted(out)
 
@@ -359,8 +364,9 @@ def pseudonymise(docs: DataFrame, key: bytes = DEMO_KEY, id_col: str = "doc_id",
     -- but an IPv4 address, whose parts may get shorter or longer: spans are of the
     original text).
 
-    Texts without a validated value come back as they are; a null text stays null. Equal
-    values get equal pseudonyms over all rows. Empty table: empty result. Other columns
+    Texts without a validated value come back as they are; a null text stays null, a very long one is
+    searched whole. Equal values get equal pseudonyms over all rows, a day in every numeric
+    layout; of overlapping finds the earlier kind counts. Empty table: empty result. Other columns
     are not read. No shuffle."""
     rows = docs.select(docs[id_col].alias("doc_id"), docs[text_col].alias("text"))
     span = pa.struct([("start", pa.int32()), ("end", pa.int32()), ("kind", pa.string())])
