@@ -2,7 +2,9 @@
 
 import random
 import re
+import time
 from collections import Counter
+from datetime import date
 from math import comb, inf
 
 import pytest
@@ -11,7 +13,7 @@ from pyspark.sql import functions as F
 from tessera.llm import html_text, pii, quality
 from tessera.llm.html_blocks import blocks
 from tessera.llm.html_text import common_lines
-from tessera.llm.pii import Permutation, Pseudonyms, find
+from tessera.llm.pii import FIRST_DAY, LAST_DAY, Permutation, Pseudonyms, _day, find
 
 KEY = b"test key"
 
@@ -81,6 +83,35 @@ def test_values_beside_other_numbers(kind, value, before, after):
         assert len(new) == len(text)
 
 
+def test_a_day_has_one_pseudonym_in_every_layout():
+    names, back = Pseudonyms(b"k"), Pseudonyms(b"k", back=True)
+    layouts = ["{y}-{m:02}-{d:02}", "{y}/{m}/{d}", "{d:02}.{m:02}.{y}", "{d}.{m}.{y}"]
+    seen = set()
+    for n in range(FIRST_DAY.toordinal(), LAST_DAY.toordinal() + 1):
+        day = date.fromordinal(n)
+        # with slashes the month comes first, and the day where it can't be a month
+        texts = [f.format(y=day.year, m=day.month, d=day.day) for f in layouts] + [f"{day.month}/{day.day}/{day.year}"]
+        if day.day > 12:
+            texts.append(f"{day.day}/{day.month:02}/{day.year}")
+        new = [names.date(t) for t in texts]
+        assert len({_day(t)[0] for t in new}) == 1, (day, new)
+        assert [len(t) for t in new] == [len(t) for t in texts]
+        if n % 97 == 0:
+            assert [back.date(t) for t in new] == texts
+        seen.add(_day(new[0])[0])
+    assert len(seen) == LAST_DAY.toordinal() - FIRST_DAY.toordinal() + 1
+
+
+def test_many_values_in_one_text_take_time_in_proportion():
+    def seconds(n):
+        text = " ".join(f"user{i}@example{i % 7}.org" for i in range(n))
+        at = time.process_time()
+        assert len(find(text, Pseudonyms(b"k"))) == n
+        return time.process_time() - at
+
+    assert seconds(16_000) < 8 * seconds(4_000)  # quadratic: sixteen times
+
+
 def test_dates_before_a_time_and_two_cards_in_a_run():
     names = Pseudonyms(KEY)
     for text in ["1985-03-04T10:00", "at 1985-03-04T10:00:00Z", "1985-03-04T10"]:
@@ -157,6 +188,24 @@ def test_thresholds_need_evidence(spark):
     assert not quality.shown(0, n, 0.005, 0.05 / 1000)
 
 
+def test_fixed_sequence_stops_at_the_first_cutoff_not_shown(spark):
+    """1.2 % of the good rows lie above 0.3: a bound of 2 % allows that cutoff with 4,000 rows; 3 % above
+    0.1 ends the sequence there, although nothing lies between the stricter cutoffs."""
+    n = 4000
+    rows = [("en", 100, 500, 35 if i < 48 else 18 if i < 168 else 0, 0, 0, True) for i in range(n)]
+    df = spark.createDataFrame(rows, "stratum string, " + ", ".join(f"{f} bigint" for f in quality.FEATURES) + ", good boolean")
+    assert quality.thresholds(df, max_false=0.02)["en"]["symbols_per_word"] == 0.2
+
+
+def test_copies_of_a_text_are_one_trial(spark):
+    text = " ".join(f"word{i}" for i in range(80))
+    docs = spark.createDataFrame([(i, text if i < 3000 else f"{text} {i}", "en") for i in range(3100)], "doc_id bigint, text string, lang string")
+    labels = spark.createDataFrame([(i, 1, 0) for i in range(3100)], "doc_id bigint, quality int, toxic int")
+    extra = spark.createDataFrame([(9999, text.replace("word", "word###"), "en")], "doc_id bigint, text string, lang string")
+    out = quality.quality_report(docs.unionByName(extra), labels)
+    assert out.filter("size(failed_rules) > 0").count() == 0  # 101 different texts show nothing
+
+
 def test_false_rejections_stay_below_the_limit():
     """Over many holdouts a cutoff that rejects twice the allowed rate is almost never shown safe."""
     rng, limit, wrong = random.Random(4), 0.05, 0
