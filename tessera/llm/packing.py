@@ -20,8 +20,8 @@ CAPACITY, END_ID = 4096, 1
 #: Sequences a task packs at a time, and the smallest such batch when that gives fewer than
 #: ``PARALLEL`` batches. A batch ends with a few part-filled sequences.
 BATCH_SEQUENCES, LEAST_SEQUENCES, PARALLEL = 1024, 128, 48
-#: Words whose ids a Python worker remembers (about 150 MB), in two generations.
-CACHE_WORDS = 800_000
+#: Words whose ids a Python worker remembers (0.8 KB each with what Python adds), in two generations.
+CACHE_WORDS = 300_000
 _SLICE = 64
 # Beyond these characters lower-casing is left to the tokenizer itself.
 _NOT_LATIN = re.compile("[^\x00-ɏ]|İ")
