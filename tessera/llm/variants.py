@@ -142,10 +142,11 @@ def cells_of(words: DataFrame, cell_words: int = CELL_WORDS, cell_searches: int
         "cell", F.ceil(F.col("f") / cell_words).alias("fb"), F.ceil(F.col("s") / cell_searches).alias("sb"))
     cut = materialise(cut, "cut-cells")
     h = F.xxhash64("word")
-    rows = cells.join(F.broadcast(cut), "cell", "left")
+    # where a large cell has nothing to be found, nothing need search
+    rows = cells.join(F.broadcast(cut), "cell", "left").filter(F.col("fb").isNull() | (F.col("fb") >= 1))
     mine = F.pmod(h, F.when(found, F.col("fb")).otherwise(F.col("sb")))
     # block = found block * sb + search block; each row goes to all blocks of its own part
-    blocks = F.when(F.col("fb").isNull() | (F.col("fb") < 1), F.array(F.lit(0).cast("bigint"))).when(
+    blocks = F.when(F.col("fb").isNull(), F.array(F.lit(0).cast("bigint"))).when(
         found, F.transform(F.sequence(F.lit(0).cast("bigint"), F.col("sb") - 1), lambda b: mine * F.col("sb") + b)).otherwise(
         F.transform(F.sequence(F.lit(0).cast("bigint"), F.col("fb") - 1), lambda b: b * F.col("sb") + mine))
     return rows.withColumn("block", F.explode(blocks)).select("cell", "state", "word", "n", "block")
