@@ -23,7 +23,7 @@ from pyarrow import fs
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tessera.llm.common import materialise
+from tessera.llm.common import attach_group, drop_marked, materialise, with_place
 from tessera.session import scratch_path
 
 LEAST_REVISIT = 1000
@@ -62,8 +62,10 @@ def _record(headers: list[tuple[str, str]], block: bytes) -> bytes:
     return head.encode() + block + b"\r\n\r\n"
 
 
-def page_record(page_id: int | None, url: str | None, payload: bytes, digest: str, refers_to: int | None) -> bytes:
-    """Record of a page: a revisit of page ``refers_to`` if that is given, else a response."""
+def page_record(page_id: int | None, url: str | None, payload: bytes | None, digest: str, refers_to: int | None,
+                size: int | None = None) -> bytes:
+    """Record of a page: a revisit of page ``refers_to`` if that is given, else a response. A revisit
+    holds no payload, so its ``size`` in bytes is enough."""
     name = f"urn:x-page:{page_id}" if page_id is not None else f"urn:uuid:{uuid.uuid5(uuid.NAMESPACE_URL, digest)}"
     uri = _CONTROL.sub(lambda m: f"%{ord(m[0]):02X}", url) if url else "urn:x-page:unknown"
     revisit = refers_to is not None
@@ -72,7 +74,7 @@ def page_record(page_id: int | None, url: str | None, payload: bytes, digest: st
                ("WARC-Payload-Digest", f"sha1:{digest}")]
     if revisit:
         headers += [("WARC-Refers-To", f"<urn:x-page:{refers_to}>"), ("WARC-Profile", _PROFILE)]
-    http = f"HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\nContent-Length: {len(payload)}\r\n\r\n".encode()
+    http = f"HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\nContent-Length: {len(payload) if size is None else size}\r\n\r\n".encode()
     return _record(headers, http if revisit else http + payload)
 
 
@@ -119,21 +121,36 @@ class _Writer:
             self.file = None
 
 
-def _with_response(pages: DataFrame, least: int) -> DataFrame:
-    """(page_id, url, html, digest, refers_to) per row; html is never null."""
-    rows = pages.select("page_id", "url", F.coalesce("html", F.lit("")).alias("html"))
-    rows = rows.withColumn("digest", F.sha1("html"))
-    sizes = materialise(rows.filter(F.octet_length("html") >= least).groupBy("digest")
-                        .agg(F.max("page_id").alias("best"), F.count(F.lit(1)).alias("n")).filter("n > 1"), "payloads")
-    # Fewer than 1000 payloads can have over a thousandth of all copies: those are broadcast.
-    limit = max(1, (sizes.agg(F.sum("n")).first()[0] or 0) // 1000)
-    heavy, light = sizes.filter(F.col("n") > limit), sizes.filter(F.col("n") <= limit)
-    # Smaller payloads are always responses: they go past the join, or equal ones would meet in one task.
-    small = F.octet_length("html") < least
-    past = rows.join(F.broadcast(heavy), "digest", "left").filter(small | F.col("n").isNotNull())
-    rest = rows.filter(~small).join(F.broadcast(heavy.select("digest")), "digest", "left_anti").join(light, "digest", "left")
-    refers_to = F.when(~F.col("page_id").eqNullSafe(F.col("best")), F.col("best"))
-    return past.unionByName(rest).select("page_id", "url", "html", "digest", refers_to.alias("refers_to"))
+def _with_response(pages: DataFrame, least: int, id_col: str = "page_id", url_col: str = "url", html_col: str = "html") -> DataFrame:
+    """(page_id, url, html, digest, size, refers_to) per row; html is null for revisits.
+
+    Digests alone are compared. Which rows are revisits is sent to the scan as one bit per row, and
+    a revisit record needs no payload, so no html ever leaves its task."""
+    pages, file, row = with_place(pages)
+    page_id, html = pages[id_col].cast("bigint"), F.coalesce(pages[html_col], F.lit(""))
+    digests = materialise(pages.select(page_id.alias("page_id"), pages[url_col].alias("url"), F.sha1(html).alias("digest"),
+                                       F.octet_length(html).cast("bigint").alias("size"), file.alias("file"), row.alias("row"))
+                          .filter(F.col("size") >= least), "digests")
+    sizes = materialise(digests.groupBy("digest").agg(F.max("page_id").alias("best"), F.count(F.lit(1)).alias("n"))
+                        .filter("n > 1"), "payloads")
+    copies = attach_group(digests, sizes, "digest", "n", sizes.agg(F.sum("n")).first()[0] or 0)
+    revisits = materialise(copies.filter(~F.col("page_id").eqNullSafe(F.col("best"))), "revisits")
+    kept = drop_marked(pages, revisits.select("file", "row"))
+    html = F.coalesce(kept[html_col], F.lit(""))
+    responses = kept.select(kept[id_col].cast("bigint").alias("page_id"), kept[url_col].alias("url"), html.alias("html"),
+                            F.sha1(html).alias("digest"), F.octet_length(html).cast("bigint").alias("size"),
+                            F.lit(None).cast("bigint").alias("refers_to"))
+    return responses.unionByName(revisits.select("page_id", "url", F.lit(None).cast("string").alias("html"), "digest", "size",
+                                                 F.col("best").alias("refers_to")))
+
+
+def qualified(spark: SparkSession, folder: str) -> str:
+    """``folder`` as the tasks' file systems name it: without a scheme it is in Hadoop's default
+    store, as for Spark, and not on an executor's own disk."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    full = path.getFileSystem(spark._jsc.hadoopConfiguration()).makeQualified(path).toString()
+    full = re.sub("^file:/+", "file:///", full)
+    return re.sub("^s3[an]://", "s3://", full)
 
 
 def write_archives(pages: DataFrame, folder: str, dictionary: bytes | None = None, id_col: str = "page_id",
@@ -141,22 +158,25 @@ def write_archives(pages: DataFrame, folder: str, dictionary: bytes | None = Non
                    least_revisit: int = LEAST_REVISIT) -> DataFrame:
     """Write every row as a record into archives under ``folder``; returns the stored list
     (path, records, bytes) of complete archives. ``id_col`` must be an integer column."""
-    rows = pages.select(pages[id_col].cast("bigint").alias("page_id"), pages[url_col].alias("url"), pages[html_col].alias("html"))
+    folder = qualified(pages.sparkSession, folder)
     if dictionary is None:
-        dictionary = train_dictionary(rows)
+        dictionary = train_dictionary(pages.select(pages[id_col].cast("bigint").alias("page_id"), pages[url_col].alias("url"),
+                                                   pages[html_col].alias("html")))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         writer = _Writer(folder, dictionary, archive_bytes)
         for b in batches:
-            for page_id, url, html, digest, refers_to in zip(*b.columns):
-                writer.add(page_record(page_id.as_py(), url.as_py(), html.as_py().encode(), digest.as_py(), refers_to.as_py()))
+            for page_id, url, html, digest, size, refers_to in zip(*b.columns):
+                payload = None if html.as_py() is None else html.as_py().encode()
+                writer.add(page_record(page_id.as_py(), url.as_py(), payload, digest.as_py(), refers_to.as_py(), size.as_py()))
         writer.close()
         if writer.done:
             paths, records, sizes = zip(*writer.done)
             yield pa.RecordBatch.from_arrays([pa.array(paths), pa.array(records, pa.int64()), pa.array(sizes, pa.int64())],
                                              names=["path", "records", "bytes"])
 
-    return materialise(_with_response(rows, least_revisit).mapInArrow(run, "path string, records bigint, bytes bigint"), "archives")
+    records = _with_response(pages, least_revisit, id_col, url_col, html_col)
+    return materialise(records.mapInArrow(run, "path string, records bigint, bytes bigint"), "archives")
 
 
 # ---- reading -------------------------------------------------------------------------
@@ -326,7 +346,8 @@ def archive_round_trip(spark: SparkSession, pages: DataFrame, folder: str | None
     payload_bytes, payload_digest, record_type, refers_to, error.
 
     Null html is an empty payload. Rows that share the largest page_id of their payload are
-    all responses. A null id is a response unless another page has its payload. Line
+    all responses; of equal small payloads every page is one. Very long payloads are single records,
+    read as streams. A null id is a response unless another page has its payload. Line
     breaks and spaces in a URL are percent-encoded. Empty table: no archive, empty
     result. Other columns are not read."""
     archives = write_archives(pages, folder or scratch_path(spark, "warc"))

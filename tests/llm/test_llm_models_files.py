@@ -270,6 +270,14 @@ def test_damage_is_reported(trained):
     assert list(warc.read_archive(io.BytesIO(bytes(flipped))))[-1]["error"]
 
 
+def test_a_folder_without_scheme_is_in_the_default_store(spark, tmp_path):
+    pages = spark.createDataFrame([(1, "http://a.b/", "x" * 2000), (2, "http://a.b/2", "x" * 2000)], "page_id bigint, url string, html string")
+    archives = warc.write_archives(pages, str(tmp_path / "plain")).collect()
+    assert archives and all(r["path"].startswith(f"file:///{str(tmp_path)[1:]}/plain/") for r in archives)
+    got = {r["page_id"]: r["refers_to"] for r in warc.archive_round_trip(spark, pages, str(tmp_path / "other")).collect()}
+    assert got == {1: 2, 2: None}
+
+
 def test_no_pages_no_archives(spark):
     assert warc.archive_round_trip(spark, spark.createDataFrame([], "page_id bigint, url string, html string")).count() == 0
 
@@ -278,11 +286,18 @@ def test_equal_small_payloads_do_not_meet_in_one_task(spark):
     rows = [(i, f"http://a.b/{i}", None if i % 2 else "") for i in range(1200)]
     rows += [(2000 + i, f"http://c.d/{i}", f"{i // 2:04d}" * 300) for i in range(2000)]  # pairs, joined by shuffle
     pages = spark.createDataFrame(rows, "page_id bigint, url string, html string").repartition(6)
-    threshold = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
-    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    changed = {"spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.files.openCostInBytes": str(1 << 30)}  # a task per file
+    before = {k: spark.conf.get(k) for k in changed}
+    for k, v in changed.items():
+        spark.conf.set(k, v)
     try:
-        got = warc._with_response(pages, 1000).withColumn("task", F.spark_partition_id()).collect()
+        out = warc._with_response(pages, 1000)
+        got = out.withColumn("task", F.spark_partition_id()).collect()
+        plan = out._jdf.queryExecution().executedPlan().toString()
     finally:
-        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
+        for k, v in before.items():
+            spark.conf.set(k, v)
+    assert "hashpartitioning" not in plan  # no html is shuffled, with Spark's own broadcasts off
+    assert all((r["html"] is None) == (r["refers_to"] is not None) for r in got)
     assert {r["page_id"]: r["refers_to"] for r in got} == {i: i + 1 if i >= 2000 and i % 2 == 0 else None for i, *_ in rows}
     assert max(Counter(r["task"] for r in got if r["page_id"] < 2000).values()) < 400
