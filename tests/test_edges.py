@@ -70,6 +70,31 @@ def test_als_with_ids_beyond_32_bits(spark):
     assert len(got) == 108 and all(r["is_product"] for r in got) and min(r["user_id"] for r in got) == big
 
 
+def test_als_deals_the_ratings_out_once_by_user_and_once_by_item(spark):
+    """Every exchange of the ratings counts: the model's joins and those of the check share theirs."""
+    ratings = spark.range(4000).select((F.col("id") % 2000).alias("user_id"), (F.col("id") * 7 % 3000).alias("item_id"),
+                                       (F.col("id") % 5).cast("double").alias("rating"))
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        model, out = CL.als(ratings, rank=2, max_iter=1)
+        plan = CL.factor_product(out, model)._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    assert plan.count("Exchange hashpartitioning") == 2 + 4  # ratings by user and by item; each factor table twice
+
+
+@pytest.mark.parametrize("user,item", [(-7, 3), (1 << 40, 3), (5, -(1 << 40))])
+def test_als_with_large_keys_nulls_and_mixed_ids(spark, user, item):
+    """One user and one item hold many of the ratings, ids of one side need numbering; rows without an id are left out."""
+    rows = ([(user, item + i, float(i % 5)) for i in range(1500)] + [(user + u, item, float(u % 3)) for u in range(1, 1500)]
+            + [(user + u, item + u, 1.0) for u in range(1, 1500)] + [(None, item, 1.0), (user, None, 1.0)])
+    model, out = CL.als(spark.createDataFrame(rows, "user_id bigint, item_id bigint, rating double"), rank=2, max_iter=2)
+    got = CL.factor_product(out, model).collect()
+    assert sorted((r["user_id"], r["item_id"], r["rating"]) for r in got) == sorted(r for r in rows if None not in r)
+    assert all(r["is_product"] for r in got)
+
+
 def test_flags_see_a_wrong_model(spark):
     rows = [(float(i % 2), float(i % 5)) for i in range(40)]
     df = VectorAssembler(inputCols=["label", "z"], outputCol="features").transform(spark.createDataFrame(rows, "label double, z double"))
