@@ -95,6 +95,31 @@ def test_als_with_large_keys_nulls_and_mixed_ids(spark, user, item):
     assert all(r["is_product"] for r in got)
 
 
+def test_als_keeps_its_blocks_even_bounded_and_on_disk(spark, monkeypatch):
+    """Ids in steps of the number of blocks would all lie in one; more ratings need more blocks; cached blocks
+    would take the memory in which others are built."""
+    seen, make = [], CL.ALS
+    monkeypatch.setattr(CL, "ALS", lambda **given: seen.append(make(**given)) or seen[-1])
+    rows = [(u * 3, -6 * i, float((u * i) % 5)) for u in range(200) for i in range(u % 7, 60, 7)]
+    ratings = spark.createDataFrame(rows, "user_id bigint, item_id int, rating double")
+    for most, blocks in ((CL.ALS_BLOCK_RATINGS, CL.ALS_BLOCKS), (len(rows) // 6 + 1, 6)):
+        monkeypatch.setattr(CL, "ALS_BLOCK_RATINGS", most)
+        model, out = CL.als(ratings, rank=2, max_iter=2)
+        sizes = [r["count"] for r in model.userFactors.groupBy(F.spark_partition_id()).count().collect()]
+        assert len(sizes) == blocks and max(sizes) < 1.5 * 200 / blocks
+        got = CL.factor_product(out, model)
+        assert got.schema["user_id"].dataType.simpleString() == "bigint" and got.schema["item_id"].dataType.simpleString() == "int"
+        assert sorted((r["user_id"], r["item_id"], r["rating"]) for r in got.collect()) == sorted(rows)
+        assert seen[-1].getIntermediateStorageLevel() == "DISK_ONLY"
+
+
+def test_mixed_ids_are_one_to_one(spark):
+    ids = [-(1 << 31), -7, -1, 0, 1, 2, 65535, 65536, (1 << 31) - 1, *range(1000, 9000, 3)]
+    df = spark.createDataFrame([(i,) for i in ids], "k int").select("k", CL._mixed(F.col("k")).alias("m"))
+    got = df.select("k", "m", CL._unmixed(F.col("m")).alias("back")).collect()
+    assert all(r["k"] == r["back"] for r in got) and len({r["m"] for r in got}) == len(ids)
+
+
 def test_flags_see_a_wrong_model(spark):
     rows = [(float(i % 2), float(i % 5)) for i in range(40)]
     df = VectorAssembler(inputCols=["label", "z"], outputCol="features").transform(spark.createDataFrame(rows, "label double, z double"))
